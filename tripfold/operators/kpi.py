@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tripfold.schemas import MONEY, TOTAL
 
 
-def dated(trips: DataFrame) -> DataFrame:
-    """Trips with `pickup_date` and `fare`, from typed trip columns."""
+def dated(trips: DataFrame, *keep: str) -> DataFrame:
+    """`pickup_date` and `fare` of typed trips."""
     return trips.select(
+        *keep,
         F.col("pickup_datetime").cast("date").alias("pickup_date"),
         F.col("fare_amount").cast(MONEY).alias("fare"),
     )
