@@ -11,6 +11,7 @@ partitions, not by the data, so both can be broadcast.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -34,35 +35,37 @@ SHARE = 2  # a key is hot from this many times an even share of the rows
 class HotKeys:
     """Ascending chunk bounds per hot key; no entries means nothing is hot."""
 
-    bounds: dict[str, list[int]] = field(default_factory=dict)
+    bounds: dict[str, list[float]] = field(default_factory=dict)
+    skip: int = 0  # leading characters that all text orders of the hot keys share
 
     def __bool__(self) -> bool:
         return bool(self.bounds)
 
     def frame(self, df: DataFrame, key: str) -> DataFrame:
-        rows = [(k, v) for k, v in self.bounds.items()]
-        return df.sparkSession.createDataFrame(rows, f"{key} string, _bounds array<bigint>")
+        return df.sparkSession.createDataFrame(
+            list(self.bounds.items()), f"{key} string, _bounds array<double>"
+        )
 
 
-def order_proxy(df: DataFrame, name: str) -> Column:
-    """A bigint that never decreases along the order of column `name`."""
-    return _proxy(F.col(name), df.schema[name].dataType)
+def order_proxy(df: DataFrame, name: str, skip: int = 0) -> Column:
+    """A double that never decreases along the order of column `name`."""
+    return _proxy(F.col(name), df.schema[name].dataType, skip)
 
 
-def _proxy(col: Column, dtype: DataType) -> Column:
+def _proxy(col: Column, dtype: DataType, skip: int) -> Column:
     if isinstance(dtype, StructType):
-        return _proxy(col[dtype.names[0]], dtype[0].dataType)
+        return _proxy(col[dtype.names[0]], dtype[0].dataType, skip)
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.floor(F.second(col))
-        return F.unix_date(col.cast("date")).cast("bigint") * 86400 + seconds
+        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+        return (F.unix_date(col.cast("date")).cast("bigint") * 86400 + seconds).cast("double")
     if isinstance(dtype, DateType):
-        return F.unix_date(col).cast("bigint")
+        return F.unix_date(col).cast("double")
     if isinstance(dtype, StringType):
-        # the first seven bytes as a number keep the binary order
-        head = F.rpad(F.hex(F.substring(col, 1, 7)), 14, "0")
-        return F.conv(F.substring(head, 1, 14), 16, 10).cast("bigint")
+        # six bytes after the shared prefix, as a number: keeps the binary order
+        head = F.rpad(F.hex(F.encode(F.substring(col, skip + 1, 6), "UTF-8")), 12, "0")
+        return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
     if isinstance(dtype, NumericType):
-        return F.floor(col).cast("bigint")
+        return col.cast("double")
     raise TypeError(f"cannot order by {dtype.simpleString()}")
 
 
@@ -88,27 +91,31 @@ def find_hot_keys(df: DataFrame, key: str, order: str) -> HotKeys:
     if not counts:
         return HotKeys()
 
+    hot_rows = df.where(F.col(key).isin(list(counts)))
+    skip = 0
+    if isinstance(df.schema[order].dataType, StringType):
+        ends = hot_rows.agg(F.min(order), F.max(order)).first()
+        skip = len(os.path.commonprefix([e or "" for e in ends]))
     steps = {k: max(2, -(-2 * n * tasks // row["n"])) for k, n in counts.items()}
     finest = max(steps.values())
     shares = [i / finest for i in range(1, finest)]
     quantiles = (
-        df.where(F.col(key).isin(list(counts)))
-        .groupBy(F.col(key).cast("string").alias("k"))
-        .agg(F.percentile_approx(order_proxy(df, order), shares, 10 * finest).alias("q"))
+        hot_rows.groupBy(F.col(key).cast("string").alias("k"))
+        .agg(F.percentile_approx(order_proxy(df, order, skip), shares, 10 * finest).alias("q"))
         .collect()  # one row per hot key
     )
     bounds = {}
     for k, q in quantiles:
         stride = max(1, finest // steps[k])
         bounds[k] = sorted({b for b in (q or [])[stride - 1 :: stride] if b is not None})
-    return HotKeys(bounds)
+    return HotKeys(bounds, skip)
 
 
 def with_chunk(df: DataFrame, key: str, order: str, hot: HotKeys) -> DataFrame:
     """Adds `chunk` (0 for every row of a key that is not hot) and `is_hot`."""
     if not hot:
         return df.withColumns({"chunk": F.lit(0), "is_hot": F.lit(False)})
-    at = order_proxy(df, order)
+    at = order_proxy(df, order, hot.skip)
     below = F.size(F.filter("_bounds", lambda bound: bound < at))
     return (
         df.join(F.broadcast(hot.frame(df, key)), key, "left")

@@ -12,6 +12,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 from pyspark.sql.window import Window
 
 from tripfold.operators.skew import HotKeys, find_hot_keys, with_chunk
@@ -54,11 +62,20 @@ def assemble_trips(
     Name only the fields you need, so that the others are neither read nor
     shuffled. `has_start` and `has_end` tell which events were seen.
     """
-    folded = (
-        event_writes(events, start_fields, end_fields)
-        .groupBy("trip_id")
-        .agg(F.max("start_write").alias("start_write"), F.max("end_write").alias("end_write"))
-    )
+    groups = {"start": start_fields, "end": end_fields}
+    fields = [f for group in groups.values() for f in group]
+    if all(_fixed_width(events.schema[c].dataType) for c in ["sequence", *fields]):
+        # values that fit an aggregation buffer in place: hash aggregation, no sort
+        newest = [
+            F.max_by(f, F.when(F.col("kind") == kind, F.col("sequence"))).alias(f)
+            for kind, group in groups.items()
+            for f in group
+        ]
+        seen = [F.bool_or(F.col("kind") == kind).alias(f"has_{kind}") for kind in groups]
+        return events.groupBy("trip_id").agg(*newest, *seen)
+
+    writes = event_writes(events, start_fields, end_fields).groupBy("trip_id")
+    folded = writes.agg(*[F.max(c).alias(c) for c in ("start_write", "end_write")])
     return folded.select(
         "trip_id",
         *_image(start_fields, end_fields),
@@ -67,6 +84,10 @@ def assemble_trips(
     )
 
 
+def _fixed_width(dtype: DataType) -> bool:
+    return isinstance(dtype, (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType))
+
+
 def completed_trips(trips: DataFrame) -> DataFrame:
     """Trips with both events."""
     return trips.where("has_start and has_end").drop("has_start", "has_end")
