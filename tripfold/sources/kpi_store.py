@@ -98,4 +98,5 @@ class KpiStore:
         )
 
     def published(self) -> DataFrame:
-        return self.spark.read.schema(KPI_SCHEMA).parquet(f"{self.root}/published")
+        table = self.spark.read.schema(KPI_SCHEMA).parquet(f"{self.root}/published")
+        return table.select(*KPI_SCHEMA.names)
