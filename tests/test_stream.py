@@ -102,7 +102,7 @@ class Crash(Exception):
     pass
 
 
-@pytest.mark.parametrize("step", ["landed", "state_in", "carry", "completed", "append", "publish"])
+@pytest.mark.parametrize("step", ["landed", "state_in", "state", "carry", "completed", "append", "publish"])
 def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
     """Stops the second batch right after each of its writes; the restart counts nothing twice."""
     events = random_log(12, trips=12, most=5)
@@ -125,6 +125,8 @@ def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
 
     if step in ("append", "publish"):
         crash_after(KpiStore, step)
+    elif step == "state":  # inside the state query, before it commits
+        crash_after(jobs, "save_wanted")
     elif step == "carry":
         crash_after(TripJob, "_carry")
     else:

@@ -47,6 +47,13 @@ def write_once(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
+def save_wanted(state: DataFrame, batch_id: int, target: str) -> None:
+    """Keeps the state of the trips that the batch asked for."""
+    known = "start_write is not null or end_write is not null"
+    wanted = state.where(F.col("wanted_by") == batch_id).where(known)
+    wanted.drop("wanted_by").write.mode("overwrite").parquet(target)
+
+
 class TripJob:
     """Applies micro-batches of routed events to the tables under `root`."""
 
@@ -103,9 +110,7 @@ class TripJob:
         target = self.path("carry", batch_id)
 
         def keep_wanted(state: DataFrame, _: int) -> None:
-            known = "start_write is not null or end_write is not null"
-            wanted = state.where(F.col("wanted_by") == batch_id).where(known)
-            wanted.drop("wanted_by").write.mode("overwrite").parquet(target)
+            save_wanted(state, batch_id, target)
 
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         state = (
