@@ -26,26 +26,35 @@ def utf8_text(data: Column) -> Column:
     return F.try_validate_utf8(data.cast("string"))
 
 
-def json_values(text: Column) -> Column:
-    """The JSON values in `text` as a variant array; NULL when it is not JSON.
+def with_json_object(df: DataFrame, name: str, text: str, fields: str) -> DataFrame:
+    """Adds the JSON object in column `text` as a struct of `fields`.
 
-    The text is parsed inside brackets because the parser stops after the first
-    value: trailing characters then count as errors and a second value shows up.
+    It is NULL when the text is not exactly one object. The text is parsed inside
+    brackets because the parser stops after the first value: trailing characters
+    then count as errors and a second value shows up.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    strict = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    in_brackets = F.concat(F.lit("["), F.col(text), F.lit("]"))
+    # a column of its own, so that the parse is not repeated for each mention below
+    parsed = df.withColumn("_values", F.from_json(in_brackets, f"array<struct<{fields}>>", strict))
+    only = F.when(F.size("_values") == 1, F.get("_values", F.lit(0)))
+    return parsed.withColumn(name, only).drop("_values")
 
 
-def json_reason(values: Column) -> Column:
-    """Why `json_values` did not give exactly one object, or NULL."""
-    first, second = (F.try_variant_get(values, f"$[{i}]", "variant") for i in (0, 1))
-    return F.when(first.isNull() | second.isNotNull(), "bad_json").when(
-        ~F.schema_of_variant(first).startswith("OBJECT"), "not_object"
-    )
+def json_reason(text: Column, parsed: Column) -> Column:
+    """Why `with_json_object` gave nothing, or NULL; only such texts are parsed again."""
+    other = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    single = F.try_variant_get(other, "$[0]", "variant").isNotNull()
+    single &= F.try_variant_get(other, "$[1]", "variant").isNull()
+    is_object = F.schema_of_variant(F.try_variant_get(other, "$[0]", "variant")).startswith("OBJECT")
+    return F.when(parsed.isNull(), F.when(single & ~is_object, "not_object").otherwise("bad_json"))
 
 
 def is_truthy(field: Column) -> Column:
     """Whether a JSON value counts as present: the string "0" does, the number 0 does not."""
-    return field.isNotNull() & ~F.to_json(field).isin(FALSY_JSON)
+    text = variant_text(field)
+    clear = (text != "") & ~text.isin(FALSY_JSON)
+    return text.isNotNull() & (clear | ~F.to_json(field).isin(FALSY_JSON))
 
 
 def variant_text(field: Column) -> Column:

@@ -9,8 +9,8 @@ from tripfold.functions.scalars import (
     base64_bytes,
     computed_once,
     json_reason,
-    json_values,
     utf8_text,
+    with_json_object,
 )
 from tripfold.schemas import END_FIELDS, START_FIELDS
 
@@ -19,11 +19,9 @@ WIRE_DATETIME = "yyyy-MM-dd HH:mm:ss"
 
 # Fields whose JSON type matters stay typed; the others are read as text.
 TYPED_FIELDS = ("trip_id", "pickup_datetime", "dropoff_datetime")
-DOC_TYPE = "struct<{}>".format(
-    ", ".join(
-        f"{f}: {'variant' if f in TYPED_FIELDS else 'string'}"
-        for f in ["trip_id", *START_FIELDS, *END_FIELDS]
-    )
+DOC_FIELDS = ", ".join(
+    f"{f}: {'variant' if f in TYPED_FIELDS else 'string'}"
+    for f in ["trip_id", *START_FIELDS, *END_FIELDS]
 )
 
 
@@ -47,13 +45,10 @@ def decode_envelopes(envelopes: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("_bytes").isNull(), "bad_base64")
         .when(F.col("_text").isNull(), "bad_utf8")
-        .otherwise(json_reason(F.col("_values")))
+        .otherwise(json_reason(F.col("_text"), F.col("doc")))
     )
-    return computed_once(
-        envelopes.withColumn("_bytes", base64_bytes(F.col("data")))
-        .withColumn("_text", utf8_text(F.col("_bytes")))
-        .withColumn("_values", json_values(F.col("_text")))
-        .withColumn("reason", reason)
-        .withColumn("doc", F.when(F.col("reason").isNull(), F.try_variant_get("_values", "$[0]", DOC_TYPE)))
-        .drop("_bytes", "_text", "_values")
+    texts = envelopes.withColumn("_bytes", base64_bytes(F.col("data"))).withColumn(
+        "_text", utf8_text(F.col("_bytes"))
     )
+    parsed = with_json_object(texts, "doc", "_text", DOC_FIELDS)
+    return computed_once(parsed.withColumn("reason", reason).drop("_bytes", "_text"))

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from tripfold.functions.scalars import (
     computed_once,
     json_reason,
-    json_values,
     to_day,
     to_number,
     unwrap_attributes,
+    with_json_object,
 )
 from tripfold.operators.envelope import WIRE_DATETIME
-from tripfold.schemas import STAGING_FIELDS, STAGING_SCHEMA
+from tripfold.schemas import STAGING_FIELDS
 
 IMAGE_TYPE = "map<string,map<string,string>>"
 
@@ -66,9 +66,10 @@ def wrap_trips(trips: DataFrame) -> DataFrame:
 
 def parse_bodies(bodies: DataFrame) -> DataFrame:
     """Staging strings from message bodies, with a `reason` for unusable ones."""
+    fields = ", ".join(f"{f}: string" for f in STAGING_FIELDS)
     return computed_once(
-        bodies.withColumn("reason", json_reason(json_values(F.col("body"))))
-        .withColumn("_m", F.when(F.col("reason").isNull(), F.from_json("body", STAGING_SCHEMA)))
+        with_json_object(bodies, "_m", "body", fields)
+        .withColumn("reason", json_reason(F.col("body"), F.col("_m")))
         .select(*bodies.columns, "reason", *[F.col(f"_m.{f}").alias(f) for f in STAGING_FIELDS])
     )
 
