@@ -123,6 +123,8 @@ def trip_history(
         F.when(F.col("kind") == "carry", 0).otherwise(1),
         F.col("sequence"),
         F.when(F.col("kind") == "start", 0).otherwise(1),
+        F.col("start_write"),  # equal sequences: still the same order in every run
+        F.col("end_write"),
     ]
     before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 

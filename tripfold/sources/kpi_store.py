@@ -86,11 +86,11 @@ class KpiStore:
         if batch_ids is not None:
             touched = self._read([self.batch_path(n) for n in batch_ids]).select("pickup_date")
             rows = rows.join(touched.distinct(), "pickup_date", "left_semi")
-        # an explicit partition count, so that the day folders are written side by side
+        # ranges in an explicit number are not merged into one task: folders are written side by side
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
             finalize(rows)
-            .repartition(tasks, "pickup_date")
+            .repartitionByRange(tasks, "pickup_date")
             .write.option("partitionOverwriteMode", "dynamic")
             .partitionBy("pickup_date")
             .mode("overwrite")
