@@ -40,6 +40,26 @@ def test_decode_reasons(spark):
     assert [r for r, _, _ in outcomes(spark, [d for d, _ in cases])] == [r for _, r in cases]
 
 
+def test_lenient_json_is_not_accepted(spark):
+    texts = ["{'trip_id': 'a'}", '{trip_id: "a"}', '{"trip_id": "a"', '{"trip_id": "a"}}', '{"trip_id": 01}']
+    assert {r for r, _, _ in outcomes(spark, [envelope(t) for t in texts])} == {"bad_json"}
+
+
+def test_last_of_repeated_keys_wins(spark):
+    text = f'{{"trip_id": "a", "trip_id": "b", "pickup_datetime": "{PICKUP}"}}'
+    assert outcomes(spark, [envelope(text)]) == [(None, "start", "b")]
+
+
+def test_unusual_but_valid_documents(spark):
+    texts = [
+        f' {{"trip_id": "a", "pickup_datetime": "{PICKUP}"}} ',
+        f'{{"trip_id": "a", "pickup_datetime": "{PICKUP}", "extra": {{"deep": [1, {{"x": null}}]}}}}',
+        f'{{"trip_id": "a", "vendor_id": [1, 2], "pickup_datetime": "{PICKUP}"}}',
+        f'{{"trip_id": "a", "vendor_id": {{"k": 1}}, "pickup_datetime": "{PICKUP}"}}',
+    ]
+    assert outcomes(spark, [envelope(t) for t in texts]) == [(None, "start", "a")] * 4
+
+
 def test_decode_only(spark):
     rows = spark.createDataFrame([("eyJ0IjoxfQ==",)], "data string")
     assert decode_envelopes(rows).first()["reason"] is None

@@ -172,6 +172,19 @@ def test_two_files_per_batch(spark, tmp_path):
     assert rows(job.store(spark).kpis()) == expected_kpis(spark, events, DOCUMENTED)
 
 
+def test_running_stream(spark, tmp_path):
+    events = random_log(17, trips=6, most=3)
+    job = TripJob(str(tmp_path / "job"), "p")
+    deliver(spark, tmp_path, 0, wired(events))
+    source = read_envelopes(spark.readStream, str(tmp_path / "log"))
+    query = start_stream(source, job, processingTime="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(job.store(spark).kpis()) == expected_kpis(spark, events, DOCUMENTED)
+
+
 def test_run_batch(spark, tmp_path):
     events = random_log(14, trips=10)
     frame = spark.createDataFrame(wired(events), "data string, sequence bigint")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tripfold.operators import kpi, metrics, sampling, staging, trips
 from tripfold.operators.envelope import decode_envelopes, encode_envelopes
-from tripfold.operators.events import good_events, quarantine, route_events
+from tripfold.operators.events import good_events, quarantine
+from tripfold.operators.events import route_events as route
 from tripfold.plans.tables import (
     line_ends,
     order_events,
@@ -22,6 +23,7 @@ from tripfold.schemas import END_FIELDS, STAGING_FIELDS, START_FIELDS
 from tripfold.sources import readers
 from tripfold.sources.kpi_store import KpiStore
 from tripfold.sources.paths import scratch_root
+from tripfold.sources.writers import write_bodies, write_envelopes
 from tripfold.streaming.jobs import TripJob, start_message_stream, start_stream
 
 PICKUP, FARE = ["pickup_datetime"], ["fare_amount"]
@@ -158,7 +160,7 @@ def kpi_published(spark, sf_dir):
 
 @query
 def envelope_roundtrip(spark, sf_dir):
-    events = good_events(route_events(decode_envelopes(encode_envelopes(order_events(spark, sf_dir)))))
+    events = good_events(route(decode_envelopes(encode_envelopes(order_events(spark, sf_dir)))))
     return events.drop("sequence")
 
 
@@ -189,22 +191,22 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decode_quarantine(spark, sf_dir):
-    routed = route_events(decode_envelopes(mixed_envelopes(spark, sf_dir)))
+    routed = route(decode_envelopes(mixed_envelopes(spark, sf_dir)))
     return quarantine(routed, "ingest").select("stage", "reason", "sequence")
 
 
 @query
 def batch_counters(spark, sf_dir):
-    return metrics.batch_counters(route_events(decode_envelopes(mixed_envelopes(spark, sf_dir))))
+    return metrics.batch_counters(route(decode_envelopes(mixed_envelopes(spark, sf_dir))))
 
 
 @query
 def quarantine_reasons(spark, sf_dir):
-    return metrics.reasons(route_events(decode_envelopes(mixed_envelopes(spark, sf_dir))))
+    return metrics.reasons(route(decode_envelopes(mixed_envelopes(spark, sf_dir))))
 
 
 @query
-def route_events_by_kind(spark, sf_dir):
+def route_events(spark, sf_dir):
     """Events whose ids are JSON numbers (0 is no id) and whose times may be empty."""
     at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     rows = table(spark, sf_dir, "events").select(
@@ -226,7 +228,7 @@ def route_events_by_kind(spark, sf_dir):
             )
         ).alias("data"),
     )
-    routed = route_events(decode_envelopes(rows))
+    routed = route(decode_envelopes(rows))
     return routed.groupBy("kind", "reason").agg(F.count("*").alias("events"))
 
 
@@ -305,7 +307,7 @@ def envelope_batches(spark, sf_dir):
     )
     encoded.select(F.array(record).alias("Records")).write.json(f"{root}/records")
     events = readers.read_envelope_batches(spark.read, f"{root}/records")
-    return trips.assemble_trips(good_events(route_events(decode_envelopes(events))), PICKUP, FARE).select(
+    return trips.assemble_trips(good_events(route(decode_envelopes(events))), PICKUP, FARE).select(
         "trip_id", "pickup_datetime", "fare_amount"
     )
 
@@ -355,7 +357,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TripJob, S
     root = scratch_root(spark)
     job = TripJob(f"{root}/job", "users", mode)
     for part in _slices(user_events(spark, sf_dir), "sequence", 3):
-        encode_envelopes(part).write.mode("append").json(f"{root}/log")
+        write_envelopes(part, f"{root}/log")
         start_stream(readers.read_envelopes(spark.readStream, f"{root}/log"), job).awaitTermination()
     return job, spark
 
@@ -377,7 +379,7 @@ def message_stream_kpi(spark, sf_dir):
     """Completed-trip messages as a file stream, folded into the KPI table."""
     root = scratch_root(spark)
     done = trips.completed_trips(trips.assemble_trips(user_events(spark, sf_dir)))
-    staging.to_bodies(done).withColumnRenamed("body", "value").write.text(f"{root}/messages")
+    write_bodies(done, f"{root}/messages")
     bodies = readers.read_bodies(spark.readStream, f"{root}/messages")
     start_message_stream(staging.parse_bodies(bodies), f"{root}/job", "messages").awaitTermination()
     return KpiStore(spark, f"{root}/job/kpi", "messages").kpis()

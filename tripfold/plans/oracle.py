@@ -234,7 +234,7 @@ ORACLE = {
         select count(*) as records, count(*) filter (where event_type = 'signup') as success,
                count(*) filter (where event_type <> 'signup') as failed, 0::bigint as warnings
         from events""",
-    "route_events_by_kind": """
+    "route_events": """
         with routed as (
           select case when user_id = 0 then 'missing_trip_id' when event_type = 'view' then 'missing_datetimes'
                       when event_type = 'error' then 'bad_pickup_datetime' end as reason,
