@@ -60,6 +60,11 @@ def test_unusual_but_valid_documents(spark):
     assert outcomes(spark, [envelope(t) for t in texts]) == [(None, "start", "a")] * 4
 
 
+def test_events_without_a_sequence_cannot_be_ordered(spark):
+    rows = spark.createDataFrame([(wire(start("a", "05-25 13:19")), None)], "data string, sequence bigint")
+    assert route_events(decode_envelopes(rows)).first()["reason"] == "missing_sequence"
+
+
 def test_decode_only(spark):
     rows = spark.createDataFrame([("eyJ0IjoxfQ==",)], "data string")
     assert decode_envelopes(rows).first()["reason"] is None

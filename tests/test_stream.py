@@ -231,6 +231,25 @@ def test_message_stream(spark, tmp_path):
     assert sorted(r["reason"] for r in staged.collect()) == ["bad_json", "bad_pickup_datetime"]
 
 
+def test_change_record_stream(spark, tmp_path):
+    """Change records to messages to KPIs, as a stream."""
+    from pyspark.sql import functions as F
+
+    from tripfold.operators.staging import messages_to_staging, unwrap_changes, wrap_trips
+    from tripfold.sources.readers import read_change_batches
+
+    feed = change_feed(trip_history(event_log(spark, random_log(18, trips=10))))
+    record = F.struct(
+        F.col("event_name").alias("eventName"),
+        F.struct(F.from_json("image", "map<string,map<string,string>>").alias("NewImage")).alias("dynamodb"),
+    )
+    wrap_trips(feed.drop("sequence")).select(F.array(record).alias("Records")).write.json(str(tmp_path / "changes"))
+    records = read_change_batches(spark.readStream, str(tmp_path / "changes"))
+    staged = messages_to_staging(unwrap_changes(records))
+    start_message_stream(staged, str(tmp_path / "job"), "p").awaitTermination()
+    assert rows(KpiStore(spark, str(tmp_path / "job/kpi"), "p").kpis()) == rows(daily_kpis(modified(feed)))
+
+
 def test_unknown_mode():
     with pytest.raises(ValueError):
         TripJob("x", "p", "other")

@@ -75,6 +75,14 @@ def to_datetime(text: Column) -> Column:
     return F.coalesce(text.try_cast("timestamp_ntz"), midnight)
 
 
+def wire_datetime(at: Column) -> Column:
+    """A wall-clock datetime as `yyyy-MM-dd HH:mm:ss`.
+
+    `date_format` would move times that the session's zone skips.
+    """
+    return F.substring(at.cast("string"), 1, 19)
+
+
 def to_day(text: Column) -> Column:
     return text.try_cast("date")
 

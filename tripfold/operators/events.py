@@ -34,11 +34,13 @@ def route_events(decoded: DataFrame) -> DataFrame:
                 text = variant_text(text)
             columns[field.name] = F.when(F.col("kind") == kind, typed(text, field.dataType))
 
+    unordered = F.col("sequence").isNull() if "sequence" in decoded.columns else F.lit(False)
     no_pickup = (F.col("kind") == "start") & F.col("pickup_datetime").isNull()
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(~F.col("_has_id"), "missing_trip_id")
         .when(F.col("kind").isNull(), "missing_datetimes")
+        .when(unordered, "missing_sequence")
         .when(no_pickup, "bad_pickup_datetime")
     )
     bad_fare = (F.col("kind") == "end") & doc["fare_amount"].isNotNull() & F.col("fare_amount").isNull()

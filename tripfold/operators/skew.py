@@ -55,7 +55,9 @@ def order_proxy(df: DataFrame, name: str, skip: int = 0) -> Column:
 def _proxy(col: Column, dtype: DataType, skip: int) -> Column:
     if isinstance(dtype, StructType):
         return _proxy(col[dtype.names[0]], dtype[0].dataType, skip)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(dtype, TimestampNTZType):
         seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
         return (F.unix_date(col.cast("date")).cast("bigint") * 86400 + seconds).cast("double")
     if isinstance(dtype, DateType):

@@ -11,9 +11,9 @@ from tripfold.functions.scalars import (
     to_day,
     to_number,
     unwrap_attributes,
+    wire_datetime,
     with_json_object,
 )
-from tripfold.operators.envelope import WIRE_DATETIME
 from tripfold.schemas import STAGING_FIELDS
 
 IMAGE_TYPE = "map<string,map<string,string>>"
@@ -54,7 +54,7 @@ def wrap_trips(trips: DataFrame) -> DataFrame:
         col, name = F.col(field.name), field.name
         tag = "N" if field.dataType.typeName() in ("decimal", "integer", "long", "double") else "S"
         text = (
-            F.date_format(col, WIRE_DATETIME)
+            wire_datetime(col)
             if field.dataType.typeName() == "timestamp_ntz"
             else col.cast("string")
         )
@@ -89,7 +89,7 @@ def stage_columns(trips: DataFrame) -> list:
         if name not in types:
             return F.lit(None).cast("string").alias(name)
         if types[name] == "timestamp_ntz":
-            return F.date_format(name, WIRE_DATETIME).alias(name)
+            return wire_datetime(F.col(name)).alias(name)
         return F.col(name).cast("string").alias(name)
 
     return [text(f) for f in STAGING_FIELDS]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfold.functions.scalars import wire_datetime
 from tripfold.operators import kpi, metrics, sampling, staging, trips
 from tripfold.operators.envelope import decode_envelopes, encode_envelopes
 from tripfold.operators.events import good_events, quarantine
@@ -169,7 +170,7 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.format_string(
         '{"trip_id": "u%d", "pickup_datetime": "%s"}',
         F.col("user_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        wire_datetime(F.col("ts")),
     )
     cut_short = F.expr("substring(props, 1, length(props) - 1)")
     text = (
@@ -208,7 +209,7 @@ def quarantine_reasons(spark, sf_dir):
 @query
 def route_events(spark, sf_dir):
     """Events whose ids are JSON numbers (0 is no id) and whose times may be empty."""
-    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    at = wire_datetime(F.col("ts"))
     rows = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("sequence"),
         F.base64(
@@ -258,7 +259,7 @@ def staging_cast(spark, sf_dir):
         ).alias("fare_amount"),
         F.expr(
             "case l_returnflag when 'R' then '25/05/2024' "
-            "else date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') end"
+            "else substring(cast(l_shipdate as string), 1, 19) end"
         ).alias("pickup_datetime"),
     )
     cast = staging.cast_staging(staging.to_staging(rows))

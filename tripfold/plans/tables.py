@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfold.functions.scalars import wire_datetime
 from tripfold.operators.events import tag_and_union
 from tripfold.schemas import END_FIELDS, END_PAYLOAD, START_FIELDS, START_PAYLOAD
 
@@ -66,7 +67,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of users over time; clicks and errors carry no trip event."""
     rows = table(spark, sf_dir, "events").where("event_type in ('signup', 'view', 'purchase')")
     is_start, is_end = F.expr("event_type <> 'purchase'"), F.expr("event_type = 'purchase'")
-    at = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    at = wire_datetime(F.col("ts")).cast("timestamp_ntz")
     values = {
         "vendor_id": F.col("event_type"),
         "pickup_datetime": at,
@@ -94,9 +95,9 @@ def presented(df: DataFrame) -> DataFrame:
     def column(name, dtype):
         col = F.col(name)
         if dtype == "date":
-            col = F.date_format(col, "yyyy-MM-dd")
+            col = col.cast("string")
         elif dtype.startswith("timestamp"):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            col = wire_datetime(col)
         elif dtype.startswith("decimal") or dtype == "int":
             col = col.cast("double")
         return col.alias(name)

@@ -57,13 +57,21 @@ def save_wanted(state: DataFrame, batch_id: int, target: str) -> None:
 class TripJob:
     """Applies micro-batches of routed events to the tables under `root`."""
 
-    def __init__(self, root: str, pipeline_id: str, mode: str = DOCUMENTED, compact_every: int = 50):
+    def __init__(
+        self,
+        root: str,
+        pipeline_id: str,
+        mode: str = DOCUMENTED,
+        compact_every: int = 50,
+        publish: bool = True,
+    ):
         if mode not in (DOCUMENTED, CHANGE_FEED):
             raise ValueError(f"unknown mode {mode!r}")
         self.root = root.rstrip("/")
         self.pipeline_id = pipeline_id
         self.mode = mode
         self.compact_every = compact_every
+        self.publish = publish  # keep the table partitioned by pickup day up to date
 
     def path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch={batch_id}"
@@ -81,7 +89,8 @@ class TripJob:
 
         store = self.store(spark)
         store.append(partials(dated(spark.read.parquet(self.path("completed", batch_id)))), batch_id)
-        store.publish([batch_id])
+        if self.publish:
+            store.publish([batch_id])
         if batch_id and batch_id % self.compact_every == 0:
             store.compact(batch_id - 1)  # earlier batches are committed and never replayed
 
