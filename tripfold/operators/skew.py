@@ -117,15 +117,11 @@ def with_chunk(df: DataFrame, key: str, order: str, hot: HotKeys) -> DataFrame:
     """Adds `chunk` (0 for every row of a key that is not hot) and `is_hot`."""
     if not hot:
         return df.withColumns({"chunk": F.lit(0), "is_hot": F.lit(False)})
-    at = order_proxy(df, order, hot.skip)
-    below = F.size(F.filter("_bounds", lambda bound: bound < at))
-    return (
-        df.join(F.broadcast(hot.frame(df, key)), key, "left")
-        .withColumns(
-            {
-                "chunk": F.when(F.col("_bounds").isNull() | at.isNull(), 0).otherwise(below),
-                "is_hot": F.col("_bounds").isNotNull(),
-            }
-        )
-        .drop("_bounds")
-    )
+    # computed below the join: inside the lambda it would be repeated for every bound
+    placed = df.withColumn("_at", order_proxy(df, order, hot.skip))
+    joined = placed.join(F.broadcast(hot.frame(df, key)), key, "left")
+    below = F.size(F.filter("_bounds", lambda bound: bound < F.col("_at")))
+    unplaced = F.col("_bounds").isNull() | F.col("_at").isNull()
+    return joined.withColumns(
+        {"chunk": F.when(unplaced, 0).otherwise(below), "is_hot": F.col("_bounds").isNotNull()}
+    ).drop("_bounds", "_at")
