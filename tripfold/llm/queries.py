@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import mixing, ordered, packing, quality_rules, sharding, token_counts, token_files
+from tripfold.llm import html_extract, lz_fingerprint, minhash_dedup, mixing, ordered, packing, quality_cnn, quality_rules, sharding, token_counts, token_files
 from tripfold.llm.workers import share_path
 from tripfold.sources.paths import scratch_root
 
@@ -32,17 +32,39 @@ def op1_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
+@query
+def op2_minhash_dedup(spark, sf_dir):
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), path, limit=2048, end_id=1)
 
 
+@query
+def op6_html_extract(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_quality_cnn(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.score_documents(docs, quality_cnn.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op8_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
