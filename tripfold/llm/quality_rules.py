@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripfold.functions.scalars import computed_once
+
 SPACE = r"[\x20\x09-\x0D]+"  # fixed value: what parts words
 SYMBOLS = "[#*$%&|<>]"  # fixed value: what counts as a symbol
 MIN_WORDS = 50  # fixed values of the base rule
@@ -133,4 +135,4 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass, with all their columns as they came; nothing is moved."""
     whole = docs.select(F.struct("*").alias("doc_id"), "text")  # the row travels in place of its id
-    return measured(whole).where(~base_failed() & passes(rules)).select("doc_id.*")
+    return computed_once(measured(whole)).where(~base_failed() & passes(rules)).select("doc_id.*")
