@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tripfold.llm.ordered import bucket_of
 from tripfold.llm.wordcodec import codec, load_tokenizer
+from tripfold.llm.workers import slices
 
 
 def id_bits(vocabulary: int) -> int:
@@ -25,9 +26,9 @@ def encode_documents(docs: DataFrame, path: str, end_id: int, spaces_matter: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path, spaces_matter)
         end = np.array([end_id], f"<u{width // 8}").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             found = words.encode(batch.column(2).to_pylist())
-            ids = [np.frombuffer(x, "<u4").astype(f"<u{width // 8}").tobytes() + end for x in found]
+            ids = [x.astype(f"<u{width // 8}").tobytes() + end for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["doc_id", "bucket", "ids"])
 
     key = F.col("doc_id").cast("long")

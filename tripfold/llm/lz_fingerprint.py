@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.llm.ordered import bucket_of, by_bucket, key_bounds, partitions
+from tripfold.llm.workers import slices
 
 SIGNATURE = 64
 PLACE_BITS = 16  # kept of each minimum
@@ -157,7 +158,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                 row, own = waiting
                 done.append(row | {"near_next": likeness(own, places)})
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc_id, text, extra in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if current:
                     changed = edited(current[1], text)

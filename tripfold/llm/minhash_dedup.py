@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tripfold.llm import shingles as sh
 from tripfold.llm.components import connect
 from tripfold.llm.ordered import kept
+from tripfold.llm.workers import slices
 
 PERCENT = 75  # fixed value: similarity of a link
 MOST_UNLIKE = sh.unlike_bits(0.48)  # sketches further apart than this speak against a link; more than five deviations off
@@ -33,7 +34,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, n_shingles, node (stands for the shingle set), bands, sketch of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, nodes, bands, sketches = [], [], [], []
             for words in sh.word_hashes([t.encode() for t in batch.column(2).to_pylist()]):
                 found = sh.shingle_set(words)
@@ -55,7 +56,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, shingles) of the wanted classes, from one text of each. `wanted` has node, doc_id, text_key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [sh.shingle_set(w).tobytes() for w in sh.word_hashes([t.encode() for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
@@ -88,7 +89,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             first, second = batch.column(2), batch.column(3)
             good = [sh.linked(np.frombuffer(first[i].as_buffer(), "<u8"), np.frombuffer(second[i].as_buffer(), "<u8"), PERCENT) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
@@ -168,7 +169,7 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         roots = connect(links)
     mixed = kept(_mixed(_labelled(members, roots)))
     rest = _confirmed(kept(_all_others(mixed, _flat(candidates, "x"))), sets)
-    return connect(links.union(rest))
+    return connect(rest if links is None else links.union(rest))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

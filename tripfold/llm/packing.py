@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tripfold.llm.encoded import as_ids, encode_documents
 from tripfold.llm.ordered import by_bucket, kept, key_bounds, offsets, partitions
 from tripfold.llm.wordcodec import load_tokenizer
+from tripfold.llm.workers import slices
 
 SENTENCE_CUT = 16  # penalties, in tokens of padding
 INNER_CUT = 256
@@ -167,7 +168,7 @@ def pack_documents(docs: DataFrame, path: str, limit: int, end_id: int) -> DataF
         def table(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([dict(zip(COLUMNS, (bucket, *r), strict=True)) for r in rows], pa.schema([(c, pa.int32() if c == "bucket" else pa.int64()) for c in COLUMNS]))
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for key, bucket, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 rows += packer.add(key, as_ids(ids, vocabulary))

@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripfold.llm.workers import slices
+
 MARK = "▁"  # fixed value: the model's sign for a space
 UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 CACHED_WORDS = 600_000  # bounds a worker's memory; speed only
@@ -113,7 +115,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path, shortcut)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1)
             n = counter.count(texts.to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tripfold.llm.encoded import as_ids, encode_documents, id_bits
 from tripfold.llm.ordered import by_bucket, key_bounds, offsets, partitions
 from tripfold.llm.wordcodec import load_tokenizer
+from tripfold.llm.workers import slices
 from tripfold.sources.paths import make_dir
 
 MAGIC = b"TFTOKEN1"
@@ -137,7 +138,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> D
             return pa.RecordBatch.from_pydict({"file": [name], "n_docs": [len(keys)], "n_ids": [size]})
 
         bucket = 0
-        for batch in batches:
+        for batch in slices(batches):
             for key, bucket, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys.append(key)
                 held.append(as_ids(ids, vocabulary))
@@ -160,7 +161,7 @@ def read_token_files(spark: SparkSession, folder: str, files: DataFrame) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             for path, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = memoryview(content)
                 file = TokenFile(lambda place, size, data=data: bytes(data[place : place + size]), len(data))

@@ -1,9 +1,10 @@
-"""Exact tokenizer output, word by word, through a bounded cache.
+"""Exact tokenizer output, word by word, with the ids of known words in flat tables.
 
 A tokenizer whose pre-tokens never span the places where this module cuts a text
-encodes the parts alone as it encodes them together, so the ids of a frequent word
-need to be computed once. Texts whose white space is not of the plain form
-"words between single spaces or line feeds" go to the tokenizer whole.
+encodes the parts alone as it encodes them together, so a word's ids need to be
+computed once. Words are told apart by a 64-bit hash, found for a whole batch of
+texts with numpy. Texts whose white space is not of the plain form "words between
+single spaces or line feeds" go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -11,14 +12,22 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 
-CACHED_WORDS = 600_000  # bounds a worker's memory; speed only
+KNOWN_WORDS = 1_500_000  # bounds a worker's memory (about 50 bytes a word); speed only
+RECENT_WORDS = 50_000  # words learned before they are merged into the large table
+GROUP_BYTES = 2 << 20  # text looked up at a time
 WORDS_A_CALL = 2_000  # words go to the tokenizer together, parted by a word whose id no other word can hold
-#: A word of Latin letters, perhaps with a line feed before and a stop behind.
-SIMPLE = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+
+#: A word of Latin letters, perhaps with a stop behind.
+SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+SPACE, FEED = 0x20, 0x0A
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+#: ASCII white space but the space and the line feed (fixed values).
+_ODD = np.zeros(256, bool)
+_ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,82 +48,220 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def is_plain(text: str) -> bool:
-    """Words parted by exactly one space or line feed, none at the ends, no special-token marker."""
-    return bool(text) and len(text.split()) == text.count(" ") + text.count("\n") + 1 and "<|" not in text
+def odd_places(codes: np.ndarray) -> np.ndarray:
+    """Where bytes of UTF-8 text begin white space other than a space or a line feed, or a special token's `<|`.
+
+    Finds all white space of Unicode; U+2000 to U+202F and U+3000 to U+303F as a whole, which costs speed only.
+    """
+    found = _ODD[codes]
+    a, b = codes[:-1], codes[1:]
+    found[:-1] |= (a == ord("<")) & (b == ord("|"))
+    lead = np.flatnonzero((a == 0xC2) | ((a >= 0xE1) & (a <= 0xE3)))
+    first, second = a[lead], b[lead]
+    third = codes[np.minimum(lead + 2, len(codes) - 1)]
+    blank = (first == 0xC2) & ((second == 0x85) | (second == 0xA0))
+    blank |= (first == 0xE1) & (second == 0x9A) & (third == 0x80)
+    blank |= (first == 0xE2) & (second == 0x80) & ((third <= 0x8A) | (third == 0xA8) | (third == 0xA9) | (third == 0xAF))
+    blank |= (first == 0xE2) & (second == 0x81) & (third == 0x9F)
+    blank |= (first == 0xE3) & (second == 0x80) & (third == 0x80)
+    found[lead[blank]] = True
+    return found
+
+
+class Table:
+    """Sorted word hashes, and where the ids of each lie in one array."""
+
+    def __init__(self):
+        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes, and which of them are there."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return at, self.hashes[at] == hashes
+
+    def add(self, hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        hashes, starts, sizes = np.concatenate([self.hashes, hashes]), np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.starts, self.sizes = hashes[order], starts[order], sizes[order]
 
 
 class WordCodec:
-    """Little-endian uint32 ids of texts. `spaces_matter`: the words carry the white space before them."""
+    """Ids of texts. `spaces_matter`: a word carries the white space before it."""
 
     def __init__(self, path: str, spaces_matter: bool):
         self.tokenizer = load_tokenizer(path)
         self.spaces_matter = spaces_matter
-        self.known: dict[str, bytes] = {}
+        self.forget()
         self.feed = self._raw(["\n"])[0]
         self.stops = {x: self._raw([x])[0] for x in ("", ".", ",")}
         (self.mark,) = self.tokenizer.encode("\n" if spaces_matter else "~", add_special_tokens=False).ids
 
-    def _parts(self, text: str) -> list[str]:
-        if self.spaces_matter:  # a part that starts with a line feed follows one, any other follows a space
-            return ("\n" + text.replace("\n", " \n")).split(" ")
-        return text.replace("\n", " ").split(" ")
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.known) + len(parts) > CACHED_WORDS:
-            self.known = {}
-        known, odd = self.known, []
-        for part in parts.difference(known):
-            found = SIMPLE(part)
-            if not found:
-                odd.append(part)
-                continue
-            feed, letters, stop = found.groups()  # each is a pre-token of its own
-            space = "" if feed or not self.spaces_matter else " "
-            key = feed + letters
-            if key not in known:
-                known[key] = (self.feed if feed else b"") + self._letters(space + letters)
-            known[part] = known[key] + self.stops[stop]
-        self._learn_odd(odd)
-
-    def _letters(self, text: str) -> bytes:
+    def forget(self) -> None:
+        self.known, self.recent = Table(), Table()
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _raw(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    # --- words that are new ---------------------------------------------------
+
+    def _letters(self, text: str) -> list[int]:
         """One pre-token, in the byte alphabet that the model is written in."""
         if not self.spaces_matter:
             text = text.lower()
-        tokens = self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(BYTE_LETTERS))
-        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        text = text.replace(" ", BYTE_LETTERS[SPACE]) if text.isascii() else text.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return [t.id for t in self.tokenizer.model.tokenize(text)]
 
-    def _learn_odd(self, new: list[str]) -> None:
+    def _learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word. Where spaces matter, a word starts with the space or line feed before it."""
+        found: list[list[int] | None] = []
+        odd = []
+        for word in words:
+            bare = word[1:] if self.spaces_matter else word
+            simple = SIMPLE(bare)
+            if not simple:
+                odd.append(word)
+                found.append(None)
+                continue
+            letters, stop = simple.groups()  # each is a pre-token of its own, and so is a line feed
+            if self.spaces_matter:
+                ids = self.feed + self._letters(letters) if word[0] == "\n" else self._letters(" " + letters)
+            else:
+                ids = self._letters(letters)
+            found.append(ids + self.stops[stop] if stop else ids)
+        rest = iter(self._learn_odd(odd))
+        return [next(rest) if ids is None else ids for ids in found]
+
+    def _learn_odd(self, words: list[str]) -> list[list[int]]:
         if not self.spaces_matter:
-            odd = [p for p in new if "~" in p]
-            self.known.update(zip(odd, self._raw(odd), strict=True))
-            new = [p for p in new if "~" not in p]
-        for i in range(0, len(new), WORDS_A_CALL):
-            some = new[i : i + WORDS_A_CALL]
+            marked = [w for w in words if "~" in w]
+            alone = dict(zip(marked, self._raw(marked), strict=True))
+            rest = iter(self._together([w for w in words if w not in alone]))
+            return [alone[w] if w in alone else next(rest) for w in words]
+        return self._together(words)
+
+    def _together(self, words: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        for i in range(0, len(words), WORDS_A_CALL):
+            some = words[i : i + WORDS_A_CALL]
             if self.spaces_matter:  # each behind a line feed, which is always a token of its own
-                text = "".join([p if p[:1] == "\n" else "\n " + p for p in some])
+                text = "".join([w if w[0] == "\n" else "\n" + w for w in some])
             else:
                 text = "~ " + " ~ ".join(some)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            marks = 4 * np.append(np.flatnonzero(ids == self.mark), len(ids))
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            marks = [*np.flatnonzero(np.array(ids) == self.mark).tolist(), len(ids)]
             if len(marks) != len(some) + 1:
                 raise ValueError("the tokenizer does not keep words apart")
-            data, skip = ids.tobytes(), [0 if p[:1] == "\n" else 4 for p in some]
-            self.known.update((p, data[a + k : b]) for p, k, a, b in zip(some, skip, marks[:-1].tolist(), marks[1:].tolist(), strict=True))
+            for word, a, b in zip(some, marks[:-1], marks[1:], strict=True):
+                out.append(ids[a + (not self.spaces_matter or word[0] != "\n") : b])
+        return out
+
+    def _store(self, hashes: np.ndarray, learned: list[list[int]]) -> None:
+        sizes = np.array([len(x) for x in learned], np.int32)
+        flat = np.fromiter((i for x in learned for i in x), np.uint32, int(sizes.sum()))
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, len(flat)), np.uint32)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.recent.add(hashes, self.used + np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
+        self.used += len(flat)
+        if len(self.recent.hashes) > RECENT_WORDS:
+            self.known.add(self.recent.hashes, self.recent.starts, self.recent.sizes)
+            self.recent = Table()
+
+    # --- texts ----------------------------------------------------------------
+
+    def _places(self, hashes: np.ndarray, data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and number of the ids of distinct words, which lie at begins..ends of the data."""
+        if len(self.known.hashes) + len(self.recent.hashes) + len(hashes) > KNOWN_WORDS:
+            self.forget()
+        missing = ~(self.known.find(hashes)[1] | self.recent.find(hashes)[1])
+        if missing.any():
+            lead = int(self.spaces_matter)
+            words = [data[a - lead : b].decode() for a, b in zip(begins[missing].tolist(), ends[missing].tolist(), strict=True)]
+            self._store(hashes[missing], self._learn(words))
+        at, there = self.known.find(hashes)
+        starts, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int32)
+        starts[there], sizes[there] = self.known.starts[at[there]], self.known.sizes[at[there]]
+        at, here = self.recent.find(hashes)
+        here &= ~there
+        starts[here], sizes[here] = self.recent.starts[at[here]], self.recent.sizes[at[here]]
+        return starts, sizes
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self._parts(t) if is_plain(t) else None for t in texts]
-        self._learn(set(chain.from_iterable(p for p in plain if p is not None)))
-        whole = iter(self._raw([t for t, p in zip(texts, plain, strict=True) if p is None]))
-        get, first = self.known.__getitem__, 4 if self.spaces_matter else 0  # the line feed put before the text
-        return [next(whole) if p is None else b"".join(map(get, p))[first:] for p in plain]
+    def _group(self, texts: list[bytes]) -> list[np.ndarray | None]:
+        """Ids of the plain texts."""
+        data = b"\n" + b"\n".join(texts) + b"\n"
+        codes = np.frombuffer(data, np.uint8)
+        borders = np.cumsum([0, *(len(t) + 1 for t in texts)])  # of each text, the feed before it
+        parts = (codes == SPACE) | (codes == FEED)
+        bad = odd_places(codes)
+        bad[1:] |= parts[1:] & parts[:-1]  # also blanks at the ends of a text, and empty texts
+        inside = np.add.reduceat(bad, borders[:-1], dtype=np.int64)
+        # a feed behind a blank belongs to the text before and counts for the next; so it counts for both
+        inside += bad[borders[1:]]
+        plain = inside == 0
+        if not plain.all():
+            keep = [t for t, p in zip(texts, plain, strict=True) if p]
+            rest = iter(self._group(keep) if keep else [])
+            return [next(rest) if p else None for p in plain]
+
+        begins = np.flatnonzero(parts)[:-1] + 1  # of every word, behind its blank
+        ends = np.append(begins[1:] - 1, len(data) - 1)
+        inner = np.arange(len(data)) - np.repeat(np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(data)]])))
+        powers = np.full(int(inner.max()) + 1, _STEP)
+        powers[0] = 1
+        values = np.where(parts, 0, codes.astype(np.uint64) + np.uint64(1)) * np.cumprod(powers, dtype=np.uint64)[inner]
+        hashes = np.add.reduceat(values, begins)
+        if self.spaces_matter:
+            hashes += (codes[begins - 1] == FEED).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * _SPREAD
+        hashes ^= hashes >> np.uint64(29)
+
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        starts, sizes = self._places(distinct, data, begins[first], ends[first])
+        starts, sizes = starts[which], sizes[which].astype(np.int64)
+        heads = np.searchsorted(begins, borders[:-1] + 1)
+        if self.spaces_matter:  # the feed put before a text
+            starts[heads] += 1
+            sizes[heads] -= 1
+        stops = np.cumsum(sizes)
+        ids = self.ids[np.repeat(starts - stops + sizes, sizes) + np.arange(stops[-1])]
+        return np.split(ids, stops[heads[1:] - 1])
+
+    def _long(self, text: bytes) -> np.ndarray | None:
+        """A text in parts that end at line feeds; none if it is not plain. A longer line stays whole."""
+        parts, at = [], 0
+        while at <= len(text):
+            end = text.find(b"\n", at + GROUP_BYTES)
+            end = len(text) if end < 0 else end
+            (ids,) = self._group([text[at:end]])
+            if ids is None:
+                return None
+            parts += [np.array(self.feed, np.uint32), ids] if at and self.spaces_matter else [ids]
+            at = end + 1
+        return np.concatenate(parts)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = []
+        group: list[bytes] = []
+        size = 0
+        for text in texts:
+            data = text.encode()
+            if size + len(data) > GROUP_BYTES and group:
+                out += self._group(group)
+                group, size = [], 0
+            if len(data) > 2 * GROUP_BYTES:
+                out.append(self._long(data))
+                continue
+            group.append(data)
+            size += len(data)
+        out += self._group(group) if group else []
+        whole = iter(self._raw([t for t, ids in zip(texts, out, strict=True) if ids is None]))
+        return [np.array(next(whole), np.uint32) if ids is None else ids for ids in out]
 
 
 @lru_cache(maxsize=4)
 def codec(path: str, spaces_matter: bool) -> WordCodec:
-    """One per worker process, so that its cache serves all the tasks there."""
+    """One per worker process, so that its tables serve all the tasks there."""
     return WordCodec(path, spaces_matter)

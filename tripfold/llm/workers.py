@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent.parent)
@@ -14,3 +16,10 @@ def share_path(spark: SparkSession) -> None:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
