@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripfold.llm.workers import slices
+
 FILTERS = 16
 WIDTH = 8  # bytes, an even number
 STEP = 2  # bytes: places start at even offsets, so that byte pairs serve as table rows
@@ -63,9 +65,15 @@ def lay_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return data, np.array(sizes) // HALF
 
 
-def half_maxima(data: np.ndarray, halves: int, tables: list[np.ndarray]) -> np.ndarray:
+def shut_ends(by_half: np.ndarray, last: np.ndarray) -> None:
+    """Leaves out the places, all in the padding, from which a filter would reach into the next text."""
+    by_half[last, 1 - WIDTH // STEP :] = -np.inf
+
+
+def half_maxima(data: np.ndarray, counts: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """Largest value of each filter over the places that start in each half chunk."""
     pairs, steps = data.view("<u2"), HALF // STEP
+    last, halves = np.cumsum(counts) - 1, int(counts.sum())
     out = np.empty((halves, FILTERS), np.float32)
     for i in range(0, halves, SCORED_BYTES // HALF):
         n = min(halves - i, SCORED_BYTES // HALF)
@@ -73,7 +81,9 @@ def half_maxima(data: np.ndarray, halves: int, tables: list[np.ndarray]) -> np.n
         total = tables[0][pairs[begin:end]]
         for k in range(1, len(tables)):
             total += tables[k][pairs[begin + k : end + k]]
-        out[i : i + n] = total.reshape(n, steps, FILTERS).max(axis=1)
+        by_half = total.reshape(n, steps, FILTERS)
+        shut_ends(by_half, last[(last >= i) & (last < i + n)] - i)
+        out[i : i + n] = by_half.max(axis=1)
     return out
 
 
@@ -98,7 +108,7 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 def score_texts(net: Network, tables: list[np.ndarray], texts: list[bytes]) -> np.ndarray:
     data, counts = lay_out(texts)
-    pooled, chunks = pool_chunks(half_maxima(data, int(counts.sum()), tables), counts, net.bias)
+    pooled, chunks = pool_chunks(half_maxima(data, counts, tables), counts, net.bias)
     return logistic(features(pooled, chunks) @ net.weights + net.offset)
 
 
@@ -133,6 +143,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Network:
             for k in range(WIDTH):
                 conv += net.filters[k][data[k : k + places * STEP : STEP]]
             by_half = conv.reshape(-1, steps, FILTERS)
+            shut_ends(by_half, np.cumsum(counts) - 1)
             where = by_half.argmax(axis=1)
             halves = np.take_along_axis(by_half, where[:, None, :], axis=1)[:, 0]
             where = where + steps * np.arange(len(where))[:, None]  # place of each half chunk's maximum
@@ -193,7 +204,7 @@ def _scorer(net: Network | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.pair_tables() if net else []
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t.encode() for t in batch.column(1).to_pylist()]
             out = score_texts(net, tables, texts) if net and texts else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
@@ -219,7 +230,7 @@ def keep_good(docs: DataFrame, net: Network | None) -> DataFrame:
     run = _scorer(net)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("scored text"))
             pairs = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), texts], ["row", "text"])
             for scored in run(iter([pairs])):
