@@ -170,8 +170,8 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     plan, small = quotas(docs, mix)
     rows = docs.select(_source(), "source", F.col("doc_id").cast("long").alias("doc_id"))
     out = _copies(rows, plan, small, mix).withColumn("mix_key", permutation_key(mix.seed, F.col("doc_id"), F.col("copy")))
-    time = (F.col("copy") + F.col("mix_key") / F.lit(float(KEY_RANGE))) * F.col("tokens") / F.col("quota")
-    block = F.least(F.floor(time * F.col("mix_blocks")), F.col("mix_blocks") - 1).alias("mix_block")
+    time = F.try_divide((F.col("copy") + F.col("mix_key") / F.lit(float(KEY_RANGE))) * F.col("tokens"), F.col("quota"))
+    block = F.coalesce(F.least(F.floor(time * F.col("mix_blocks")), F.col("mix_blocks") - 1), F.lit(0)).alias("mix_block")
     return out.select("doc_id", "source", "copy", block, "mix_key")
 
 

@@ -2,4 +2,109 @@
 
 from __future__ import annotations
 
+from tripfold.llm.mixing import KEY_RANGE, STEPS, Mix
+from tripfold.llm.quality_rules import RULES, STOP_WORDS
+
 ORACLE: dict[str, str] = {}
+
+_BLANK = r"[\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]"
+
+
+def _rules_sql() -> str:
+    tests = []
+    for rule in RULES:
+        tests += [f"coalesce({rule.metric} >= {rule.low}, true)"] if rule.low is not None else []
+        tests += [f"coalesce({rule.metric} <= {rule.high}, true)"] if rule.high is not None else []
+    return " and ".join(tests)
+
+
+ORACLE["op3_quality_rules"] = rf"""
+with texts as (
+    select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
+), parts as (
+    select r, doc_id, t,
+           list_filter(string_split_regex(t, '{_BLANK}'), lambda w: w <> '') as words,
+           list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) as lines
+    from texts
+), windows as (
+    select r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as w
+    from (select r, words, unnest(range(1, len(words) - 1)) as i from parts)
+), repeated as (
+    select r, i from (select r, i, count(*) over (partition by r, w) as n from windows) where n > 1
+), covered as (
+    select r, count(distinct p) as n from (select r, unnest([i, i + 1, i + 2]) as p from repeated) group by r
+), counts as (
+    select doc_id, len(words) as n_words, length(array_to_string(words, '')) as word_chars,
+           length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(covered.n, 0) as n_repeat_words,
+           len(lines) as n_lines,
+           len(list_filter(words, lambda w: w in ({", ".join(f"'{w}'" for w in STOP_WORDS)}))) as n_stop_words,
+           len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09-\x0D]*[-*•]'))) as n_bullet_lines,
+           len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) as n_open_lines
+    from parts left join covered using (r)
+), judged as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and {_rules_sql()} as kept
+from judged
+"""
+
+
+def _bisect_sql(name: str, good: str) -> str:
+    return f"""
+{name} as (
+    select 0 as i, 0::bigint as low, {(1 << STEPS) + 1}::bigint as high
+    union all
+    select i + 1, case when good then k else low end, case when good then high else k end
+    from (
+        select i, low, high, k, {good} as good
+        from (select i, low, high, k, shares, wanted, weights, list_sum(weights) as z
+              from (select i, low, high, k, shares, wanted, list_transform(shares, lambda p: pow(p, k / {1 << STEPS}::double)) as weights
+                    from (select i, low, high, (low + high) // 2 as k from {name} where i <= {STEPS}), stats))
+    )
+)"""
+
+
+def _key_sql(copy: str) -> str:
+    return f"('0x' || substr(md5('{Mix().seed}|' || {copy} || '|' || coalesce(doc_id::varchar, '')), 1, 15))::bigint"
+
+
+_LIMIT = Mix().max_repeats
+_ENTROPY = "list_sum(list_transform(weights, lambda w: -w / z * ln(w / z))) >= wanted"
+_REPEATS = f"{Mix().budget} * weights[1] / z / shares[1] > {_LIMIT}"
+ORACLE["op8_mixing"] = f"""
+with recursive texts as (
+    select source, doc_id, len(regexp_extract_all(coalesce(text, ''), '{_WORD}+')) as n from documents
+), sources as (
+    select source, sum(n)::bigint as tokens, count(*) as n_rows from texts group by source
+), totals as (
+    select sum(tokens)::bigint as total, list(tokens order by tokens) filter (tokens > 0) as counts from sources
+), stats as (
+    select total, list_transform(counts, lambda c: c / total::double) as shares, {Mix().entropy} * ln(len(counts)) as wanted from totals
+), {_bisect_sql("by_entropy", _ENTROPY)}, {_bisect_sql("too_often", _REPEATS)}, chosen as (
+    select greatest((select low from by_entropy where i = {STEPS + 1}),
+                    case when {Mix().budget} / len(shares) / shares[1] > {_LIMIT}
+                         then least((select low from too_often where i = {STEPS + 1}) + 1, {1 << STEPS}) else 0 end) as k,
+           total, shares
+    from stats
+), norms as (
+    select k, total, list_sum(list_transform(shares, lambda p: pow(p, k / {1 << STEPS}::double))) as z from chosen
+), plan as (
+    select source, tokens, quota, coalesce(quota // nullif(tokens, 0), 0) as passes, mix_blocks
+    from (select source, tokens, greatest(ceil(budget / {Mix().block_tokens}::double), 1)::bigint as mix_blocks,
+                 floor(budget * case when tokens > 0 then pow(tokens / total::double, k / {1 << STEPS}::double) / z else 0 end)::bigint as quota
+          from (select *, floor(total * {Mix().budget}) as budget from sources, norms))
+), keyed as (
+    select texts.source, doc_id, n, tokens, quota, passes, mix_blocks, {_key_sql("passes")} as key
+    from texts join plan on texts.source is not distinct from plan.source
+), extra as (
+    select *, passes + (tokens > 0 and sum(n) over (partition by source order by key) <= quota - passes * tokens)::int as copies from keyed
+), copied as (
+    select source, doc_id, tokens, quota, mix_blocks, unnest(range(copies)) as copy from extra
+)
+select doc_id, source, copy, {_key_sql("copy")} as mix_key,
+       coalesce(least(floor((copy + {_key_sql("copy")} / {KEY_RANGE}::double) * tokens / nullif(quota, 0) * mix_blocks)::bigint, mix_blocks - 1), 0) as mix_block
+from copied
+"""

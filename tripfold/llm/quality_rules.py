@@ -35,13 +35,13 @@ class Rule:
 
 #: The production table.
 RULES = (
-    Rule("word_length", "word_chars / n_words", 2, 15),
-    Rule("symbols", "n_symbols / n_words", None, 0.25),
-    Rule("stop_words", "n_stop_words / n_words", 0.02, None),
-    Rule("repeated_lines", "n_dup_lines / n_lines", None, 0.6),
-    Rule("line_words", "n_words / n_lines", 2, None),
-    Rule("bullet_lines", "n_bullet_lines / n_lines", None, 0.9),
-    Rule("open_lines", "n_open_lines / n_lines", None, 0.5),
+    Rule("word_length", "word_chars / nullif(n_words, 0)", 2, 15),
+    Rule("symbols", "n_symbols / nullif(n_words, 0)", None, 0.25),
+    Rule("stop_words", "n_stop_words / nullif(n_words, 0)", 0.02, None),
+    Rule("repeated_lines", "n_dup_lines / nullif(n_lines, 0)", None, 0.6),
+    Rule("line_words", "n_words / nullif(n_lines, 0)", 2, None),
+    Rule("bullet_lines", "n_bullet_lines / nullif(n_lines, 0)", None, 0.9),
+    Rule("open_lines", "n_open_lines / nullif(n_lines, 0)", None, 0.5),
 )
 
 
