@@ -1,0 +1,108 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import ODD_TEXTS, prose, rows, table
+
+from tripfold.llm import ordered, token_counts, token_files, wordcodec
+
+BYTES, WORDS, PIECES = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
+ALPHABET = "ab Zé.,'~|<>\n\t \x1c▁12日\x85　ß"
+
+
+def whole(path, text):
+    return wordcodec.load_tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+@given(texts=st.lists(st.text(ALPHABET, max_size=40), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_words_alone_give_the_ids_of_the_text(path, spaces, texts):
+    found = wordcodec.codec(path, spaces).encode(texts)
+    assert [x.tolist() for x in found] == [whole(path, t) for t in texts]
+
+
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+def test_tables_that_fill_up_and_long_texts(monkeypatch, path, spaces):
+    texts = [t or "" for t in ODD_TEXTS] + [prose(i, 200) for i in range(40)]
+    monkeypatch.setattr(wordcodec, "RECENT_WORDS", 20)
+    monkeypatch.setattr(wordcodec, "KNOWN_WORDS", 900)
+    monkeypatch.setattr(wordcodec, "GROUP_BYTES", 700)  # most texts are read in parts
+    words = wordcodec.WordCodec(path, spaces)
+    for _ in range(2):
+        assert [x.tolist() for x in words.encode(texts)] == [whole(path, t) for t in texts]
+
+
+@given(texts=st.lists(st.text(ALPHABET, max_size=40), max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_counts_are_the_librarys(texts):
+    counter = token_counts.Counter(PIECES, token_counts.whole_tokens(PIECES))
+    assert counter.count(texts) == [len(token_counts.load_model(PIECES).encode(t)) for t in texts]
+
+
+def test_whole_tokens_are_proven():
+    model = token_counts.load_model(PIECES)
+    shortcut = token_counts.whole_tokens(PIECES)
+    assert len(shortcut) > 30_000
+    words = [w for w in shortcut if w and w[0] != "\n"]
+    assert all(len(ids) == 1 for ids in model.encode(words))
+
+
+def test_count_query(spark):
+    data = rows()
+    found = token_counts.count_tokens(table(spark, data), PIECES, 100).collect()
+    model = token_counts.load_model(PIECES)
+    expected = [(r[0], len((r[1] or "").encode()), n := len(model.encode(r[1] or "")), n > 100) for r in data]
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+    assert token_counts.count_tokens(table(spark).limit(0), PIECES, 100).count() == 0
+
+
+@given(bits=st.integers(1, 32), data=st.data())
+@settings(max_examples=120, deadline=None)
+def test_packed_integers(bits, data):
+    values = np.array(data.draw(st.lists(st.integers(0, 2**bits - 1), max_size=70)), "<u4")
+    packed = token_files.pack(values, bits)
+    assert len(packed) == (len(values) * bits + 7) // 8
+    assert (token_files.unpack(packed, bits, len(values)) == values).all()
+
+
+@pytest.mark.parametrize("bits", [5, 16, 17])
+def test_file_gives_any_document(bits):
+    rng = np.random.default_rng(bits)
+    docs = [rng.integers(0, 2**bits, n).astype("<u4") for n in (0, 1, 30, 5, 0, 200)]
+    data = token_files.file_bytes([3, None, 5, 6, 7, 8], docs, bits, block=16)
+    file = token_files.TokenFile(lambda place, size: data[place : place + size], len(data))
+    assert file.doc_ids == [3, None, 5, 6, 7, 8]
+    for place, ids in enumerate(docs):
+        assert (file.document(place) == ids).all()
+    with pytest.raises(ValueError):
+        token_files.TokenFile(lambda place, size: data[place : place + size], len(data) - 1)
+
+
+@pytest.mark.parametrize("file_ids", [token_files.FILE_IDS, 300])
+def test_files_round_trip(spark, tmp_path, monkeypatch, file_ids):
+    monkeypatch.setattr(token_files, "FILE_IDS", file_ids)
+    data = [(i, t) for i, (_, t, *_) in enumerate(rows())]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    files = ordered.kept(token_files.write_token_files(docs, f"{tmp_path}/ids", BYTES, 0))
+    found = {r.doc_id: r for r in token_files.read_token_files(spark, f"{tmp_path}/ids", files).collect()}
+    at = 0
+    for key, text in data:
+        ids = [*whole(BYTES, text or ""), 0]
+        r = found[key]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+    first = token_files.open_file(f"{tmp_path}/ids/{min(r.file for r in files.collect())}")
+    assert first.bits == 16 and first.document(0).tolist() == [*whole(BYTES, data[0][1] or ""), 0]
+
+
+def test_files_of_awkward_tables(spark, tmp_path):
+    files = ordered.kept(token_files.write_token_files(table(spark).limit(0), f"{tmp_path}/none", BYTES, 0))
+    assert files.count() == 0 and token_files.read_token_files(spark, f"{tmp_path}/none", files).count() == 0
+    files = ordered.kept(token_files.write_token_files(table(spark), f"{tmp_path}/some", BYTES, 0))
+    found = token_files.read_token_files(spark, f"{tmp_path}/some", files).collect()
+    assert len(found) == len(rows()) and found.count(None) == 0
+    assert min((r.start, str(r.doc_id)) for r in found)[1] == "None"  # rows without an id come first
