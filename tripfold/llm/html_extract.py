@@ -10,6 +10,7 @@ the tree beforehand, by element and by the words of their class, id and role.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -46,6 +47,7 @@ ENDS_P = frozenset(
 )
 SELF_CLOSING = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 WORD = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+TAG = re.compile("<[a-zA-Z/!]")
 MIN_PARAGRAPH = 25  # characters; shorter text earns no points
 COMMA = re.compile("[,،、，]")
 SIBLING_SHARE = 0.2  # of the best score
@@ -76,7 +78,7 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.noise = [""], [-1], [False]
-        self.open = [0]
+        self.open, self.opened = [0], Counter()
         self.items: list[tuple[int, str | None]] = []
 
     def handle_starttag(self, tag, attrs):
@@ -88,20 +90,19 @@ class Tree(HTMLParser):
         node = len(self.tags)
         self.tags.append(tag)
         self.parents.append(self.open[-1])
-        self.noise.append(is_noise(tag, attrs, any(self.tags[i] == "article" for i in self.open)))
+        self.noise.append(is_noise(tag, attrs, self.opened["article"] > 0))
         if tag == "br":
             self.items.append((self.open[-1], " "))
         elif tag not in INLINE:
             self.items.append((node, None))
         if tag not in VOID:
             self.open.append(node)
+            self.opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag == "p" and "p" not in (self.tags[n] for n in self.open):
-            return
         self._close({tag}, stop="" if tag in ("html", "body", "table", "article", "main") else "table article main" if tag not in INLINE else "p td th li div section article main table")
 
     def handle_data(self, data):
@@ -109,12 +110,15 @@ class Tree(HTMLParser):
 
     def _close(self, tags: set[str], stop: str) -> None:
         """Closes the nearest open element of the tags and all in it, if no element of `stop` is between."""
+        if not any(self.opened[tag] for tag in tags):
+            return
         limits = stop.split()
         for i in range(len(self.open) - 1, 0, -1):
             name = self.tags[self.open[i]]
             if name in tags:
                 if name not in INLINE:
                     self.items.append((self.open[i], None))
+                self.opened.subtract(self.tags[n] for n in self.open[i:])
                 del self.open[i:]
                 return
             if name in limits:
@@ -124,7 +128,8 @@ class Tree(HTMLParser):
 def main_text(html: str) -> str:
     """The article's blocks, each with single spaces, joined by two line feeds; empty if the page has no text."""
     tree = Tree()
-    tree.feed(html)
+    cut = TAG.search(html, html.rfind(">") + 1)  # a page may end inside a tag
+    tree.feed(html[: cut.start()] if cut else html)
     tree.close()
     tags, parents, n = tree.tags, tree.parents, len(tree.tags)
     gone, linked = tree.noise, [False] * n
@@ -182,7 +187,7 @@ def main_text(html: str) -> str:
     keep = [False] * n
     keep[best] = True
     if tags[best] not in ROOTS:
-        wanted = max(10.0, SIBLING_SHARE * score[best])
+        wanted = max(1.0, SIBLING_SHARE * score[best])
         for i in range(1, n):
             if parents[i] == parents[best] and not gone[i]:
                 plain = not article and tags[i] in ("p", "h1", "h2", "h3", "blockquote", "pre", "ul", "ol", "table")

@@ -56,9 +56,9 @@ def walk(counts: dict[int, int], owners: list[int], room: list[int]) -> list[Run
     if sum(room) < sum(counts.values()):
         raise ValueError("the shards hold fewer rows than there are")
     room, taken, runs = list(room), [0] * len(room), []
-    waiting = {arc: [(arc, 0, n)] for arc, n in counts.items() if n}
+    waiting: dict[int, list[tuple[int, int, int]]] = {arc: [(arc, 0, n)] for arc, n in counts.items() if n}
     while waiting:
-        moved: dict[int, list[tuple[int, int, int]]] = {}
+        left: list[tuple[int, tuple[int, int, int]]] = []
         for arc in sorted(waiting):
             shard = owners[arc]
             for home, begin, end in waiting[arc]:
@@ -68,11 +68,13 @@ def walk(counts: dict[int, int], owners: list[int], room: list[int]) -> list[Run
                     room[shard] -= n
                     taken[shard] += n
                 if begin + n < end:
-                    nxt = (arc + 1) % len(owners)
-                    while not room[owners[nxt]]:  # some shard has room, as rows are left
-                        nxt = (nxt + 1) % len(owners)
-                    moved.setdefault(nxt, []).append((home, begin + n, end))
-        waiting = moved
+                    left.append((arc, (home, begin + n, end)))
+        waiting = {}
+        for arc, rows in left:
+            arc = (arc + 1) % len(owners)
+            while not room[owners[arc]]:  # some shard has room, as rows are left
+                arc = (arc + 1) % len(owners)
+            waiting.setdefault(arc, []).append(rows)
     return runs
 
 
