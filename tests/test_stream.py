@@ -102,12 +102,12 @@ class Crash(Exception):
     pass
 
 
-@pytest.mark.parametrize("step", ["landed", "state_in", "state", "carry", "completed", "append", "publish"])
+@pytest.mark.parametrize("step", ["landed", "state_in", "state", "carry", "completed", "append", "publish", "compact"])
 def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
     """Stops the second batch right after each of its writes; the restart counts nothing twice."""
     events = random_log(12, trips=12, most=5)
     half = len(events) // 2
-    job = TripJob(str(tmp_path / "job"), "p")
+    job = TripJob(str(tmp_path / "job"), "p", compact_every=1)
     deliver(spark, tmp_path, 0, wired(events[:half]))
     run(spark, tmp_path, job)
     deliver(spark, tmp_path, 1, wired(events[half:]))
@@ -123,7 +123,7 @@ def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
 
         monkeypatch.setattr(owner, name, wrapped)
 
-    if step in ("append", "publish"):
+    if step in ("append", "publish", "compact"):
         crash_after(KpiStore, step)
     elif step == "state":  # inside the state query, before it commits
         crash_after(jobs, "save_wanted")
@@ -148,7 +148,7 @@ def test_bad_records_and_empty_batches(spark, tmp_path):
     deliver(spark, tmp_path, 0, [("%%%", 7), (envelope("{}"), 8)])
     progress = run(spark, tmp_path, job).lastProgress
     assert progress.observedMetrics["batch"].asDict() == {
-        "records": 2, "success": 0, "failed": 2, "warnings": 0,
+        "records": 2, "success": 0, "failed": 2, "skipped": 0, "warnings": 0,
     }
     assert job.store(spark).kpis().count() == 0
     deliver(spark, tmp_path, 1, wired(good))
@@ -192,6 +192,61 @@ def test_run_batch(spark, tmp_path):
     assert rows(kpis) == expected_kpis(spark, events, DOCUMENTED)
 
 
+def test_every_batch_counts(spark, tmp_path):
+    """Two batches, a stream that starts over, and another pipeline, all on one root."""
+    def frame(trip, n):
+        events = numbered([start(trip, "05-25 13:19"), end(trip, "05-25 13:40", n)])
+        return spark.createDataFrame(wired(events), "data string, sequence bigint")
+
+    job = TripJob(str(tmp_path / "job"), "p")
+    assert run_batch(frame("a", 1), job).first()["total_fare"] == 1
+    assert run_batch(frame("b", 2), job).first()["total_fare"] == 3
+    deliver(spark, tmp_path, 0, wired(numbered([start("c", "05-25 13:19"), end("c", "05-25 13:40", 4)])))
+    run(spark, tmp_path, job)
+    assert job.store(spark).kpis().first()["total_fare"] == 7
+    jobs.remove_checkpoint(spark, job, "ingest")  # reads the log again: events that are known count once
+    deliver(spark, tmp_path, 1, wired(numbered([start("d", "05-25 13:19"), end("d", "05-25 13:40", 8)])))
+    run(spark, tmp_path, job)
+    other = TripJob(str(tmp_path / "job"), "q")
+    assert run_batch(frame("a", 16), other).first()["total_fare"] == 31
+    assert run_batch(frame("e", 32), job).first()["total_fare"] == 63
+
+
+def test_an_unfinished_batch_is_not_passed_over(spark, tmp_path, monkeypatch):
+    events = numbered([start("a", "05-25 13:19"), end("a", "05-25 13:40", 1)])
+    frame = spark.createDataFrame(wired(events), "data string, sequence bigint")
+    job = TripJob(str(tmp_path / "job"), "p")
+    monkeypatch.setattr(KpiStore, "append", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(frame, job, run_id="first")
+    monkeypatch.undo()
+    with pytest.raises(ValueError, match="first"):
+        run_batch(frame, job)
+    assert run_batch(frame, job, run_id="first").first()["count_trips"] == 1
+    assert run_batch(frame, job, run_id="first").first()["count_trips"] == 1
+
+
+def test_store_keeps_no_stale_day_and_no_base_twice(spark, tmp_path):
+    from tripfold.operators.kpi import dated, partials
+
+    def fares(*days):
+        rows = [(f"2024-05-{d} 10:00:00", "1.00") for d in days]
+        return partials(dated(spark.createDataFrame(rows, "p string, f string").selectExpr("cast(p as timestamp_ntz) as pickup_datetime", "cast(f as decimal(18,2)) as fare_amount")))
+
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        store = KpiStore(spark, str(tmp_path / adaptive), "p")
+        store.append(fares(24, 25), 0)
+        store.publish()
+        store.append(fares(24, 26), 0)
+        store.publish([0])
+        assert rows(store.published()) == rows(store.kpis()) and store.published().count() == 2
+        store.compact(0)
+        store.compact(0)
+        assert store.kpis().count() == 2
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_hot_trip_in_a_stream(spark, tmp_path, hot_floor):
     events = random_log(15, trips=20, most=3, hot=400)
     half = len(events) // 2
@@ -227,7 +282,7 @@ def test_message_stream(spark, tmp_path):
     (source / "1.txt").write_text("\n".join(bodies[5:]))
     fold()
     assert rows(KpiStore(spark, f"{root}/kpi", "p").kpis()) == rows(daily_kpis(trips))
-    staged = spark.read.parquet(f"{root}/messages/batch=0").where("reason is not null")
+    staged = spark.read.parquet(f"{root}/messages/pipeline_id=p/batch=0").where("reason is not null")
     assert sorted(r["reason"] for r in staged.collect()) == ["bad_json", "bad_pickup_datetime"]
 
 

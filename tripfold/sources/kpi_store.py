@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripfold.operators.kpi import finalize, merge_partials
 from tripfold.schemas import KPI_SCHEMA, PARTIAL_SCHEMA
-from tripfold.sources.paths import child_names, numbered
+from tripfold.sources.paths import child_names, is_complete, numbered, remove
 
 
 class KpiStore:
@@ -73,16 +73,27 @@ class KpiStore:
         """Merges batches up to `up_to` into a new base.
 
         Pass only batches that can no longer be replayed. Readers move to the new
-        base once its write has finished; older folders are left in place.
+        base once its write has finished; older folders are left in place. A
+        base that is there stays as it is: it would be read and overwritten at once.
         """
+        if is_complete(self.spark, f"{self._folder('base')}/v={up_to}"):
+            return
         paths = self._live_paths(self.pipeline_id, up_to)
         merge_partials(self._read(paths)).write.mode("overwrite").parquet(
             f"{self._folder('base')}/v={up_to}"
         )
 
     def publish(self, batch_ids: list[int] | None = None) -> None:
-        """Rewrites the published rows of the days that the given batches touch."""
+        """Rewrites the published rows of the days that the given batches touch, or all.
+
+        Days that no batch has any more are removed, also those that an earlier
+        version of a rewritten batch had.
+        """
         rows = self.snapshot()
+        days = {f"pickup_date={r.pickup_date}" for r in rows.select("pickup_date").collect()}  # a row per day
+        for stale in child_names(self.spark, f"{self.root}/published"):
+            if stale.startswith("pickup_date=") and stale not in days:
+                remove(self.spark, f"{self.root}/published/{stale}")
         if batch_ids is not None:
             touched = self._read([self.batch_path(n) for n in batch_ids]).select("pickup_date")
             rows = rows.join(touched.distinct(), "pickup_date", "left_semi")

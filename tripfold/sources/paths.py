@@ -39,6 +39,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of a table that this library wrote."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):

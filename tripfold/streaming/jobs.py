@@ -1,14 +1,19 @@
 """Continuous trip KPIs.
 
 Every micro-batch runs the batch operators; only the state of trips from earlier
-batches is streaming state. Under `root`:
+batches is streaming state. Under `root`, with P the pipeline:
 
-    landed/batch=N       routed events, one pass over the source
-    state_in/batch=N     input of the state query (below)
-    carry/batch=N        state, before batch N, of the trips that batch N touches
-    completed/batch=N    completed trips (or changes), the forwarded messages
-    kpi/...              see KpiStore
-    checkpoints/...
+    runs/P/N-R-B           number N of the pipeline is batch B of run R
+    landed/P/batch=N       routed events, one pass over the source
+    state_in/P/batch=N     input of the state query (below)
+    carry/P/batch=N        state, before batch N, of the trips that batch N touches
+    completed/P/batch=N    completed trips (or changes), the forwarded messages
+    kpi/...                see KpiStore
+    checkpoints/P/...
+
+A pipeline numbers its batches through, whichever run they come from: one stream,
+a stream that starts over, or single batches. A number belongs to one batch of one run,
+so nothing ever reuses or skips another run's folder.
 
 All folders are shared storage, each is written whole for its batch, and a
 replayed batch rewrites or reuses them: a crash at any point counts no trip
@@ -17,6 +22,8 @@ twice. Retention of old folders is left to the storage.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,10 +41,11 @@ from tripfold.operators.trips import (
     trip_history,
 )
 from tripfold.sources.kpi_store import KpiStore
-from tripfold.sources.paths import is_complete, make_dir, numbered
+from tripfold.sources.paths import child_names, is_complete, make_dir, numbered, remove
 
 DOCUMENTED = "documented"  # a trip counts once, at its first completion
 CHANGE_FEED = "change_feed"  # every change to an existing trip counts
+KEEP_ALL = "36500d"  # no file is too old to be read
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -54,6 +62,45 @@ def save_wanted(state: DataFrame, batch_id: int, target: str) -> None:
     wanted.drop("wanted_by").write.mode("overwrite").parquet(target)
 
 
+class BatchLog:
+    """Numbers the batches of a pipeline. Markers are folders, created in one step."""
+
+    def __init__(self, spark: SparkSession, root: str, pipeline_id: str):
+        self.spark = spark
+        self.runs = f"{root}/runs/pipeline_id={pipeline_id}"
+        self.store = KpiStore(spark, f"{root}/kpi", pipeline_id)
+
+    def number(self, run: str, batch_id: int) -> int:
+        """The number of a run's batch: the one it had before, or the next.
+
+        Raises while a batch of another run waits to be finished, because its
+        events are part of the state but not yet of the KPIs.
+        """
+        taken = sorted(n.split("-", 1) for n in child_names(self.spark, self.runs))
+        own = [int(n) for n, batch in taken if batch == f"{run}-{batch_id}"]
+        if own:
+            return own[0]
+        if taken and not is_complete(self.spark, self.store.batch_path(int(taken[-1][0]))):
+            raise ValueError(f"batch {taken[-1][1]} has not finished: run it again first")
+        number = int(taken[-1][0]) + 1 if taken else 0
+        make_dir(self.spark, f"{self.runs}/{number:09d}-{run}-{batch_id}")
+        return number
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
+    """The run that a checkpoint belongs to; a new checkpoint starts a new run."""
+    names = [n for n in child_names(spark, checkpoint) if n.startswith("run=")]
+    if not names:
+        names = [f"run={uuid.uuid4().hex}"]
+        make_dir(spark, f"{checkpoint}/{names[0]}")
+    return names[0].removeprefix("run=")
+
+
+def remove_checkpoint(spark: SparkSession, job: TripJob, query: str) -> None:
+    """Lets a stream start over: the next start is a new run, and reads its source from the begin."""
+    remove(spark, job.checkpoint(query))
+
+
 class TripJob:
     """Applies micro-batches of routed events to the tables under `root`."""
 
@@ -74,7 +121,10 @@ class TripJob:
         self.publish = publish  # keep the table partitioned by pickup day up to date
 
     def path(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/batch={batch_id}"
+        return f"{self.root}/{table}/pipeline_id={self.pipeline_id}/batch={batch_id}"
+
+    def checkpoint(self, query: str) -> str:
+        return f"{self.root}/checkpoints/pipeline_id={self.pipeline_id}/{query}"
 
     def store(self, spark: SparkSession) -> KpiStore:
         return KpiStore(spark, f"{self.root}/kpi", self.pipeline_id)
@@ -125,14 +175,15 @@ class TripJob:
         state = (
             spark.readStream.schema(rows.schema)
             .option("recursiveFileLookup", True)
-            .parquet(f"{self.root}/state_in")
+            .option("maxFileAge", KEEP_ALL)
+            .parquet(f"{self.root}/state_in/pipeline_id={self.pipeline_id}")
             .groupBy("trip_id")
             .agg(*[F.max(c).alias(c) for c in ("start_write", "end_write", "wanted_by")])
         )
         query = (
             state.writeStream.outputMode("update")
             .foreachBatch(keep_wanted)
-            .option("checkpointLocation", f"{self.root}/checkpoints/state")
+            .option("checkpointLocation", self.checkpoint("state"))
             .trigger(availableNow=True)
             .start()
         )
@@ -152,7 +203,8 @@ class TripJob:
         )
 
     def _paths(self, spark: SparkSession, table: str) -> list[str]:
-        return [self.path(table, n) for n in numbered(spark, f"{self.root}/{table}", "batch")]
+        folder = f"{self.root}/{table}/pipeline_id={self.pipeline_id}"
+        return [f"{folder}/batch={n}" for n in numbered(spark, folder, "batch")]
 
 
 def routed(envelopes: DataFrame) -> DataFrame:
@@ -161,10 +213,16 @@ def routed(envelopes: DataFrame) -> DataFrame:
     return rows.withColumn("data", F.when(F.expr("reason is not null or warning is not null"), F.col("data")))
 
 
-def run_batch(envelopes: DataFrame, job: TripJob) -> DataFrame:
-    """One batch over all envelopes; returns the KPI table."""
-    job.process(routed(envelopes), 0)
-    return job.store(envelopes.sparkSession).kpis()
+def run_batch(envelopes: DataFrame, job: TripJob, run_id: str | None = None) -> DataFrame:
+    """One batch over all envelopes, after whatever the pipeline saw before; returns the KPI table.
+
+    Every call counts its envelopes. To repeat a call that failed half-way, name
+    it with `run_id` in both calls: it then counts once.
+    """
+    spark = envelopes.sparkSession
+    number = BatchLog(spark, job.root, job.pipeline_id).number(run_id or uuid.uuid4().hex, 0)
+    job.process(routed(envelopes), number)
+    return job.store(spark).kpis()
 
 
 def start_stream(envelopes: DataFrame, job: TripJob, **trigger) -> StreamingQuery:
@@ -180,36 +238,49 @@ def start_stream(envelopes: DataFrame, job: TripJob, **trigger) -> StreamingQuer
     Counters of every batch are in the query progress under `batch`.
     """
     spark = envelopes.sparkSession
-    make_dir(spark, f"{job.root}/state_in")
+    make_dir(spark, f"{job.root}/state_in/pipeline_id={job.pipeline_id}")
     rows = routed(envelopes).observe("batch", *counters(has_warning=True))
+    run = checkpoint_run(spark, job.checkpoint("ingest"))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        job.process(batch, BatchLog(batch.sparkSession, job.root, job.pipeline_id).number(run, batch_id))
+
     return (
-        rows.writeStream.foreachBatch(job.process)
-        .option("checkpointLocation", f"{job.root}/checkpoints/ingest")
+        rows.writeStream.foreachBatch(process)
+        .option("checkpointLocation", f"{job.checkpoint('ingest')}/query")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def start_message_stream(staged: DataFrame, root: str, pipeline_id: str, **trigger) -> StreamingQuery:
+def start_message_stream(
+    staged: DataFrame, root: str, pipeline_id: str, compact_every: int = 50, **trigger
+) -> StreamingQuery:
     """Folds a stream of completed-trip messages (staging columns, `reason`) into KPIs.
 
-    Unusable messages stay in `root/messages` with their reason, once each.
+    Unusable messages stay in `root/messages` with their reason, once each. Every
+    `compact_every` batches the partial rows so far are merged into one base.
     """
     spark = staged.sparkSession
     rows = cast_staging(staged).observe("batch", *counters(has_warning=True))
+    checkpoint = f"{root}/checkpoints/pipeline_id={pipeline_id}/messages"
+    run = checkpoint_run(spark, checkpoint)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        path = f"{root}/messages/batch={batch_id}"
+        number = BatchLog(session, root, pipeline_id).number(run, batch_id)
+        path = f"{root}/messages/pipeline_id={pipeline_id}/batch={number}"
         write_once(batch, path)
         store = KpiStore(session, f"{root}/kpi", pipeline_id)
-        store.append(partials(session.read.parquet(path).where("reason is null")), batch_id)
-        store.publish([batch_id])
+        store.append(partials(session.read.parquet(path).where("reason is null")), number)
+        store.publish([number])
+        if number and number % compact_every == 0:
+            store.compact(number - 1)
 
     make_dir(spark, root)
     return (
         rows.writeStream.foreachBatch(process)
-        .option("checkpointLocation", f"{root}/checkpoints/messages")
+        .option("checkpointLocation", f"{checkpoint}/query")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
