@@ -136,7 +136,7 @@ def test_numbers_and_fare_warnings(spark):
     rows = route(spark, datas).orderBy("sequence").collect()
     fare = [None if r["fare_amount"] is None else float(r["fare_amount"]) for r in rows]
     assert fare == [7.0, 12.5, 100.0, None, None, None, None, 12.35, None]
-    assert [r["warning"] for r in rows] == [None] * 3 + ["bad_fare"] * 3 + [None, None, "bad_fare"]
+    assert [r["warning"] for r in rows] == [None] * 3 + ["bad_fare"] * 3 + [None, "rounded_fare", "bad_fare"]
     assert all(r["reason"] is None and r["trip_type"] == 2 for r in rows)
 
 
@@ -168,6 +168,7 @@ def test_counters(spark):
         "records": 4,
         "success": 1,
         "failed": 3,
+        "skipped": 0,
         "warnings": 0,
     }
     assert {r["reason"]: r["rows"] for r in reasons(routed).collect()} == {
@@ -186,7 +187,7 @@ def test_records_array_source(spark, tmp_path):
     lines = ['{"Records": []}', "{}", __import__("json").dumps({"Records": [record, record]})]
     (tmp_path / "r.json").write_text("\n".join(lines))
     rows = read_envelope_batches(spark.read, str(tmp_path)).collect()
-    assert [tuple(r) for r in rows] == [("eyJ0IjoxfQ==", "k", "49")] * 2
+    assert [tuple(r) for r in rows] == [("eyJ0IjoxfQ==", "k", (2, "49"))] * 2
 
     flat = tmp_path / "flat"
     flat.mkdir()
@@ -203,23 +204,55 @@ def test_records_array_source(spark, tmp_path):
     assert rows.where(F.col("image").isNull()).count() == 1
 
 
+def test_delivered_sequences_have_numeric_order(spark):
+    from tripfold.functions.scalars import sequence_order
+
+    texts = ["10", "9", "0011", "4" * 56, "", "x1", None, "000"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("s", sequence_order(F.col("t")))
+    good = rows.where("s is not null").orderBy("s").collect()
+    assert [r["t"] for r in good] == ["000", "9", "10", "0011", "4" * 56]
+    assert {r["t"] for r in rows.where("s is null").collect()} == {"", "x1", None}
+
+
+def test_fractions_of_a_second_stay(spark):
+    event = {"trip_id": "a", "pickup_datetime": "2024-05-25 13:19:00.25"}
+    events = good_events(route(spark, [envelope(event)]))
+    assert str(events.first()["pickup_datetime"]) == "2024-05-25 13:19:00.250000"
+    back = good_events(route_events(decode_envelopes(encode_envelopes(events))))
+    assert back.collect() == events.collect()
+
+
+def test_end_fields_are_validated(spark):
+    fields = {"trip_id": "a", "tip_amount": "abc", "payment_type": "x", "trip_distance": "1.234"}
+    rows = route(spark, [envelope({**fields, "dropoff_datetime": t}) for t in (PICKUP, "25/05/2024")]).orderBy("sequence").collect()
+    assert [(r["reason"], r["warning"]) for r in rows] == [
+        (None, "rounded_trip_distance,bad_tip_amount,bad_payment_type"),
+        ("bad_dropoff_datetime", None),
+    ]
+
+
 def test_csv_source(spark, tmp_path):
     from tripfold.sources.readers import CORRUPT, read_ends_csv, read_starts_csv
 
     header = "trip_id,pickup_location_id,dropoff_location_id,vendor_id,pickup_datetime,estimated_dropoff_datetime,estimated_fare_amount"
     starts = tmp_path / "starts.csv"
-    starts.write_text(f"{header}\nt1,1,2,1,2024-05-25 13:19:00,,12.50\nt2,1,2,1,not a date,,1\n")
-    rows = read_starts_csv(spark.read, str(starts)).orderBy("trip_id").collect()
-    assert str(rows[0]["pickup_datetime"]) == "2024-05-25 13:19:00" and float(rows[0]["estimated_fare_amount"]) == 12.5
-    assert rows[0][CORRUPT] is None and rows[1][CORRUPT].startswith("t2,")
-
-    header = "trip_id,dropoff_datetime,rate_code,passenger_count,trip_distance,fare_amount,tip_amount,payment_type,trip_type"
-    ends = tmp_path / "ends.csv"
-    ends.write_text(f"{header}\nt1,2024-05-25 13:40:00,1,2,3.5,12.50,0,1,1\n")
+    lines = ["t1,1,2,1,2024-05-25 13:19:00,,12.50", "t2,1,2,1,not a date,,1", "t3,1", ",1,2,1,2024-05-25 13:19:00,,1"]
+    starts.write_text("\n".join([header, *lines]) + "\n")
+    rows = {r["trip_id"]: r for r in read_starts_csv(spark.read, str(starts)).collect()}
+    assert str(rows["t1"]["pickup_datetime"]) == "2024-05-25 13:19:00" and float(rows["t1"]["estimated_fare_amount"]) == 12.5
+    assert {k: r["reason"] for k, r in rows.items()} == {
+        "t1": None, "t2": "bad_pickup_datetime", "t3": "bad_line", None: "missing_trip_id",
+    }
+    assert rows["t1"][CORRUPT] is None and rows["t3"][CORRUPT].startswith("t3,")
+
+    header = "dropoff_datetime,rate_code,passenger_count,trip_distance,fare_amount,tip_amount,payment_type,trip_type,trip_id"
+    ends = tmp_path / "ends.csv"  # the documented order; a column with gaps has its integers as 1.0
+    ends.write_text(f"{header}\n2024-05-25 13:40:00,1,2.0,3.5,12.50,abc,1.0,,t1\n")
     row = read_ends_csv(spark.read, str(ends)).first()
-    assert row["passenger_count"] == 2 and float(row["fare_amount"]) == 12.5
+    assert row["trip_id"] == "t1" and row["passenger_count"] == 2 and float(row["fare_amount"]) == 12.5
+    assert row["payment_type"] == 1 and row["trip_type"] is None and row["warning"] == "bad_tip_amount"
 
-    shifted = tmp_path / "shifted.csv"
-    shifted.write_text("vendor_id,trip_id\n1,2\n")
-    with pytest.raises(Exception):
-        read_starts_csv(spark.read, str(shifted)).collect()
+    other = tmp_path / "other.csv"
+    other.write_text("vendor_id,id\n1,2\n")
+    with pytest.raises(ValueError):
+        read_starts_csv(spark.read, str(other))

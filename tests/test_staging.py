@@ -23,7 +23,7 @@ def test_unwrap(spark):
     row = messages_to_staging(unwrap_changes(records(spark, ("MODIFY", image)))).first()
     assert row["fare_amount"] == "1.50" and row["trip_id"] == "a"
     assert row["vendor_id"] is None and row["pickup_datetime"] is None
-    assert [c for c in row.asDict() if c in STAGING_FIELDS] == STAGING_FIELDS
+    assert [c for c in row.asDict() if c in STAGING_FIELDS] == list(STAGING_FIELDS)
 
 
 def test_only_modify_with_an_image(spark):
@@ -37,13 +37,15 @@ def test_only_modify_with_an_image(spark):
         ("MODIFY", '{"trip_id":{}}'),
         ("MODIFY", '{"trip_id":5}'),
         ("MODIFY", "[]"),
+        ("MODIFY", '{"trip_id":{"S":"a"}} behind'),
         ("MODIFY", '{"trip_id":{"S":"a"}}'),
     )
     unwrapped = unwrap_changes(rows)
     assert sorted(str(r["reason"]) for r in unwrapped.collect()) == sorted(
-        ["empty_image", "empty_image", "bad_image", "bad_image", "bad_image", "None"]
+        ["empty_image", "empty_image", "bad_image", "bad_image", "bad_image", "bad_image", "None"]
     )
-    assert batch_counters(unwrapped).first()["success"] == 1
+    counts = batch_counters(unwrapped).first()
+    assert (counts["success"], counts["failed"], counts["skipped"]) == (1, 4, 2)
 
 
 def test_bodies(spark):
@@ -71,7 +73,7 @@ def test_cast(spark):
         ("1", None),
     ]
     staged = to_staging(spark.createDataFrame(values, "fare_amount string, pickup_datetime string"))
-    assert staged.columns == STAGING_FIELDS
+    assert staged.columns == list(STAGING_FIELDS)
     rows = cast_staging(staged).collect()
     assert [None if r["fare"] is None else float(r["fare"]) for r in rows] == [12.5, None, None, None, None, 1]
     assert [str(r["pickup_date"]) for r in rows] == [

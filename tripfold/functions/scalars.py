@@ -78,15 +78,29 @@ def to_datetime(text: Column) -> Column:
 def wire_datetime(at: Column) -> Column:
     """A wall-clock datetime as `yyyy-MM-dd HH:mm:ss`.
 
-    `date_format` would move times that the session's zone skips.
+    A fraction of a second, where there is one, follows. `date_format` would move
+    times that the session's zone skips.
     """
-    return F.substring(at.cast("string"), 1, 19)
+    return at.cast("string")
 
 
 def to_day(text: Column) -> Column:
     return text.try_cast("date")
 
 
+def sequence_order(text: Column) -> Column:
+    """A whole number of any length, delivered as text, in an orderable form; NULL for other text."""
+    digits = F.regexp_replace(text, "^0+(?=.)", "")
+    return F.when(
+        text.rlike("^[0-9]+$"), F.struct(F.length(digits).alias("digits"), digits.alias("number"))
+    )
+
+
+def loses_digits(text: Column, dtype: DataType) -> Column:
+    """Whether `to_number` rounds the text's number."""
+    return F.coalesce(text.try_cast("decimal(38,16)") != to_number(text, dtype), F.lit(False))
+
+
 def typed(text: Column, dtype: DataType) -> Column:
     """Wire text as a schema type."""
     if isinstance(dtype, StringType):
@@ -113,3 +127,19 @@ def computed_once(df: DataFrame) -> DataFrame:
     repeating the parse for every mention of the column.
     """
     return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
+
+
+def field_warning(text: Column, name: str, dtype: DataType) -> Column | None:
+    """What is lost when a field is typed: the whole value, digits, or nothing (NULL)."""
+    if isinstance(dtype, StringType):
+        return None
+    short = "fare" if name == "fare_amount" else name
+    unreadable = F.when(text.isNotNull() & typed(text, dtype).isNull(), f"bad_{short}")
+    if isinstance(dtype, TimestampNTZType):
+        return unreadable
+    return F.coalesce(unreadable, F.when(loses_digits(text, dtype), f"rounded_{short}"))
+
+
+def joined_warnings(warnings: list[Column | None]) -> Column:
+    """All warnings of a row in one text; NULL without any."""
+    return F.nullif(F.concat_ws(",", *[w for w in warnings if w is not None]), F.lit(""))

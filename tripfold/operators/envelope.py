@@ -10,13 +10,11 @@ from tripfold.functions.scalars import (
     computed_once,
     json_reason,
     utf8_text,
+    wire_datetime,
     with_json_object,
 )
 from tripfold.schemas import END_FIELDS, START_FIELDS
 
-# Fixed value: the datetime form events carry on the wire.
-WIRE_DATETIME = "yyyy-MM-dd HH:mm:ss"
-
 # Fields whose JSON type matters stay typed; the others are read as text.
 TYPED_FIELDS = ("trip_id", "pickup_datetime", "dropoff_datetime")
 DOC_FIELDS = ", ".join(
@@ -31,8 +29,12 @@ def encode_envelopes(events: DataFrame) -> DataFrame:
     Narrow on purpose: the key and the sequence travel as columns, so no shuffle
     by trip is needed and a very large trip does not end up in one file.
     """
-    payload = [c for c in events.columns if c not in ("kind", "sequence")]
-    body = F.to_json(F.struct(*payload), {"timestampNTZFormat": WIRE_DATETIME})
+    payload = [
+        (wire_datetime(F.col(c)) if dtype == "timestamp_ntz" else F.col(c)).alias(c)
+        for c, dtype in events.dtypes
+        if c not in ("kind", "sequence")
+    ]
+    body = F.to_json(F.struct(*payload))
     return events.select(
         F.base64(F.encode(body, "UTF-8")).alias("data"),
         F.col("trip_id").alias("partition_key"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.functions.scalars import computed_once, is_truthy, typed, variant_text
+from tripfold.functions.scalars import computed_once, field_warning, is_truthy, joined_warnings, typed, variant_text
 from tripfold.operators.envelope import TYPED_FIELDS
 from tripfold.schemas import END_PAYLOAD, START_PAYLOAD
 
@@ -14,8 +14,9 @@ def route_events(decoded: DataFrame) -> DataFrame:
     """Types the payload, adds `kind`, and extends `reason` and `warning`.
 
     A truthy pickup time makes a start, else a truthy dropoff time makes an end.
-    Only the fields of the routed kind are filled. Rows with a `reason` are out;
-    a `warning` reports a row that stays in (an unreadable fare counts as none).
+    Only the fields of the routed kind are filled. Rows with a `reason` are out,
+    among them events whose own time is unreadable; a `warning` names the other
+    fields that are unreadable (and count as missing) or lose digits.
     """
     doc = F.col("doc")
     flagged = decoded.withColumns(
@@ -26,6 +27,7 @@ def route_events(decoded: DataFrame) -> DataFrame:
         }
     ).withColumn("kind", F.when(F.col("_has_pickup"), "start").when(F.col("_has_dropoff"), "end"))
 
+    warnings = []
     columns = {"trip_id": F.when(F.col("_has_id"), variant_text(doc["trip_id"]))}
     for kind, payload in (("start", START_PAYLOAD), ("end", END_PAYLOAD)):
         for field in payload:
@@ -33,23 +35,27 @@ def route_events(decoded: DataFrame) -> DataFrame:
             if field.name in TYPED_FIELDS:
                 text = variant_text(text)
             columns[field.name] = F.when(F.col("kind") == kind, typed(text, field.dataType))
+            warning = field_warning(text, field.name, field.dataType)
+            if warning is not None:
+                warnings.append(F.when(F.col("kind") == kind, warning))
 
     unordered = F.col("sequence").isNull() if "sequence" in decoded.columns else F.lit(False)
     no_pickup = (F.col("kind") == "start") & F.col("pickup_datetime").isNull()
+    no_dropoff = (F.col("kind") == "end") & F.col("dropoff_datetime").isNull()
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(~F.col("_has_id"), "missing_trip_id")
         .when(F.col("kind").isNull(), "missing_datetimes")
         .when(unordered, "missing_sequence")
         .when(no_pickup, "bad_pickup_datetime")
+        .when(no_dropoff, "bad_dropoff_datetime")
     )
-    bad_fare = (F.col("kind") == "end") & doc["fare_amount"].isNotNull() & F.col("fare_amount").isNull()
     return computed_once(
-        flagged.withColumns(columns)
+        flagged.withColumns({**columns, "_warnings": joined_warnings(warnings)})
         .withColumn("reason", reason)
-        .withColumn("warning", F.when(F.col("reason").isNull() & bad_fare, "bad_fare"))
+        .withColumn("warning", F.when(F.col("reason").isNull(), F.col("_warnings")))
         .withColumn("kind", F.when(F.col("reason").isNull(), F.col("kind")))
-        .drop("doc", "_has_id", "_has_pickup", "_has_dropoff")
+        .drop("doc", "_has_id", "_has_pickup", "_has_dropoff", "_warnings")
     )
 
 

@@ -7,11 +7,16 @@ from pyspark.sql import functions as F
 
 
 def counters(has_warning: bool = False) -> list:
-    """Aggregate columns over rows that carry a `reason`."""
+    """Aggregate columns over rows that carry a `reason`.
+
+    A change without an image is `skipped`: nothing failed, there was nothing to forward.
+    """
+    is_empty = F.coalesce(F.col("reason") == "empty_image", F.lit(False))
     columns = [
         F.count("*").alias("records"),
         F.count_if(F.col("reason").isNull()).alias("success"),
-        F.count_if(F.col("reason").isNotNull()).alias("failed"),
+        F.count_if(F.col("reason").isNotNull() & ~is_empty).alias("failed"),
+        F.count_if(is_empty).alias("skipped"),
     ]
     if has_warning:
         columns.append(F.count_if(F.col("warning").isNotNull()).alias("warnings"))

@@ -25,8 +25,13 @@ def unwrap_changes(records: DataFrame) -> DataFrame:
     `records` has `event_name` and `image` (typed-attribute JSON text). Other
     change kinds are dropped before the image is parsed.
     """
-    parsed = records.where("event_name = 'MODIFY'").withColumn(
-        "_image", F.from_json("image", IMAGE_TYPE)
+    # in brackets, as in `with_json_object`: text behind the object counts as an error
+    in_brackets = F.concat(F.lit("["), F.col("image"), F.lit("]"))
+    parsed = (
+        records.where("event_name = 'MODIFY'")
+        .withColumn("_images", F.from_json(in_brackets, f"array<{IMAGE_TYPE}>"))
+        .withColumn("_image", F.when(F.size("_images") == 1, F.get("_images", F.lit(0))))
+        .drop("_images")
     )
     empty = F.col("image").isNull() | F.trim("image").isin("", "null", "{}")
     broken = F.col("_image").isNull() | F.exists(

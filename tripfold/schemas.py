@@ -54,10 +54,21 @@ END_PAYLOAD = _struct(
 )
 # --- fixed values: completed-trip message, all strings, in message order ---
 STAGING_FIELDS = (
-    "trip_id fare_amount estimated_fare_amount estimated_dropoff_datetime "
-    "pickup_location_id pickup_datetime dropoff_location_id rate_code "
-    "trip_distance payment_type trip_type vendor_id tip_amount dropoff_datetime"
-).split()
+    "trip_id",
+    "fare_amount",
+    "estimated_fare_amount",
+    "estimated_dropoff_datetime",
+    "pickup_location_id",
+    "pickup_datetime",
+    "dropoff_location_id",
+    "rate_code",
+    "trip_distance",
+    "payment_type",
+    "trip_type",
+    "vendor_id",
+    "tip_amount",
+    "dropoff_datetime",
+)
 
 START_FIELDS = START_PAYLOAD.names
 END_FIELDS = END_PAYLOAD.names

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tripfold.operators.envelope import WIRE_DATETIME
+from tripfold.functions.scalars import field_warning, joined_warnings, sequence_order, typed
 from tripfold.schemas import (
     CHANGE_RECORDS_SCHEMA,
     END_SCHEMA,
@@ -16,50 +16,68 @@ from tripfold.schemas import (
 )
 
 CORRUPT = "_corrupt_record"
+KEEP_ALL = "36500d"  # no file is too old for a stream to read
 
 
-def _csv(reader, path: str, schema: StructType) -> DataFrame:
-    """Typed CSV with a header; a line that does not fit keeps its text in `_corrupt_record`.
+def _csv(reader, path: str, schema: StructType, time: str) -> DataFrame:
+    """CSV with a header, read by column name, typed, with `reason` and `warning`.
 
-    The header must name the schema's columns in order: with
-    `enforceSchema=false` a reordered file fails instead of shifting values.
+    Columns may come in any order and unknown ones are ignored; all files of a folder
+    must have one header. A line that does not fit its header, has no trip id or no
+    readable `time` gets a `reason` and keeps its text in `_corrupt_record` if it
+    could not be split; other unreadable fields give a `warning`.
     """
-    return reader.csv(
-        path,
-        schema=schema.add(CORRUPT, "string") if CORRUPT not in schema.names else schema,
-        header=True,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
-        enforceSchema=False,
+    names = SparkSession.active().read.csv(path, header=True).columns
+    if "trip_id" not in names:
+        raise ValueError(f"no trip_id column in {path}")
+    texts = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
+    lines = reader.option("maxFileAge", KEEP_ALL).csv(
+        path, schema=texts, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=False
     )
+    columns, warnings = {}, []
+    for f in schema:
+        text = F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast("string")
+        columns[f.name] = typed(text, f.dataType)
+        if f.name not in ("trip_id", time):
+            warnings.append(field_warning(text, f.name, f.dataType))
+    reason = (
+        F.when(F.col(CORRUPT).isNotNull(), "bad_line")
+        .when(F.coalesce(F.col("trip_id"), F.lit("")) == "", "missing_trip_id")
+        .when(columns[time].isNull(), f"bad_{time}")
+    )
+    read = lines.select(
+        *[c.alias(n) for n, c in columns.items()],
+        reason.alias("reason"),
+        joined_warnings(warnings).alias("warning"),
+        F.col(CORRUPT),
+    )
+    return read.withColumn("warning", F.when(F.col("reason").isNull(), F.col("warning")))
 
 
 def read_starts_csv(reader, path: str) -> DataFrame:
-    options = reader.option("timestampNTZFormat", WIRE_DATETIME)
-    return _csv(options, path, StructType(START_SCHEMA.fields))
+    return _csv(reader, path, StructType(START_SCHEMA.fields), "pickup_datetime")
 
 
 def read_ends_csv(reader, path: str) -> DataFrame:
-    options = reader.option("timestampNTZFormat", WIRE_DATETIME)
-    return _csv(options, path, StructType(END_SCHEMA.fields))
+    return _csv(reader, path, StructType(END_SCHEMA.fields), "dropoff_datetime")
 
 
 def read_envelopes(reader, path: str) -> DataFrame:
     """Flat envelopes, one JSON object per line."""
-    return reader.schema(ENVELOPE_SCHEMA).json(path)
+    return reader.option("maxFileAge", KEEP_ALL).schema(ENVELOPE_SCHEMA).json(path)
 
 
 def read_envelope_batches(reader, path: str) -> DataFrame:
     """Envelopes delivered as `Records` arrays; a missing or empty array gives no rows."""
     record = F.col("r.kinesis")
     return (
-        reader.schema(RECORDS_SCHEMA)
+        reader.option("maxFileAge", KEEP_ALL).schema(RECORDS_SCHEMA)
         .json(path)
         .select(F.explode("Records").alias("r"))
         .select(
             record["data"].alias("data"),
             record["partitionKey"].alias("partition_key"),
-            record["sequenceNumber"].alias("sequence"),
+            sequence_order(record["sequenceNumber"]).alias("sequence"),
         )
     )
 
@@ -67,17 +85,17 @@ def read_envelope_batches(reader, path: str) -> DataFrame:
 def read_change_batches(reader, path: str) -> DataFrame:
     """Change records delivered as `Records` arrays; images stay JSON text."""
     return (
-        reader.schema(CHANGE_RECORDS_SCHEMA)
+        reader.option("maxFileAge", KEEP_ALL).schema(CHANGE_RECORDS_SCHEMA)
         .json(path)
         .select(F.explode("Records").alias("r"))
         .select(
             F.col("r.eventName").alias("event_name"),
             F.col("r.dynamodb.NewImage").alias("image"),
-            F.col("r.dynamodb.SequenceNumber").alias("sequence"),
+            sequence_order(F.col("r.dynamodb.SequenceNumber")).alias("sequence"),
         )
     )
 
 
 def read_bodies(reader, path: str) -> DataFrame:
     """Completed-trip messages, one body per line."""
-    return reader.text(path).withColumnRenamed("value", "body")
+    return reader.option("maxFileAge", KEEP_ALL).text(path).withColumnRenamed("value", "body")
