@@ -1,18 +1,24 @@
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripfold.operators.skew import find_hot_keys, with_chunk
+from tripfold.operators.trips import trip_history
 
 
 def orders_of(kind, i):
     moment = datetime(2024, 1, 1) + timedelta(minutes=i)
     return {
         "bigint": i,
-        "decimal(38,0)": 10**30 + i,
+        "decimal(38,0)": Decimal(10**30 + i),
         "string": f"4959033827149025660855{i:010d}",
         "timestamp_ntz": moment,
+        "decimal(38,2)": Decimal(10**30 + i),
+        "timestamp": moment + timedelta(microseconds=i),
+        "struct<a:int,at:timestamp_ntz>": (7, datetime(2024, 1, 1) + timedelta(microseconds=i)),
+        "struct<digits:int,number:string>": (10 + (i == 599), f"{i:010d}" if i < 599 else "9" * 11),
         "date": (datetime(2024, 1, 1) + timedelta(days=i)).date(),
         "struct<at:timestamp_ntz,n:int>": (moment, 1),
     }[kind]
@@ -20,7 +26,18 @@ def orders_of(kind, i):
 
 @pytest.mark.parametrize(
     "kind",
-    ["bigint", "string", "timestamp_ntz", "date", "struct<at:timestamp_ntz,n:int>"],
+    [
+        "bigint",
+        "decimal(38,0)",
+        "decimal(38,2)",
+        "string",
+        "timestamp_ntz",
+        "timestamp",
+        "date",
+        "struct<at:timestamp_ntz,n:int>",
+        "struct<a:int,at:timestamp_ntz>",
+        "struct<digits:int,number:string>",
+    ],
 )
 def test_chunks_follow_the_order(spark, hot_floor, kind):
     data = [("hot", orders_of(kind, i)) for i in range(600)] + [
@@ -52,7 +69,15 @@ def test_empty(spark, hot_floor):
     assert not find_hot_keys(df, "k", "s")
 
 
-def test_one_moment_cannot_be_split(spark, hot_floor):
+def test_one_order_is_one_chunk(spark, hot_floor):
     df = spark.range(1000).selectExpr("'hot' as k", "7L as s")
     hot = find_hot_keys(df, "k", "s")
     assert with_chunk(df, "k", "s", hot).select("chunk").distinct().count() == 1
+
+
+def test_exact_repeats_of_a_hot_trip_are_combined(spark, hot_floor):
+    from helpers import event_log, numbered, start
+
+    events = numbered([start("a", "05-25 13:19")]) * 500
+    history = trip_history(event_log(spark, events))
+    assert history.count() == 1

@@ -11,72 +11,41 @@ partitions, not by the data, so both can be broadcast.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DataType,
-    DateType,
-    NumericType,
-    StringType,
-    StructType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 FLOOR_CONF = "tripfold.hotKey.minRows"
 FLOOR_ROWS = 1_000_000
+PER_CHUNK = 64  # orders looked at for each chunk
 SHARE = 2  # a key is hot from this many times an even share of the rows
 
 
 @dataclass
 class HotKeys:
-    """Ascending chunk bounds per hot key; no entries means nothing is hot."""
+    """Ascending chunk bounds per hot key, values of the order itself; no entries means nothing is hot."""
 
-    bounds: dict[str, list[float]] = field(default_factory=dict)
-    skip: int = 0  # leading characters that all text orders of the hot keys share
+    bounds: dict[str, list] = field(default_factory=dict)
 
     def __bool__(self) -> bool:
         return bool(self.bounds)
 
-    def frame(self, df: DataFrame, key: str) -> DataFrame:
+    def frame(self, df: DataFrame, key: str, order: str) -> DataFrame:
+        kind = df.schema[order].dataType.simpleString()
         return df.sparkSession.createDataFrame(
-            list(self.bounds.items()), f"{key} string, _bounds array<double>"
+            list(self.bounds.items()), f"{key} string, _bounds array<{kind}>"
         )
 
 
-def order_proxy(df: DataFrame, name: str, skip: int = 0) -> Column:
-    """A double that never decreases along the order of column `name`."""
-    return _proxy(F.col(name), df.schema[name].dataType, skip)
-
-
-def _proxy(col: Column, dtype: DataType, skip: int) -> Column:
-    if isinstance(dtype, StructType):
-        return _proxy(col[dtype.names[0]], dtype[0].dataType, skip)
-    if isinstance(dtype, TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dtype, TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(col.cast("date")).cast("bigint") * 86400 + seconds).cast("double")
-    if isinstance(dtype, DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, StringType):
-        # six bytes after the shared prefix, as a number: keeps the binary order
-        head = F.rpad(F.hex(F.encode(F.substring(col, skip + 1, 6), "UTF-8")), 12, "0")
-        return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
-    if isinstance(dtype, NumericType):
-        return col.cast("double")
-    raise TypeError(f"cannot order by {dtype.simpleString()}")
-
-
 def find_hot_keys(df: DataFrame, key: str, order: str) -> HotKeys:
     """Hot keys of `df` with chunk bounds along `order`.
 
     One scan of the key column with a bounded frequent-items sketch (no shuffle
-    of keys), and only if that finds a hot key, one scan for its quantiles. The
-    answer only steers how rows are split: results are the same for any answer.
+    of keys), and only if that finds a hot key, one scan for bounds: quantiles of
+    a part of its distinct orders, chosen by their hash. The answer only steers
+    how rows are split: results are the same for any answer. Where no key reaches
+    FLOOR_CONF rows, nothing is split.
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -93,35 +62,32 @@ def find_hot_keys(df: DataFrame, key: str, order: str) -> HotKeys:
     if not counts:
         return HotKeys()
 
-    hot_rows = df.where(F.col(key).isin(list(counts)))
-    skip = 0
-    if isinstance(df.schema[order].dataType, StringType):
-        ends = hot_rows.agg(F.min(order), F.max(order)).first()
-        skip = len(os.path.commonprefix([e or "" for e in ends]))
     steps = {k: max(2, -(-2 * n * tasks // row["n"])) for k, n in counts.items()}
-    finest = max(steps.values())
-    shares = [i / finest for i in range(1, finest)]
-    quantiles = (
-        hot_rows.groupBy(F.col(key).cast("string").alias("k"))
-        .agg(F.percentile_approx(order_proxy(df, order, skip), shares, 10 * finest).alias("q"))
-        .collect()  # one row per hot key
+    sparse = {k: max(1, n // (PER_CHUNK * steps[k])) for k, n in counts.items()}
+
+    def of_key(values: dict[str, int]):
+        return F.try_element_at(F.create_map(*[F.lit(x) for item in values.items() for x in item]), F.col("k"))
+
+    orders = df.select(F.col(key).cast("string").alias("k"), F.col(order).alias("o")).where(
+        F.col("k").isin(list(counts)) & F.col("o").isNotNull()
+    )
+    chosen = orders.where(F.pmod(F.xxhash64("o"), of_key(sparse)) == 0).distinct()
+    cuts = F.transform(
+        F.sequence(F.lit(1), of_key(steps) - 1),
+        lambda i: F.get("os", F.floor(i * F.size("os") / of_key(steps)).cast("int")),
     )
-    bounds = {}
-    for k, q in quantiles:
-        stride = max(1, finest // steps[k])
-        bounds[k] = sorted({b for b in (q or [])[stride - 1 :: stride] if b is not None})
-    return HotKeys(bounds, skip)
+    found = chosen.groupBy("k").agg(F.array_sort(F.collect_list("o")).alias("os"))
+    rows = found.select("k", F.array_distinct(cuts).alias("cuts")).collect()  # one row per hot key
+    return HotKeys({r.k: [c for c in r.cuts if c is not None] for r in rows})
 
 
 def with_chunk(df: DataFrame, key: str, order: str, hot: HotKeys) -> DataFrame:
     """Adds `chunk` (0 for every row of a key that is not hot) and `is_hot`."""
     if not hot:
         return df.withColumns({"chunk": F.lit(0), "is_hot": F.lit(False)})
-    # computed below the join: inside the lambda it would be repeated for every bound
-    placed = df.withColumn("_at", order_proxy(df, order, hot.skip))
-    joined = placed.join(F.broadcast(hot.frame(df, key)), key, "left")
-    below = F.size(F.filter("_bounds", lambda bound: bound < F.col("_at")))
-    unplaced = F.col("_bounds").isNull() | F.col("_at").isNull()
+    joined = df.join(F.broadcast(hot.frame(df, key, order)), key, "left")
+    below = F.size(F.filter("_bounds", lambda bound: bound < F.col(order)))
+    unplaced = F.col("_bounds").isNull() | F.col(order).isNull()
     return joined.withColumns(
         {"chunk": F.when(unplaced, 0).otherwise(below), "is_hot": F.col("_bounds").isNotNull()}
-    ).drop("_bounds", "_at")
+    ).drop("_bounds")

@@ -56,15 +56,19 @@ def assemble_trips(
     events: DataFrame,
     start_fields: Sequence[str] = START_FIELDS,
     end_fields: Sequence[str] = END_FIELDS,
+    unique_sequence: bool = False,
 ) -> DataFrame:
     """Current state of every trip: one combined aggregate, one shuffle, no join.
 
     Name only the fields you need, so that the others are neither read nor
-    shuffled. `has_start` and `has_end` tell which events were seen.
+    shuffled. `has_start` and `has_end` tell which events were seen. Of writes with
+    the same sequence the one with the greatest payload wins, as a whole. Where
+    no two events of a trip share a sequence, say so: fixed-width fields are
+    then folded one by one, without a sort.
     """
     groups = {"start": start_fields, "end": end_fields}
     fields = [f for group in groups.values() for f in group]
-    if all(_fixed_width(events.schema[c].dataType) for c in ["sequence", *fields]):
+    if unique_sequence and all(_fixed_width(events.schema[c].dataType) for c in ["sequence", *fields]):
         # values that fit an aggregation buffer in place: hash aggregation, no sort
         newest = [
             F.max_by(f, F.when(F.col("kind") == kind, F.col("sequence"))).alias(f)
@@ -130,6 +134,7 @@ def trip_history(
 
     previous = {c: F.max(c).over(before) for c in ("start_write", "end_write")}
     if hot:
+        rows = rows.distinct()  # exact repeats change nothing, and could fill a chunk
         rows = rows.join(F.broadcast(_state_before_chunk(rows)), ["trip_id", "chunk"], "left")
         previous = {c: F.greatest(p, F.col(f"chunk_{c}")) for c, p in previous.items()}
     return (
@@ -183,14 +188,17 @@ def change_feed(
 ) -> DataFrame:
     """One record per effective write: INSERT for a trip's first, then MODIFY.
 
-    A write that changes no field leaves no record. Build the history with all
+    A write that changes no field leaves no record; the passenger count is no part of
+    the change images, so it is not compared. Build the history with all
     payload fields, or changes to the missing ones go unseen.
     """
     is_new = F.col("prev_start_write").isNull() & F.col("prev_end_write").isNull()
-    changed = ~(
-        F.col("start_write.image").eqNullSafe(F.col("prev_start_write.image"))
-        & F.col("end_write.image").eqNullSafe(F.col("prev_end_write.image"))
-    )
+    same = F.lit(True)
+    for write, fields in (("start_write", start_fields), ("end_write", end_fields)):
+        same = same & F.col(write).isNull().eqNullSafe(F.col(f"prev_{write}").isNull())
+        for name in (f for f in fields if f != "passenger_count"):
+            same = same & F.col(f"{write}.image.{name}").eqNullSafe(F.col(f"prev_{write}.image.{name}"))
+    changed = ~same
     return (
         history.withColumn("event_name", F.when(is_new, "INSERT").when(changed, "MODIFY"))
         .where("event_name is not null")
