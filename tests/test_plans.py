@@ -50,7 +50,7 @@ def test_first_completion_moves_rows_once(spark):
 
 
 def test_plain_sequences_fold_by_hash(spark):
-    trips = completed_trips(assemble_trips(user_events(spark, SF_DIR), ["pickup_datetime"], ["fare_amount"]))
+    trips = completed_trips(assemble_trips(user_events(spark, SF_DIR), ["pickup_datetime"], ["fare_amount"], unique_sequence=True))
     assert "SortAggregate" not in plan(trips) and "HashAggregate" in plan(trips)
 
 

@@ -7,25 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripfold.functions.scalars import wire_datetime
 from tripfold.operators import kpi, metrics, sampling, staging, trips
 from tripfold.operators.envelope import decode_envelopes, encode_envelopes
 from tripfold.operators.events import good_events, quarantine
 from tripfold.operators.events import route_events as route
+from tripfold.operators.skew import FLOOR_CONF
 from tripfold.plans.tables import (
     line_ends,
     order_events,
     order_starts,
     presented,
+    seconds,
     table,
     user_events,
+    user_log,
 )
 from tripfold.schemas import END_FIELDS, STAGING_FIELDS, START_FIELDS
 from tripfold.sources import readers
 from tripfold.sources.kpi_store import KpiStore
 from tripfold.sources.paths import scratch_root
 from tripfold.sources.writers import write_bodies, write_envelopes
-from tripfold.streaming.jobs import TripJob, start_message_stream, start_stream
+from tripfold.streaming.jobs import TripJob, run_batch, start_message_stream, start_stream
 
 PICKUP, FARE = ["pickup_datetime"], ["fare_amount"]
 SAMPLE_TRIPS = 10  # fixed value: default size of a matched sample
@@ -66,8 +68,8 @@ def completed_trips(spark, sf_dir):
 
 @query
 def open_trips(spark, sf_dir):
-    waiting = trips.open_trips(trips.assemble_trips(order_events(spark, sf_dir)))
-    return waiting.select("trip_id", "pickup_datetime", "dropoff_datetime")
+    folded = trips.assemble_trips(order_events(spark, sf_dir), PICKUP, ["dropoff_datetime"])
+    return trips.open_trips(folded).select("trip_id", "pickup_datetime", "dropoff_datetime")
 
 
 @query
@@ -151,6 +153,9 @@ def kpi_published(spark, sf_dir):
     """KPIs of the users' trips as the table partitioned by pickup day."""
     fares = fares_of_trips(user_events(spark, sf_dir))
     store = KpiStore(spark, f"{scratch_root(spark)}/kpi", "published")
+    moved = fares.withColumn("pickup_datetime", F.expr("pickup_datetime - interval 4000 days"))
+    store.append(kpi.partials(kpi.dated(moved)), 0)  # a first version of the batch, on other days
+    store.publish([0])
     store.append(kpi.partials(kpi.dated(fares)), 0)
     store.publish([0])
     return store.published()
@@ -170,7 +175,7 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.format_string(
         '{"trip_id": "u%d", "pickup_datetime": "%s"}',
         F.col("user_id"),
-        wire_datetime(F.col("ts")),
+        seconds("ts"),
     )
     cut_short = F.expr("substring(props, 1, length(props) - 1)")
     text = (
@@ -209,7 +214,7 @@ def quarantine_reasons(spark, sf_dir):
 @query
 def route_events(spark, sf_dir):
     """Events whose ids are JSON numbers (0 is no id) and whose times may be empty."""
-    at = wire_datetime(F.col("ts"))
+    at = seconds("ts")
     rows = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("sequence"),
         F.base64(
@@ -278,32 +283,37 @@ def message_bodies(spark, sf_dir):
 
 @query
 def csv_scan(spark, sf_dir):
-    """Starts and ends written as CSV and scanned back with their schemas."""
+    """CSV with the columns in another order, integers as `1.0` and unreadable lines."""
     root = scratch_root(spark)
-    stamp = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
-    order_starts(spark, sf_dir).drop("sequence").write.options(**stamp).csv(f"{root}/starts")
-    line_ends(spark, sf_dir).drop("sequence").write.options(**stamp).csv(f"{root}/ends")
-    starts = readers.read_starts_csv(spark.read, f"{root}/starts").where(f"{readers.CORRUPT} is null")
-    ends = readers.read_ends_csv(spark.read, f"{root}/ends").where(f"{readers.CORRUPT} is null")
-    return (
-        starts.select("trip_id", F.lit("start").alias("kind"), "pickup_datetime", "estimated_fare_amount")
-        .unionByName(
-            ends.select("trip_id", F.lit("end").alias("kind"), "dropoff_datetime", "fare_amount", "trip_type"),
-            allowMissingColumns=True,
-        )
+    order_starts(spark, sf_dir).drop("sequence").write.csv(f"{root}/starts", header=True)
+    ends = line_ends(spark, sf_dir).drop("sequence")
+    ends = ends.withColumns(
+        {
+            "trip_type": F.concat(F.col("trip_type").cast("string"), F.lit(".0")),
+            "dropoff_datetime": F.expr("case when rate_code = 7 then '25/05/2024' else cast(dropoff_datetime as string) end"),
+            "tip_amount": F.expr("case when rate_code = 6 then 'abc' else cast(tip_amount as string) end"),
+        }
+    )
+    ends.select(*[c for c in ends.columns if c != "trip_id"], "trip_id").write.csv(f"{root}/ends", header=True)
+    starts = readers.read_starts_csv(spark.read, f"{root}/starts")
+    ends = readers.read_ends_csv(spark.read, f"{root}/ends")
+    rows = starts.select("trip_id", F.lit("start").alias("kind"), "pickup_datetime", "estimated_fare_amount", "reason", "warning")
+    return rows.unionByName(
+        ends.select("trip_id", F.lit("end").alias("kind"), "dropoff_datetime", "fare_amount", "tip_amount", "trip_type", "reason", "warning"),
+        allowMissingColumns=True,
     )
 
 
 @query
 def envelope_batches(spark, sf_dir):
-    """Envelopes delivered as `Records` arrays, exploded and folded into trips."""
+    """Envelopes delivered as `Records` arrays with text sequences, folded into trips."""
     root = scratch_root(spark)
-    encoded = encode_envelopes(user_events(spark, sf_dir))
+    encoded = encode_envelopes(user_log(spark, sf_dir))
     record = F.struct(
         F.struct(
             "data",
             F.col("partition_key").alias("partitionKey"),
-            F.lpad(F.col("sequence").cast("string"), 20, "0").alias("sequenceNumber"),
+            F.col("sequence").cast("string").alias("sequenceNumber"),
         ).alias("kinesis")
     )
     encoded.select(F.array(record).alias("Records")).write.json(f"{root}/records")
@@ -315,17 +325,73 @@ def envelope_batches(spark, sf_dir):
 
 @query
 def change_batches(spark, sf_dir):
-    """Change records delivered as `Records` arrays, counted per outcome."""
+    """Change records delivered as `Records` arrays, some without an image, counted per outcome."""
     root = scratch_root(spark)
     changes = trips.change_feed(trips.trip_history(user_events(spark, sf_dir)))
+    image = F.from_json("image", "map<string,map<string,string>>")
     record = F.struct(
         F.col("event_name").alias("eventName"),
-        F.struct(F.from_json("image", "map<string,map<string,string>>").alias("NewImage")).alias("dynamodb"),
+        F.struct(
+            F.when(F.expr("sequence % 5 <> 0"), image).alias("NewImage"),
+            F.col("sequence").cast("string").alias("SequenceNumber"),
+        ).alias("dynamodb"),
     )
-    images = staging.wrap_trips(changes.select("trip_id", *START_FIELDS, *END_FIELDS, "event_name"))
+    images = staging.wrap_trips(changes)
     images.select(F.array(record).alias("Records")).write.json(f"{root}/changes")
     unwrapped = staging.unwrap_changes(readers.read_change_batches(spark.read, f"{root}/changes"))
-    return metrics.batch_counters(unwrapped)
+    numbers = unwrapped.agg(F.min("sequence.number").alias("any"), F.max("sequence").alias("last")).select("last.number")
+    return metrics.batch_counters(unwrapped).crossJoin(numbers.withColumnRenamed("number", "last_sequence"))
+
+
+@query
+def field_warnings(spark, sf_dir):
+    """Events with unreadable times and amounts, and amounts and times with more digits than usual."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("trip_id"),
+        F.expr("case l_linenumber when 7 then '25/05/2024' else substring(cast(l_shipdate as string), 1, 19) || '.25' end").alias("dropoff_datetime"),
+        F.expr("case l_linenumber when 6 then 'abc' when 5 then '12.345' else '1.5' end").alias("tip_amount"),
+        F.expr("case l_linenumber when 6 then 'x' when 4 then '1.0' else '1' end").alias("payment_type"),
+    )
+    data = F.base64(F.encode(F.to_json(F.struct(*rows.columns)), "UTF-8"))
+    routed = route(decode_envelopes(rows.select(data.alias("data"))))
+    return routed.groupBy("reason", "warning", "dropoff_datetime").agg(
+        F.count("*").alias("events"), F.sum("tip_amount").alias("tips"), F.sum("payment_type").alias("payments")
+    )
+
+
+@query
+def repeated_sequences(spark, sf_dir):
+    """Writes of one sequence: the greatest payload wins as a whole."""
+    rows = line_ends(spark, sf_dir).select("trip_id", F.lit("end").alias("kind"), F.lit(1).alias("sequence"), "fare_amount", "tip_amount")
+    rows = rows.withColumn("tip_amount", F.expr("case when tip_amount > 100 then tip_amount end"))
+    return trips.assemble_trips(rows, [], ["fare_amount", "tip_amount"]).select("trip_id", "fare_amount", "tip_amount")
+
+
+@query
+def change_feed_coded(spark, sf_dir):
+    """Every third write repeats the one before but for the passenger count, and is no change."""
+    events = user_events(spark, sf_dir)
+    again = events.where("sequence % 3 = 0").withColumns(
+        {"sequence": F.expr("sequence * 10 + 5"), "passenger_count": F.expr("case when kind = 'end' then 4 end")}
+    )
+    events = events.withColumn("sequence", F.expr("sequence * 10")).unionByName(again)
+    changes = trips.change_feed(trips.trip_history(events))
+    return changes.groupBy("trip_id").agg(F.count("*").alias("changes"), F.max("sequence").alias("last_sequence"))
+
+
+@query
+def hot_trip(spark, sf_dir):
+    """A third of all events in one trip, at one moment, split over tasks."""
+    rows = order_events(spark, sf_dir).where("kind = 'end'")
+    hot = F.expr("cast(trip_id as bigint) % 3 = 0")
+    rows = rows.withColumn("trip_id", F.when(hot, "hot").otherwise(F.col("trip_id")))
+    before = spark.conf.get(FLOOR_CONF, None)
+    spark.conf.set(FLOOR_CONF, "1")
+    try:
+        changes = trips.change_feed(trips.trip_history(rows, [], ["fare_amount"]), [], ["fare_amount"])
+    finally:
+        spark.conf.unset(FLOOR_CONF) if before is None else spark.conf.set(FLOOR_CONF, before)
+    return changes.groupBy("trip_id").agg(F.sum(F.expr("cast(event_name = 'INSERT' as bigint)")).alias("inserts"), F.max_by("fare_amount", "sequence").alias("fare_amount"))
 
 
 # --- sampling --------------------------------------------------------------
@@ -357,7 +423,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TripJob, S
     """Lands the users' events in three deliveries and folds each as it comes."""
     root = scratch_root(spark)
     job = TripJob(f"{root}/job", "users", mode)
-    for part in _slices(user_events(spark, sf_dir), "sequence", 3):
+    for part in _slices(user_log(spark, sf_dir), "sequence", 3):
         write_envelopes(part, f"{root}/log")
         start_stream(readers.read_envelopes(spark.readStream, f"{root}/log"), job).awaitTermination()
     return job, spark
@@ -375,12 +441,36 @@ def stream_kpi_change_feed(spark, sf_dir):
     return job.store(spark).kpis()
 
 
+@query
+def kpi_two_pipelines(spark, sf_dir):
+    """Trips split over two jobs on one root, each with its own numbers and state."""
+    root, events = scratch_root(spark), user_log(spark, sf_dir)
+    for part in (0, 1):
+        job = TripJob(f"{root}/job", f"p{part}")
+        run_batch(encode_envelopes(events.where(F.pmod(F.col("trip_id").cast("bigint"), F.lit(2)) == part)), job)
+    return job.store(spark).kpis()
+
+
+@query
+def kpi_batch_then_stream(spark, sf_dir):
+    """One batch, one without events, then a stream, all of one job."""
+    root = scratch_root(spark)
+    job = TripJob(f"{root}/job", "users")
+    first, second = _slices(user_log(spark, sf_dir), "sequence", 2)
+    run_batch(encode_envelopes(first), job)
+    run_batch(encode_envelopes(first.limit(0)), job)
+    write_envelopes(second, f"{root}/log")
+    start_stream(readers.read_envelopes(spark.readStream, f"{root}/log"), job).awaitTermination()
+    return job.store(spark).kpis()
+
+
 @query
 def message_stream_kpi(spark, sf_dir):
     """Completed-trip messages as a file stream, folded into the KPI table."""
     root = scratch_root(spark)
     done = trips.completed_trips(trips.assemble_trips(user_events(spark, sf_dir)))
-    write_bodies(done, f"{root}/messages")
-    bodies = readers.read_bodies(spark.readStream, f"{root}/messages")
-    start_message_stream(staging.parse_bodies(bodies), f"{root}/job", "messages").awaitTermination()
+    write_bodies(done.repartition(10), f"{root}/messages")
+    bodies = readers.read_bodies(spark.readStream.option("maxFilesPerTrigger", 2), f"{root}/messages")
+    staged = staging.parse_bodies(bodies)
+    start_message_stream(staged, f"{root}/job", "messages", compact_every=2).awaitTermination()
     return KpiStore(spark, f"{root}/job/kpi", "messages").kpis()

@@ -232,7 +232,7 @@ ORACLE = {
         from events where event_type <> 'signup' group by 1""",
     "batch_counters": """
         select count(*) as records, count(*) filter (where event_type = 'signup') as success,
-               count(*) filter (where event_type <> 'signup') as failed, 0::bigint as warnings
+               count(*) filter (where event_type <> 'signup') as failed, 0::bigint as skipped, 0::bigint as warnings
         from events""",
     "route_events": """
         with routed as (
@@ -266,9 +266,37 @@ ORACLE = {
         with {TRIPS}
         select trip_id, 'start' as kind, pickup_datetime, estimated_fare_amount,
                cast(null as varchar) as dropoff_datetime, cast(null as double) as fare_amount,
-               cast(null as double) as trip_type from starts
+               cast(null as double) as tip_amount, cast(null as double) as trip_type,
+               cast(null as varchar) as reason, cast(null as varchar) as warning from starts
         union all
-        select trip_id, 'end', null, null, dropoff_datetime, fare_amount, trip_type from ends""",
+        select trip_id, 'end', null, null, case when rate_code <> 7 then dropoff_datetime end, fare_amount,
+               case when rate_code <> 6 then tip_amount end, trip_type,
+               case when rate_code = 7 then 'bad_dropoff_datetime' end,
+               case when rate_code = 6 then 'bad_tip_amount' end from ends""",
+    "field_warnings": f"""
+        with rows as (
+          select case when l_linenumber = 7 then 'bad_dropoff_datetime' end as reason,
+                 case l_linenumber when 6 then 'bad_tip_amount,bad_payment_type' when 5 then 'rounded_tip_amount' end as warning,
+                 case when l_linenumber <> 7 then strftime(l_shipdate, '{SECONDS}') || '.25' end as dropoff_datetime,
+                 case l_linenumber when 6 then null when 5 then 12.35 else 1.5 end as tip,
+                 case when l_linenumber <> 6 then 1 end as payment from lineitem)
+        select reason, warning, dropoff_datetime, count(*) as events, cast(sum(tip) as double) as tips,
+               cast(sum(payment) as bigint) as payments
+        from rows group by all""",
+    "repeated_sequences": f"""
+        with {TRIPS}
+        select trip_id, fare_amount, case when tip_amount > 100 then tip_amount end as tip_amount from ends
+        qualify row_number() over (partition by trip_id order by fare_amount desc,
+                case when tip_amount > 100 then tip_amount end desc nulls last) = 1""",
+    "change_feed_coded": f"""
+        with {USERS}
+        select trip_id, count(*) as changes, 10 * max(event_id) as last_sequence from log group by trip_id""",
+    "hot_trip": f"""
+        with {TRIPS}, hot as (
+          select *, case when cast(trip_id as bigint) % 3 = 0 then 'hot' else trip_id end as trip from ends)
+        select trip as trip_id, 1::bigint as inserts, fare_amount from hot
+        qualify row_number() over (partition by trip
+                order by moment desc, line desc, part desc, supp desc, price desc) = 1""",
     "envelope_batches": f"""
         with {USERS}, last_event as (
           select trip_id, max(event_id) filter (where kind = 'start') as start_id,
@@ -277,7 +305,9 @@ ORACLE = {
         from last_event h left join log s on s.event_id = h.start_id left join log e on e.event_id = h.end_id""",
     "change_batches": f"""
         with {USERS}
-        select count(*) as records, count(*) as success, 0::bigint as failed from seen where n > 1""",
+        select count(*) as records, count(*) filter (where event_id % 5 <> 0) as success, 0::bigint as failed,
+               count(*) filter (where event_id % 5 = 0) as skipped, cast(max(event_id) as varchar) as last_sequence
+        from seen where n > 1""",
     "matched_sample": f"""
         with {TRIPS}, chosen as (
           select trip_id from starts semi join ends using (trip_id)
@@ -294,4 +324,6 @@ ORACLE = {
                     as bigint) as sequence
         from log""",
 }
+ORACLE["kpi_batch_then_stream"] = ORACLE["stream_kpi"]
+ORACLE["kpi_two_pipelines"] = ORACLE["stream_kpi"]
 ORACLE = {name: dedent(sql).strip() for name, sql in ORACLE.items()}

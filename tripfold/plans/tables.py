@@ -6,7 +6,7 @@ log users are trips, sign-ups and views start them and purchases end them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfold.functions.scalars import wire_datetime
@@ -63,11 +63,21 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(*EVENT_COLUMNS)
 
 
+def seconds(at: str) -> Column:
+    """Times of this table in whole seconds, as text."""
+    return F.substring(wire_datetime(F.col(at)), 1, 19)
+
+
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips of users over time; clicks and errors carry no trip event."""
-    rows = table(spark, sf_dir, "events").where("event_type in ('signup', 'view', 'purchase')")
-    is_start, is_end = F.expr("event_type <> 'purchase'"), F.expr("event_type = 'purchase'")
-    at = wire_datetime(F.col("ts")).cast("timestamp_ntz")
+    """Trips of users over time."""
+    return user_log(spark, sf_dir).where("kind is not null")
+
+
+def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All user events; clicks and errors have neither time, and so no kind."""
+    rows = table(spark, sf_dir, "events")
+    is_start, is_end = F.expr("event_type in ('signup', 'view')"), F.expr("event_type = 'purchase'")
+    at = seconds("ts").cast("timestamp_ntz")
     values = {
         "vendor_id": F.col("event_type"),
         "pickup_datetime": at,
@@ -82,7 +92,7 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return rows.select(
         F.col("user_id").cast("string").alias("trip_id"),
-        F.when(is_end, "end").otherwise("start").alias("kind"),
+        F.when(is_end, "end").when(is_start, "start").alias("kind"),
         F.col("event_id").alias("sequence"),
         *[column(f, is_start) for f in START_PAYLOAD],
         *[column(f, is_end) for f in END_PAYLOAD],
