@@ -15,16 +15,22 @@ def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def key_bounds(df: DataFrame, key: str, buckets: int) -> list[int]:
+def key_bounds(df: DataFrame, key: str, buckets: int, least_bytes: int = 0) -> list[int]:
     """At most `buckets` - 1 ascending, distinct keys that cut the rows into shares of about one size.
 
-    One scan of the key column; the driver gets one number per bucket.
+    With `least_bytes`, shares hold at least so many bytes of text on average. One scan of
+    the key (and the texts' lengths); the driver gets one number per bucket.
     """
     if buckets < 2:
         return []
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(key, shares, max(10_000, 20 * buckets)).alias("cuts")).first()
-    return sorted(set(row.cuts or []))
+    size = F.sum(F.octet_length("text")) if least_bytes else F.lit(0)
+    row = df.agg(F.percentile_approx(key, shares, max(10_000, 20 * buckets)).alias("cuts"), size.alias("size")).first()
+    cuts = row.cuts or []
+    if least_bytes:
+        fewer = max(1, min(buckets, (row.size or 0) // least_bytes))
+        cuts = [cuts[i * buckets // fewer - 1] for i in range(1, fewer)] if cuts else []
+    return sorted(set(cuts))
 
 
 def bucket_of(key: Column, bounds: list[int]) -> Column:

@@ -25,10 +25,11 @@ from tripfold.llm.ordered import by_bucket, kept, key_bounds, offsets, partition
 from tripfold.llm.wordcodec import load_tokenizer
 from tripfold.llm.workers import slices
 
-SENTENCE_CUT = 16  # penalties, in tokens of padding
-INNER_CUT = 256
-INNER_GAP = 512  # a stretch without a sentence end longer than this gets inner cuts,
-INNER_STEP = 128  # so far apart
+SENTENCE_CUT = 8  # penalties, in tokens of padding
+INNER_CUT = 48
+INNER_GAP = 128  # a stretch without a sentence end longer than this gets inner cuts,
+INNER_STEP = 32  # so far apart
+RANGE_BYTES = 4 << 20  # least text of a range of documents that one task packs, about 500 sequences
 BLOCK_TOKENS = 1 << 20  # the programme runs over so many tokens at a time;
 HELD_WINDOWS = 16  # its last windows are planned again with the next block
 COLUMNS = ["bucket", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "window", "offset"]
@@ -159,7 +160,7 @@ def pack_documents(docs: DataFrame, path: str, limit: int, end_id: int) -> DataF
     """
     if limit < INNER_GAP:
         raise ValueError(f"sequences need room for {INNER_GAP} ids")
-    bounds = key_bounds(docs, "doc_id", partitions(docs))
+    bounds = key_bounds(docs, "doc_id", partitions(docs), RANGE_BYTES)
     vocabulary = load_tokenizer(path).get_vocab_size()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
