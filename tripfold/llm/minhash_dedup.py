@@ -2,11 +2,16 @@
 
 Texts of equal shingle sets are one class, and only classes are compared. A band
 shared by several classes makes them candidates. Instead of all pairs of a band, each
-class first meets one leader, the one it shares most bands with; what these links do not
-join, and only that, is compared pair by pair: within a band, the classes outside of
-its largest component against the rest. So a large group costs its size, and every
-candidate pair is either compared or already in one component. The XOR of two odd
-sketches tells most unlike pairs apart before their sets are fetched.
+class first meets one leader, the most central class of the bands they share; what
+these links do not join, and only that, is compared pair by pair: within a band, the
+classes outside of its largest component against the rest. So a large group costs its
+size, and every candidate pair is either compared, already in one component, or ruled
+out. The XOR of two odd sketches tells most unlike pairs apart before their sets are
+fetched. For the rest an exact bound is at hand: every class of a band is described by a
+bitmap of the shingles that it shares with the band's most central class, so that what
+two of them have in common there is counted in the join itself; outside of it they have
+in common at most the shingles that are not unique to one of them. Copies with many
+different edits, alike but not linked, are told apart in this way.
 """
 
 from __future__ import annotations
@@ -76,13 +81,42 @@ def _unlike(a: str, b: str) -> Column:
 
 
 def _may_link(a: str, b: str) -> Column:
-    low, high = F.least(f"{a}_size", f"{b}_size"), F.greatest(f"{a}_size", f"{b}_size")
-    return (100 * low >= PERCENT * high) & (_unlike(a, b) <= MOST_UNLIKE)
+    """Whether sizes, shingles in common with any class, and sketches leave room for a link."""
+    low, high = F.least(f"{a}_shared", f"{b}_shared"), F.col(f"{a}_size") + F.col(f"{b}_size")
+    return (100 * low >= PERCENT * (high - low)) & (_unlike(a, b) <= MOST_UNLIKE)
 
 
 def _flat(classes: DataFrame, name: str) -> DataFrame:
-    """node as `name`, its set size and its sketch in single columns."""
-    return classes.select(F.col("node").alias(name), F.col("n_shingles").alias(f"{name}_size"), *(F.get("sketch", F.lit(i)).alias(f"{name}{i}") for i in range(WORDS)))
+    """node as `name`, its set size, what of it is shared at most, and its sketch in single columns."""
+    shared = "shared" if "shared" in classes.columns else "n_shingles"
+    return classes.select(
+        F.col("node").alias(name),
+        F.col("n_shingles").alias(f"{name}_size"),
+        F.col(shared).alias(f"{name}_shared"),
+        *(F.get("sketch", F.lit(i)).alias(f"{name}{i}") for i in range(WORDS)),
+    )
+
+
+def _with_shared(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Adds, to each class, how many of its shingles any other of the classes has.
+
+    One shuffle of the classes' shingles; the count per shingle is combined before it.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 200):
+            found = [np.frombuffer(x.as_buffer(), "<i8") for x in batch.column(1)]
+            keys = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            for at in range(0, len(keys), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(np.concatenate(found)[part])], ["key", "shingle"])
+
+    own = sets.join(classes.select("node"), "node").select(F.xxhash64("node").alias("key"), "shingles")
+    rows = own.mapInArrow(spread, "key long, shingle long")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n = 1")
+    alone = alone.groupBy("key").agg(F.count("*").alias("alone"))
+    joined = classes.withColumn("key", F.xxhash64("node")).join(alone, "key", "left").drop("key")
+    return joined.withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0))).drop("alone")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -114,27 +148,77 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 def _to_leaders(members: DataFrame, salt: int) -> DataFrame:
-    """A pair (a, b) for each member a: of the leaders of its bands in another component, the commonest."""
-    order = F.struct(F.xxhash64("node", F.lit(salt)).alias("o"), "node", "component")
+    """A pair (a, b) for each member a: of the leaders of its bands in another component, the commonest.
+
+    At first a band is led by its most central member: the one that meets most
+    others, over all its bands. Later rounds try others, chosen by a hash.
+    """
+    if salt:
+        rank = F.xxhash64("node", F.lit(salt))
+    else:
+        central = members.groupBy("node").agg(F.sum("n").alias("met"))
+        members = members.join(central, "node")
+        rank = -F.col("met")
+    order = F.struct(rank.alias("rank"), "node", "component")
     leaders = members.groupBy("band").agg(F.min(order).alias("leader"))
     met = members.join(leaders, "band").where(F.col("component") != F.col("leader.component"))
     return met.groupBy("node").agg(F.mode("leader.node", True).alias("b")).select(F.col("node").alias("a"), "b")
 
 
-def _all_others(members: DataFrame, flat: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in one band that their sketches do not rule out.
+def _central(members: DataFrame) -> DataFrame:
+    """(band, lead): the member of each band that meets most others, over all its bands."""
+    met = members.groupBy("node").agg(F.sum("n").alias("met"))
+    order = F.struct((-F.col("met")).alias("rank"), "node")
+    return members.join(met, "node").groupBy("band").agg(F.min(order).alias("lead")).select("band", F.col("lead.node").alias("lead"))
+
+
+def _against_lead(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, lead, inside, bits): which shingles of the lead a class has, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            inside, bits = [], []
+            for own, of_lead in zip(batch.column(2), batch.column(3), strict=True):
+                mine, lead = (np.frombuffer(x.as_buffer(), "<u8") for x in (own, of_lead))
+                at = np.minimum(np.searchsorted(mine, lead), len(mine) - 1)
+                has = np.zeros(-(-len(lead) // 64) * 64, bool)
+                has[: len(lead)] = mine[at] == lead
+                inside.append(int(has.sum()))
+                bits.append(np.packbits(has).view(np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(inside, pa.int64()), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "lead", "inside", "bits"])
+
+    own = sets.select("node", "shingles")
+    of_lead = sets.select(F.col("node").alias("lead"), F.col("shingles").alias("lead_shingles"))
+    both = pairs.join(own, "node").join(of_lead, "lead").select("node", "lead", "shingles", "lead_shingles")
+    return both.mapInArrow(run, "node binary, lead binary, inside long, bits array<long>")
+
+
+def _bounded(a: str, b: str) -> Column:
+    """Whether what two classes of one band can have in common is enough for a link."""
+    both = F.zip_with(f"{a}_bits", f"{b}_bits", lambda x, y: F.bit_count(x.bitwiseAND(y)))
+    common = F.aggregate(both, F.lit(0).cast("long"), lambda n, x: n + x) + F.least(f"{a}_outside", f"{b}_outside")
+    return 100 * common >= PERCENT * (F.col(f"{a}_size") + F.col(f"{b}_size") - common)
+
+
+def _all_others(members: DataFrame, flat: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components in one band that neither sketches nor the bound rule out.
 
     a is outside of the band's largest component; the others are compared with b once.
     """
     sizes = members.groupBy("band", "component").count()
     largest = sizes.groupBy("band").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    rows = members.join(flat.withColumnRenamed("x", "node"), "node").join(largest, "band")
-    names = [c for c in flat.columns if c != "x"]
+    placed = members.join(_central(members), "band").join(largest, "band")
+    described = kept(_against_lead(placed.select("node", "lead").distinct(), sets))
+    rows = placed.join(flat.withColumnRenamed("x", "node"), "node").join(described, ["node", "lead"])
+    # a class that is the lead has all of it inside, and nothing outside
+    rows = rows.withColumn("x_outside", F.greatest(F.col("x_shared") - F.col("inside"), F.lit(0))).withColumnRenamed("bits", "x_bits")
+    names = [c for c in rows.columns if c.startswith("x")]
+    rows = kept(rows.select("band", "node", "component", "main", *names))
     a = rows.where("component <> main").select("band", F.col("node").alias("a"), F.col("component").alias("a_component"), *(F.col(c).alias("a" + c[1:]) for c in names))
-    b = rows.select("band", F.col("node").alias("b"), F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" + c[1:]) for c in names))
-    b = b.withColumnRenamed("band", "b_band")
+    b = rows.select(F.col("band").alias("b_band"), F.col("node").alias("b"), F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" + c[1:]) for c in names))
     once = (F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))
-    test = (F.col("band") == F.col("b_band")) & (F.col("a_component") != F.col("b_component")) & once & _may_link("a", "b")
+    test = (F.col("band") == F.col("b_band")) & (F.col("a_component") != F.col("b_component")) & once & _may_link("a", "b") & _bounded("a", "b")
     return a.join(b, test).select("a", "b").distinct()
 
 
@@ -153,7 +237,7 @@ def _classes(sketches: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, root) of all classes that are linked with a lesser one, directly or through others."""
     bands = classes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = kept(bands.join(shared, "band"))
     several = members.select("node").distinct()
     candidates = kept(classes.join(several, "node").drop("bands"))
@@ -168,7 +252,9 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
         links = kept(found if links is None else links.union(found))
         roots = connect(links)
     mixed = kept(_mixed(_labelled(members, roots)))
-    rest = _confirmed(kept(_all_others(mixed, _flat(candidates, "x"))), sets)
+    open_classes = candidates.join(mixed.select("node").distinct(), "node")
+    flat = _flat(_with_shared(open_classes, sets), "x")
+    rest = _confirmed(kept(_all_others(mixed, flat, sets)), sets)
     return connect(rest if links is None else links.union(rest))
 
 
