@@ -26,7 +26,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connect(pairs: DataFrame) -> DataFrame:
     """(node, root) of every node of the pairs (a, b) but the roots: the least node of its component.
 
-    Every round is one table on shared storage, so a lost executor costs one round.
+    Every half round is one table on shared storage, so a lost executor costs no more.
     A node with very many neighbours is pre-aggregated before its minimum is
     taken, and its join is one that adaptive execution can split.
     """
@@ -36,4 +36,4 @@ def connect(pairs: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("node", "low").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             return edges.select("node", F.col("low").alias("root"))
-        before, edges = state, kept(_small_star(_large_star(edges)))
+        before, edges = state, kept(_small_star(kept(_large_star(edges))))  # two short plans
