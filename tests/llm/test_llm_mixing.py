@@ -101,6 +101,24 @@ def test_documents_keep_their_columns(spark):
     assert mixing.mixture(docs.where("text is null or trim(text) = ''")).count() == 0
 
 
+@pytest.mark.parametrize(("texts", "block_rows"), [(1, 4096), (7, 3), (2000, 4096)])
+def test_rows_of_one_id_are_cut_row_by_row(spark, monkeypatch, texts, block_rows):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", block_rows)
+    source = "case when id < 2000 then 'null ids' when id < 4000 then 'one id' else 's' || id % 8 end as source"
+    doc_id = "case when id >= 4000 then id when id >= 2000 then 5 end as doc_id"
+    docs = spark.range(6000).selectExpr(doc_id, f"concat('four words and ', id % {texts}) as text", source).repartition(7)
+    mix = mixing.Mix(block_tokens=3000)
+    found = mixing.mixture(docs, mix).collect()
+    plan, *_ = mixing.quotas(docs, mix)
+    quota = {r.mix_source[1:]: r.quota for r in plan.collect()}
+    copies = Counter(r.source for r in found)
+    assert all(0 <= quota[s] - 4 * copies[s] < 4 for s in quota) and quota["null ids"] < 8000
+    assert Counter(r.source for r in mixing.mixed_documents(docs, mix).collect()) == copies
+    by_block = Counter((r.mix_block, r.source) for r in found)
+    blocks = max(b for b, _ in by_block) + 1
+    assert blocks == 8 and all(abs(by_block[b, s] * blocks / copies[s] - 1) < 0.35 for b in range(blocks) for s in ("null ids", "one id"))
+
+
 def test_no_python_in_the_plan(spark):
     plan = mixing.mixture(table(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
