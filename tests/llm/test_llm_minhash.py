@@ -66,6 +66,20 @@ def test_keep_one_keeps_columns_and_one_row(spark):
     assert minhash_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_one_row_of_a_component_whatever_the_ids(spark):
+    def copies(seed, ids):  # one word more at the end each: near copies with different texts
+        text = prose(seed, 300)
+        return [(i, text + " more" * n, "en", "a", 5, "n", "k", 9) for n, i in enumerate(ids)]
+
+    empty = [(i, t, "en", "b", 5, "n", "k", 9) for i in (None, 7) for t in (None, "", "", " \n\t")]
+    data = copies(31, [None] * 4) + copies(32, [50] * 4) + copies(33, [None, 61, 60, 60]) + copies(34, [70]) * 3 + empty
+    found = minhash_dedup.keep_one(table(spark, data)).collect()
+    assert sorted(str(r.doc_id) for r in found if r.source == "a") == ["50", "60", "70", "None"]
+    assert sorted(str((r.doc_id, r.text)) for r in found if r.source == "b") == sorted(str(r[:2]) for r in empty)
+    starts = {r.text[:40] for r in found if r.source == "a"}
+    assert starts == {prose(seed, 300)[:40] for seed in (31, 32, 33, 34)}
+
+
 def test_word_hashes_of_a_long_text_and_a_group_agree():
     text = prose(3, 400_000).encode()
     assert len(text) > 2 * sh.GROUP_BYTES

@@ -31,6 +31,7 @@ from tripfold.llm.workers import slices
 PERCENT = 75  # fixed value: similarity of a link
 MOST_UNLIKE = sh.unlike_bits(0.48)  # sketches further apart than this speak against a link; more than five deviations off
 LEADER_ROUNDS = 2
+WORD = r"[^\x20\x09-\x0D]"  # any character of a word
 WORDS = sh.SKETCH_BITS // 64
 SKETCHES = "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, sketch array<long>"
 
@@ -223,11 +224,11 @@ def _all_others(members: DataFrame, flat: DataFrame, sets: DataFrame) -> DataFra
 
 
 def _classes(sketches: DataFrame) -> DataFrame:
-    """One row per distinct shingle set, with its least document."""
+    """One row per distinct shingle set, with its least document, and the first by id (none last) and text."""
     rows = sketches.where("n_shingles > 0")
     return rows.groupBy("node").agg(
         F.min("doc_id").alias("least_doc"),
-        F.min(F.struct("doc_id", "text_key")).alias("one"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("one"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"),
@@ -258,6 +259,13 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return connect(rest if links is None else links.union(rest))
 
 
+def _rooted(docs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """node, least_doc, one, root of every class; the classes of a component share their root."""
+    classes = kept(_classes(sketches))
+    roots = link_classes(docs, classes)
+    return classes.select("node", "least_doc", "one").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_key of every document.
 
@@ -269,9 +277,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     An empty table gives no rows; other columns are ignored.
     """
     sketches = kept(sketch_documents(docs))
-    classes = kept(_classes(sketches))
-    roots = link_classes(docs, classes)
-    named = classes.select("node", "least_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = _rooted(docs, sketches).drop("one")
     least = named.groupBy("root").agg(F.min("least_doc").alias("component"))
     component = named.join(least, "root").select("node", "component")
     rows = sketches.select("doc_id", "text_key", "n_shingles", "node").join(component, "node", "left")
@@ -280,8 +286,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The kept document of every component, one row of each, with all its columns."""
-    good = near_duplicates(docs).where("kept").select("doc_id", "text_key").distinct()
-    whole = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
+    """One row of every component, and all rows without words, with all their columns.
+
+    A component keeps its least doc_id, a row without one only if none has any; under one doc_id
+    the least text_key decides, and equal rows count once.
+    """
+    good = _rooted(docs, kept(sketch_documents(docs))).groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.text_key")
+    text = F.coalesce("text", F.lit(""))
+    whole = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"), text.rlike(WORD).alias("words"))
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
-    return whole.join(good, same).dropDuplicates(["id", "key"]).select("whole.*")
+    found = whole.where("words").join(good, same).dropDuplicates(["id", "key"])
+    return found.select("whole.*").unionByName(whole.where("not words").select("whole.*"))
