@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 from llm_fixtures import prose, rows, table
@@ -40,6 +41,15 @@ def test_rules_and_filter(spark):
     assert q.keep_good(docs, only).count() == 0
 
 
+def test_filter_on_the_verdict_of_a_very_long_text(spark):
+    """The words are not split anew for every window when a filter is put on the result."""
+    docs = table(spark, [(1, prose(3, 30_000), "en", None, 0, "", "", 0), (2, "short", "en", None, 0, "", "", 0)])
+    q.judge(docs).where("kept").collect()  # compiled before the clock starts
+    start = time.monotonic()
+    assert q.judge(docs).where("not kept").count() == 2 - q.judge(docs).where("kept").count()
+    assert time.monotonic() - start < 15
+
+
 def test_one_pass(spark):
     """No shuffle, no Python, and the words are split once, whether judged or filtered."""
     docs = table(spark).drop("x")

@@ -122,9 +122,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Null text has no words, and so fails the base rule like empty text and texts of
     white space. Rows stay as they are, repeated and null ids too; an empty table
     gives no rows; other columns are ignored. Work is linear in a text's length, but for the
-    sort of its word windows where one repeats.
+    sort of its word windows where one repeats; a filter on the result stays above the counts.
     """
-    counts = measured(docs.select(F.col("doc_id").cast("long"), "text"))
+    counts = computed_once(measured(docs.select(F.col("doc_id").cast("long"), "text")))
     return counts.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
@@ -133,6 +133,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows that pass, with all their columns as they came; nothing is moved."""
+    """The rows that pass, with all their columns as they came; nothing is moved.
+
+    Rows with null, empty or wordless text fail the base rule; an empty table gives no rows.
+    """
     whole = docs.select(F.struct("*").alias("doc_id"), "text")  # the row travels in place of its id
     return computed_once(measured(whole)).where(~base_failed() & passes(rules)).select("doc_id.*")
