@@ -19,6 +19,12 @@ def prose(seed: int, words: int) -> str:
     return "".join(out).strip()
 
 
+def cancelling_pair(letters: int) -> tuple[str, str]:
+    """Two words, one the complement of the other, that powers of an odd base cannot tell apart modulo 2 ** 64."""
+    bits = [bin(i).count("1") & 1 for i in range(letters)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
 ODD_TEXTS = [
     None,
     "",

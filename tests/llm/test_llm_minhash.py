@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_fixtures import prose, rows, table
+from llm_fixtures import cancelling_pair, prose, rows, table
 
 from tripfold.llm import components, minhash_dedup
 from tripfold.llm import shingles as sh
@@ -56,6 +56,13 @@ def test_components(spark, monkeypatch, rounds):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("letters", [1024, 4096])
+def test_words_whose_hashes_are_built_to_agree(spark, letters):
+    texts = [f"{word} of the same kind here" for word in cancelling_pair(letters)]
+    found = minhash_dedup.near_duplicates(table(spark, [(i, t, "en", "a", 0, "", "", 0) for i, t in enumerate(texts)]))
+    assert sorted(r.component_id for r in found.collect()) == [0, 1]
+
+
 def test_keep_one_keeps_columns_and_one_row(spark):
     data = rows()
     docs = table(spark, data)

@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_fixtures import ODD_TEXTS, prose, rows, table
+from llm_fixtures import ODD_TEXTS, cancelling_pair, prose, rows, table
 
 from tripfold.llm import ordered, token_counts, token_files, wordcodec
 
@@ -36,6 +36,25 @@ def test_tables_that_fill_up_and_long_texts(monkeypatch, path, spaces):
         assert [x.tolist() for x in words.encode(texts)] == [whole(path, t) for t in texts]
 
 
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+@pytest.mark.parametrize("letters", [1024, 4096])
+def test_words_whose_hashes_are_built_to_agree(path, spaces, letters):
+    a, b = cancelling_pair(letters)
+    texts = [a, b, f"x {a} y {b} z {a}", f"{b}\n{a}"]
+    for group in ([t] for t in texts):  # in one call and in several
+        assert [x.tolist() for x in wordcodec.codec(path, spaces).encode(group)] == [whole(path, group[0])]
+    assert [x.tolist() for x in wordcodec.WordCodec(path, spaces).encode(texts)] == [whole(path, t) for t in texts]
+
+
+@pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
+def test_words_of_one_hash_are_told_apart_by_their_bytes(monkeypatch, path, spaces):
+    monkeypatch.setattr(wordcodec, "byte_values", lambda codes, place: np.zeros(len(codes), np.uint64))
+    texts = ["some words here", "other words", "there", "words some", "here"]
+    words = wordcodec.WordCodec(path, spaces)
+    assert [x.tolist() for x in words.encode(texts)] == [whole(path, t) for t in texts]
+    assert [words.encode([t])[0].tolist() for t in texts] == [whole(path, t) for t in texts]
+
+
 @given(texts=st.lists(st.text(ALPHABET, max_size=40), max_size=8))
 @settings(max_examples=150, deadline=None)
 def test_counts_are_the_librarys(texts):

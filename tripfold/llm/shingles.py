@@ -16,18 +16,34 @@ SLICE = 2048  # shingles sampled at a time
 
 _rng = np.random.default_rng(5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _PLACES = _rng.integers(1, 2**63, SHINGLE).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = 64  # bytes of a word with a row of their own in the table; those behind are hashed one by one
+_BYTES = np.random.default_rng(17).integers(0, 2**64, (PLACES, 256), np.uint64).ravel()
 _FACTORS = _rng.integers(1, 2**63, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True  # fixed values: what parts words
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _SPREAD
+    h = (h ^ (h >> np.uint64(32))) * _SPREAD
     return h ^ (h >> np.uint64(32))
 
 
+def byte_values(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A hash of every byte with its place in its word; a word's hash is the sum, mixed.
+
+    The values of different places have no rule in common (unlike powers of one base, with which
+    whole words can cancel out), so two words agree only by chance.
+    """
+    values = _BYTES[np.minimum(place, PLACES - 1) * 256 + codes]
+    far = np.flatnonzero(place >= PLACES)
+    if len(far):
+        values[far] = mix(codes[far].astype(np.uint64) * _SPREAD + mix(place[far].astype(np.uint64) * _STEP))
+    return values
+
+
 def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of every word."""
     codes = np.frombuffer(data, np.uint8)
@@ -37,10 +53,8 @@ def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), starts
     codes = codes[starts[0] :]
     inside = np.arange(len(codes)) - np.repeat(starts - starts[0], np.diff(starts, append=len(blank)))
-    powers = np.full(int(inside.max()) + 1, _STEP)
-    powers[0] = 1
-    values = np.where(blank[starts[0] :], 0, codes.astype(np.uint64) + np.uint64(1)) * np.cumprod(powers, dtype=np.uint64)[inside]
-    return _mix(np.add.reduceat(values, starts - starts[0])), starts
+    values = np.where(blank[starts[0] :], 0, byte_values(codes, inside))
+    return mix(np.add.reduceat(values, starts - starts[0])), starts
 
 
 def word_hashes(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -79,11 +93,11 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     if n < SHINGLE:
-        return _mix((words * _PLACES[:n]).sum(keepdims=True) + np.uint64(n))
+        return mix((words * _PLACES[:n]).sum(keepdims=True) + np.uint64(n))
     total = words[: n - SHINGLE + 1] * _PLACES[0]
     for k in range(1, SHINGLE):
         total += words[k : n - SHINGLE + 1 + k] * _PLACES[k]
-    return np.unique(_mix(total))
+    return np.unique(mix(total))
 
 
 def samples(shingles: np.ndarray) -> np.ndarray:
@@ -99,13 +113,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     rows = least.reshape(BANDS, ROWS)
     h = np.arange(1, BANDS + 1, dtype=np.uint64) * _STEP
     for k in range(ROWS):
-        h = _mix(h + rows[:, k] * _PLACES[k])
+        h = mix(h + rows[:, k] * _PLACES[k])
     return h.view(np.int64)
 
 
 def odd_sketch(least: np.ndarray) -> np.ndarray:
     """Parity bitmap: every sample, with its number, flips one of SKETCH_BITS bits."""
-    places = _mix(least + np.arange(1, SAMPLES + 1, dtype=np.uint64) * _STEP) % np.uint64(SKETCH_BITS)
+    places = mix(least + np.arange(1, SAMPLES + 1, dtype=np.uint64) * _STEP) % np.uint64(SKETCH_BITS)
     odd = (np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 

@@ -2,8 +2,8 @@
 
 A tokenizer whose pre-tokens never span the places where this module cuts a text
 encodes the parts alone as it encodes them together, so a word's ids need to be
-computed once. Words are told apart by a 64-bit hash, found for a whole batch of
-texts with numpy. Texts whose white space is not of the plain form "words between
+computed once. Words are found by a 64-bit hash, for a whole batch of texts with
+numpy, and their bytes are compared. Texts whose white space is not of the plain form "words between
 single spaces or line feeds" go to the tokenizer whole.
 """
 
@@ -15,7 +15,9 @@ from functools import lru_cache
 
 import numpy as np
 
-KNOWN_WORDS = 1_500_000  # bounds a worker's memory (about 50 bytes a word); speed only
+from tripfold.llm.shingles import byte_values, mix
+
+KNOWN_WORDS = 600_000  # bounds a worker's memory (about 80 bytes a word); speed only
 RECENT_WORDS = 50_000  # words learned before they are merged into the large table
 GROUP_BYTES = 2 << 20  # text looked up at a time
 WORDS_A_CALL = 2_000  # words go to the tokenizer together, parted by a word whose id no other word can hold
@@ -23,8 +25,6 @@ WORDS_A_CALL = 2_000  # words go to the tokenizer together, parted by a word who
 #: A word of Latin letters, perhaps with a stop behind.
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 SPACE, FEED = 0x20, 0x0A
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 #: ASCII white space but the space and the line feed (fixed values).
 _ODD = np.zeros(256, bool)
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
@@ -69,10 +69,10 @@ def odd_places(codes: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Sorted word hashes, and where the ids of each lie in one array."""
+    """Sorted word hashes, and the number of each word."""
 
     def __init__(self):
-        self.hashes, self.starts, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.hashes, self.words = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes, and which of them are there."""
@@ -81,10 +81,18 @@ class Table:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
-    def add(self, hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
-        hashes, starts, sizes = np.concatenate([self.hashes, hashes]), np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+    def add(self, hashes: np.ndarray, words: np.ndarray) -> None:
+        hashes, words = np.concatenate([self.hashes, hashes]), np.concatenate([self.words, words])
         order = np.argsort(hashes, kind="stable")
-        self.hashes, self.starts, self.sizes = hashes[order], starts[order], sizes[order]
+        self.hashes, self.words = hashes[order], words[order]
+
+
+def with_room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a longer copy, with places for `more` values behind the first `used` of its last axis."""
+    if used + more <= array.shape[-1]:
+        return array
+    extra = np.zeros((*array.shape[:-1], max(array.shape[-1] // 2, more)), array.dtype)
+    return np.concatenate([array, extra], axis=-1)
 
 
 class WordCodec:
@@ -100,7 +108,9 @@ class WordCodec:
 
     def forget(self) -> None:
         self.known, self.recent = Table(), Table()
-        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.ids, self.n_ids = np.zeros(1 << 18, np.uint32), 0
+        self.bytes, self.n_bytes = np.zeros(1 << 18, np.uint8), 0
+        self.table, self.n_words = np.zeros((4, 1 << 14), np.int64), 0  # of a word: its ids' start and number, its bytes' start and number
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -158,35 +168,46 @@ class WordCodec:
                 out.append(ids[a + (not self.spaces_matter or word[0] != "\n") : b])
         return out
 
-    def _store(self, hashes: np.ndarray, learned: list[list[int]]) -> None:
-        sizes = np.array([len(x) for x in learned], np.int32)
+    def _store(self, hashes: np.ndarray, words: list[bytes], learned: list[list[int]]) -> None:
+        n = len(words)
+        sizes, lengths = np.array([len(x) for x in learned], np.int64), np.array([len(w) for w in words], np.int64)
         flat = np.fromiter((i for x in learned for i in x), np.uint32, int(sizes.sum()))
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids) // 2, len(flat)), np.uint32)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.recent.add(hashes, self.used + np.cumsum(sizes, dtype=np.int64) - sizes, sizes)
-        self.used += len(flat)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        self.ids = with_room(self.ids, self.n_ids, len(flat))
+        self.bytes = with_room(self.bytes, self.n_bytes, len(data))
+        self.table = with_room(self.table, self.n_words, n)
+        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
+        self.bytes[self.n_bytes : self.n_bytes + len(data)] = data
+        self.table[:, self.n_words : self.n_words + n] = self.n_ids + np.cumsum(sizes) - sizes, sizes, self.n_bytes + np.cumsum(lengths) - lengths, lengths
+        self.recent.add(hashes, self.n_words + np.arange(n))
+        self.n_ids, self.n_bytes, self.n_words = self.n_ids + len(flat), self.n_bytes + len(data), self.n_words + n
         if len(self.recent.hashes) > RECENT_WORDS:
-            self.known.add(self.recent.hashes, self.recent.starts, self.recent.sizes)
+            self.known.add(self.recent.hashes, self.recent.words)
             self.recent = Table()
 
     # --- texts ----------------------------------------------------------------
 
-    def _places(self, hashes: np.ndarray, data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and number of the ids of distinct words, which lie at begins..ends of the data."""
+    def _places(self, hashes: np.ndarray, data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Start and number of the ids of distinct words, which lie at begins..ends of the data; none if a known word differs."""
         if len(self.known.hashes) + len(self.recent.hashes) + len(hashes) > KNOWN_WORDS:
             self.forget()
         missing = ~(self.known.find(hashes)[1] | self.recent.find(hashes)[1])
         if missing.any():
-            lead = int(self.spaces_matter)
-            words = [data[a - lead : b].decode() for a, b in zip(begins[missing].tolist(), ends[missing].tolist(), strict=True)]
-            self._store(hashes[missing], self._learn(words))
+            words = [data[a:b] for a, b in zip(begins[missing].tolist(), ends[missing].tolist(), strict=True)]
+            self._store(hashes[missing], words, self._learn([w.decode() for w in words]))
         at, there = self.known.find(hashes)
-        starts, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int32)
-        starts[there], sizes[there] = self.known.starts[at[there]], self.known.sizes[at[there]]
+        word = np.zeros(len(hashes), np.int64)
+        word[there] = self.known.words[at[there]]
         at, here = self.recent.find(hashes)
         here &= ~there
-        starts[here], sizes[here] = self.recent.starts[at[here]], self.recent.sizes[at[here]]
+        word[here] = self.recent.words[at[here]]
+        starts, sizes, texts, lengths = self.table[:, word]
+        if (lengths != ends - begins).any():
+            return None
+        steps = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        codes = np.frombuffer(data, np.uint8)
+        if (codes[np.repeat(begins, lengths) + steps] != self.bytes[np.repeat(texts, lengths) + steps]).any():
+            return None
         return starts, sizes
 
     def _group(self, texts: list[bytes]) -> list[np.ndarray | None]:
@@ -209,18 +230,24 @@ class WordCodec:
         begins = np.flatnonzero(parts)[:-1] + 1  # of every word, behind its blank
         ends = np.append(begins[1:] - 1, len(data) - 1)
         inner = np.arange(len(data)) - np.repeat(np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(data)]])))
-        powers = np.full(int(inner.max()) + 1, _STEP)
-        powers[0] = 1
-        values = np.where(parts, 0, codes.astype(np.uint64) + np.uint64(1)) * np.cumprod(powers, dtype=np.uint64)[inner]
-        hashes = np.add.reduceat(values, begins)
+        hashes = np.add.reduceat(np.where(parts, 0, byte_values(codes, inner)), begins)
         if self.spaces_matter:
             hashes += (codes[begins - 1] == FEED).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-        hashes = (hashes ^ (hashes >> np.uint64(32))) * _SPREAD
-        hashes ^= hashes >> np.uint64(29)
+        hashes = mix(hashes)
 
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        starts, sizes = self._places(distinct, data, begins[first], ends[first])
-        starts, sizes = starts[which], sizes[which].astype(np.int64)
+        lead = int(self.spaces_matter)
+        firsts = begins[first] - lead
+        # every byte of a word against that of the first word with its hash
+        twin = np.repeat(firsts[which] - begins + lead, ends - begins)
+        own = ~parts
+        differs = codes[own] != codes[np.flatnonzero(own) + twin]
+        clash = differs.any() or (ends - begins != (ends - begins)[first][which]).any()
+        found = None if clash else self._places(distinct, data, firsts, ends[first])
+        if found is None:  # two words of one hash: the tokenizer decides
+            return [None] * len(texts)
+        starts, sizes = found
+        starts, sizes = starts[which], sizes[which]
         heads = np.searchsorted(begins, borders[:-1] + 1)
         if self.spaces_matter:  # the feed put before a text
             starts[heads] += 1
