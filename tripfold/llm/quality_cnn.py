@@ -224,18 +224,22 @@ def score_documents(docs: DataFrame, net: Network | None) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, net: Network | None) -> DataFrame:
-    """The rows that score THRESHOLD or more, with all their columns; all rows if there is no network."""
+    """The rows that score THRESHOLD or more, with all their columns; all rows if there is no network.
+
+    Null text counts as empty and is scored like any other; repeated rows stay or go together; an
+    empty table gives no rows. Texts are scored whole, in parts of SCORED_BYTES.
+    """
     if net is None:
         return docs
     run = _scorer(net)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = batch.column(batch.schema.get_field_index("scored text"))
-            pairs = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), texts], ["row", "text"])
+            pairs = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(batch.num_columns - 1)], ["row", "text"])
             for scored in run(iter([pairs])):
                 good = pa.array(scored.column(1).to_numpy() >= THRESHOLD)
-                yield batch.drop_columns(["scored text"]).filter(good)
+                yield batch.select(list(range(batch.num_columns - 1))).filter(good)
 
-    whole = docs.withColumn("scored text", F.coalesce("text", F.lit("")))
-    return whole.mapInArrow(keep, docs.schema)
+    names = docs.columns  # the text to score goes behind them, under a name that none of them has
+    scored = "text " + "_" * max(map(len, names))
+    return docs.withColumn(scored, F.coalesce("text", F.lit(""))).mapInArrow(keep, docs.schema)
