@@ -289,11 +289,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every component, and all rows without words, with all their columns.
 
     A component keeps its least doc_id, a row without one only if none has any; under one doc_id
-    the least text_key decides, and equal rows count once.
+    the least text_key decides, and equal rows count once. An empty table gives no rows.
     """
-    good = _rooted(docs, kept(sketch_documents(docs))).groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.text_key")
+    sketches = kept(sketch_documents(docs))
+    best = _rooted(docs, sketches).groupBy("root").agg(F.min("one").alias("one")).select("one.doc_id", "one.text_key")
+    copies = sketches.where("n_shingles > 0").groupBy("doc_id", "text_key").agg(F.count("*").alias("copies"))
+    same = best.doc_id.eqNullSafe(copies.doc_id) & (best.text_key == copies.text_key)
+    best = kept(copies.join(best, same, "left_semi"))  # narrow: the choice is made before any text is moved
     text = F.coalesce("text", F.lit(""))
     whole = docs.select(F.struct("*").alias("whole"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key"), text.rlike(WORD).alias("words"))
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
-    found = whole.where("words").join(good, same).dropDuplicates(["id", "key"])
-    return found.select("whole.*").unionByName(whole.where("not words").select("whole.*"))
+    found = whole.where("words").join(best.hint("shuffle_hash"), same)
+    repeated = found.where("copies > 1").dropDuplicates(["id", "key"])
+    return found.where("copies = 1").select("whole.*").unionByName(repeated.select("whole.*")).unionByName(whole.where("not words").select("whole.*"))
