@@ -16,7 +16,7 @@ here = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no generated tables
 
 
 def test_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
@@ -29,7 +29,7 @@ def test_query(spark, name):
         ours, theirs, n = differences(found, connect(SF_DIR), ORACLE[name])
         assert n > 0 and (ours, theirs) == ([], [])
     else:
-        source = "pages" if name == "op6_html_extract" else "documents"
+        source = {"op6_html_extract": "pages", "op12_whitening": "embeddings"}.get(name, "documents")
         whole = spark.read.parquet(f"{SF_DIR}/{source}.parquet")
         assert found.select(found.columns[0]).distinct().count() == whole.count()
 

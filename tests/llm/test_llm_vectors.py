@@ -1,0 +1,203 @@
+import hashlib
+import math
+import random
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tripfold.llm import spectrum, vector_codes, whitening
+
+LONG = (1 << 63) - 1
+SCHEMA = "vec_id long, embedding array<double>, label int, x int, bucket int, vector string, code string"
+
+
+def finite(v):
+    return v is not None and len(v) > 0 and all(x is not None and math.isfinite(x) for x in v)
+
+
+def vectors(n, length, seed=2, spread=1.0):
+    """With repeated rows, a shared vector, missing ids and labels, and vectors to drop."""
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, spread) for _ in range(length)] for _ in range(9)]
+    data = [(i * 3, [c + rng.gauss(0, 0.2) for c in rng.choice(centres)], rng.choice([0, 1, 1, 1, None])) for i in range(n)]
+    data += [data[3], data[3], (None, data[4][1], 2), (None, data[5][1], None), (1, data[6][1], 0), (1, data[7][1], 0)]
+    data += [(9000 + i, data[8][1], 1) for i in range(20)]
+    data += [(9100, None, 1), (9101, [], 1), (9102, [None] * length, 1), (9103, [math.nan] * length, 1), (9104, [math.inf] + [0.0] * (length - 1), 1), (9105, [0.5] * (length + 1), 1)]
+    rng.shuffle(data)
+    return data
+
+
+def table(spark, data):
+    return spark.createDataFrame([(*r, 1, 2, "v", "c") for r in data], SCHEMA).repartition(3)
+
+
+def common(data):
+    sizes = Counter(len(v) for _, v, _ in data if finite(v))
+    length = max(sizes, key=lambda s: (sizes[s], s)) if sizes else 0
+    return [r for r in data if finite(r[1]) and len(r[1]) == length]
+
+
+# --- codes -------------------------------------------------------------------
+
+
+def brute_codes(data, parts, entries, rounds):
+    used = [(i, [math.floor(Fraction(x) * 256) for x in v], label, v) for i, v, label in common(data)]
+    used.sort(key=lambda r: (r[0] is None, r[0] or 0, r[3]))
+    width = len(used[0][1]) // parts
+    cut = [[tuple(v[p * width : (p + 1) * width]) for p in range(parts)] for _, v, _, _ in used]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        new = [list(b) for b in books]
+        for p in range(parts):
+            groups = {}
+            for c in cut:
+                groups.setdefault(nearest(p, c[p])[1], []).append(c[p])
+            for k, found in groups.items():
+                new[p][k] = tuple(sum(x) // len(found) for x in zip(*found, strict=True))
+        books = new
+    out, labels = [], Counter()
+    for (i, _, label, _), c in zip(used, cut, strict=True):
+        best = [nearest(p, c[p]) for p in range(parts)]
+        error = sum(b[0] for b in best)
+        labels[label] += error
+        out.append((i, "".join(f"{b[1]:02x}" for b in best), error, label))
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return sorted(((i, code, min(error, LONG), min(labels[label], LONG), digest) for i, code, error, label in out), key=str)
+
+
+@pytest.mark.parametrize("n, length, parts, entries, spread", [(300, 16, 4, 12, 1.0), (40, 8, 8, 64, 0.01), (200, 12, 2, 5, 100.0), (90, 6, 1, 7, 1e7)])
+def test_codes_equal_brute_force(spark, monkeypatch, n, length, parts, entries, spread):
+    monkeypatch.setattr(vector_codes, "CHUNK", 64)
+    data = vectors(n, length, spread=spread)
+    found = vector_codes.quantize(table(spark, data), parts, entries, 2)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_codes(data, parts, entries, 2)
+
+
+def test_ties_and_few_rows(spark):
+    data = [(i, [float(x), float(-x)], None) for i, x in enumerate([0, 2, 2, 1, 1, 0])]  # 1 lies as near to 0 as to 2
+    for some, entries in ((data, 2), (data, 64), (data[:1], 64)):
+        found = vector_codes.quantize(table(spark, some), 1, entries, 2)
+        assert sorted(map(tuple, found.collect()), key=str) == brute_codes(some, 1, entries, 2)
+
+
+def test_very_large_components(spark):
+    data = vectors(60, 4, spread=1.0) + [(20_000 + i, [1e30, -1e300, 1e12, 3.0], i % 2) for i in range(3)]
+    found = vector_codes.quantize(table(spark, data), 2, 8, 2).collect()
+    assert len(found) == len(common(data)) and all(r.error >= 0 and r.label_error >= r.error for r in found)
+
+
+def test_no_vectors_and_unequal_parts(spark):
+    data = vectors(20, 6)
+    assert vector_codes.quantize(table(spark, data).limit(0)).count() == 0
+    assert vector_codes.quantize(table(spark, [r for r in data if not finite(r[1])])).count() == 0
+    with pytest.raises(ValueError):
+        vector_codes.quantize(table(spark, data), parts=4)
+
+
+@pytest.mark.parametrize("dimensions, bits", [(1, 5), (2, 4), (3, 3), (4, 2)])
+def test_curve_visits_neighbours(dimensions, bits):
+    grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dimensions), axis=-1).reshape(-1, dimensions)
+    keys = vector_codes.hilbert_keys(grid, bits)
+    assert sorted(keys.tolist()) == list(range(len(grid)))
+    path = grid[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_shortlists_are_short_and_never_miss():
+    rng = np.random.default_rng(1)
+    points = rng.integers(-100, 100, (5000, 4))
+    points = points[vector_codes.curve_order(points)]
+    book = rng.integers(-100, 100, (64, 4))
+    blocks = vector_codes.Blocks(points, *vector_codes.Blocks.boxes(points))
+    distance = ((points[:, None, :] - book[None]) ** 2).sum(axis=2)
+    entry, error = blocks.codes(book)
+    assert (entry == distance.argmin(axis=1)).all() and (error == distance.min(axis=1)).all()
+    assert blocks.shortlists(book).mean() < 0.3
+
+
+# --- whitening ---------------------------------------------------------------
+
+
+def brute_whitening(data, m):
+    used = [(i, [math.floor(64 * x) + 1_000_000 for x in v]) for i, v, _ in common(data)]
+    fit = sorted({tuple(x) for _, x in used})
+    n, d = len(fit), len(fit[0])
+    s = [sum(x[j] for x in fit) for j in range(d)]
+    off = np.array([[x[j] - Fraction(s[j], n) for j in range(d)] for x in fit], float)
+    v = off.T @ off / n
+    values, vecs = np.linalg.eigh(v)
+    values, vecs = values[::-1][:m], vecs[:, ::-1][:, :m]
+    out = {}
+    for i, x in used:
+        deviation = sum((n * x[j] - s[j]) ** 2 for j in range(d))
+        out.setdefault((i, deviation), np.array([x[j] - Fraction(s[j], n) for j in range(d)], float) @ vecs / np.sqrt(values))
+    return n, out, values / np.trace(v), len(used)
+
+
+@pytest.mark.parametrize("length, m", [(20, 16), (5, 16)])
+def test_whitening_equals_brute_force(spark, length, m):
+    data = vectors(200, length)
+    n, expected, explained, rows = brute_whitening(data, m)
+    found = whitening.whiten(table(spark, data), m).collect()
+    count = min(m, length)
+    assert len(found) == rows * count
+    signs = {}
+    for r in found:
+        z = expected[r.vec_id, r.deviation][r.component - 1]
+        assert r.n == n and abs(r.explained - explained[r.component - 1]) < 1e-12 * explained[0] and r.identity_error < 1e-9
+        if abs(z) > 1e-6:
+            signs.setdefault(r.component, round(r.whitened / z))
+        assert abs(r.whitened - signs.get(r.component, 1) * z) < 1e-8
+    assert set(signs.values()) <= {-1, 1}
+
+
+def test_tables_without_variance(spark):
+    same = [(i, [0.25, 0.5, 1.0], 0) for i in range(5)]
+    assert whitening.whiten(table(spark, same)).count() == 0
+    assert whitening.whiten(table(spark, same).limit(0)).count() == 0
+    line = [(i, [float(i), 2.0 * i, 1.0], 0) for i in range(9)]  # one component only
+    found = whitening.whiten(table(spark, line)).collect()
+    assert len(found) == 9 and {r.component for r in found} == {1} and abs(found[0].explained - 1) < 1e-12
+
+
+def test_very_large_entries(spark):
+    data = vectors(50, 6) + [(20_000, [1e300, -1e300, 0.0, 1e30, 1.0, 2.0], 0)]
+    found = whitening.whiten(table(spark, data)).collect()
+    assert len({r.vec_id for r in found if r.vec_id is not None}) > 50 and max(r.deviation for r in found) == whitening.LONG
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e18, 1e-18])
+@pytest.mark.parametrize("spectrum_of", ["spread", "double", "near", "steep", "poor"])
+def test_leading_pairs(scale, spectrum_of):
+    rng = np.random.default_rng(4)
+    q, _ = np.linalg.qr(rng.normal(size=(40, 40)))
+    values = {
+        "spread": np.linspace(9, 1, 40), "double": np.array([5.0] * 4 + [3.0] * 3 + [1.0] * 33), "near": np.array([2, 2 - 1e-7, 2 - 2e-7] + [1.0] * 37),
+        "steep": 10.0 ** -np.arange(40), "poor": np.array([4.0, 2.0, 1.0] + [0.0] * 37),
+    }[spectrum_of] * scale
+    matrix = q @ np.diag(values) @ q.T
+    found, x = spectrum.leading(matrix, 16)
+    assert len(found) == (3 if spectrum_of == "poor" else len(found)) and len(found) >= min(12, len(found))
+    assert np.abs(found - np.linalg.eigvalsh((matrix + matrix.T) / 2)[::-1][: len(found)]).max() < 1e-13 * values[0] * 40
+    assert np.abs(matrix @ x - x * found).max() < 1e-13 * values[0] * 40 and np.abs(x.T @ x - np.eye(len(found))).max() < 1e-12
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 30])
+def test_inertia_counts(n):
+    rng = np.random.default_rng(n)
+    a = rng.normal(size=(n, n))
+    a = a + a.T
+    np.fill_diagonal(a, 0)  # pivots of size two are needed
+    values = np.linalg.eigvalsh(a)
+    for shift in rng.uniform(values[0] - 1, values[-1] + 1, 20):
+        factors = spectrum.Factors(a - shift * np.eye(n))
+        assert factors.positive() == (values > shift).sum()
+        b = rng.normal(size=n)
+        assert np.allclose((a - shift * np.eye(n)) @ factors.solve(b, 0.0), b, atol=1e-6)
+    assert spectrum.Factors(np.zeros((n, n))).positive() == 0

@@ -108,3 +108,68 @@ select doc_id, source, copy, {_key_sql("copy")} as mix_key,
        coalesce(least(floor((copy + {_key_sql("copy")} / {KEY_RANGE}::double) * tokens / nullif(quota, 0) * mix_blocks)::bigint, mix_blocks - 1), 0) as mix_block
 from copied
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+ORACLE["op11_decontamination"] = rf"""
+with docs as (
+    select row_number() over () as d, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') as words from documents
+), items as (
+    select coalesce(cast(item_id as varchar), '') as item, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') as words from benchmark
+), windows as (
+    select distinct item, array_to_string(words[i : i + least(len(words), 10) - 1], ' ') as w, least(len(words), 10) as size
+    from (select item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i from items where len(words) > 0)
+), runs as (
+    select d, i, size, array_to_string(words[i : i + size - 1], ' ') as w
+    from (select d, words, size, unnest(range(1, len(words) - size + 2)) as i from docs, (select distinct size from windows) where len(words) >= size)
+), found as (
+    select d, i, runs.size, item from runs join windows using (w) where runs.size = windows.size
+), hits as (
+    select d, count(distinct p) as n_hit from (select d, unnest(range(i, i + size)) as p from (select distinct d, i, size from found)) group by d
+), named as (
+    select d, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct d, item from found) group by d
+)
+select doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hits using (d) left join named using (d)
+"""
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Codebooks round by round: every part against every entry."""
+    # the division leaves no rest: rounded down before it, also below zero
+    floor_mean = "((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) / count(*))::bigint"
+    steps = f"""
+with rows as (
+    select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label, embedding as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), places as (
+    select r, unnest(range(len(v))) as spot, unnest(list_transform(v, lambda x: floor(256 * x::double)::bigint)) as x, len(v) // {parts} as width from rows
+), cells as (
+    select r, floor(spot / width)::bigint as part, spot % width as j, x from places
+), book0 as (
+    select part, r - 1 as entry, j, x from cells where r <= {entries}
+)"""
+    for n in range(rounds + 1):
+        steps += f""", apart{n} as (
+    select r, part, entry, sum((c.x - b.x) * (c.x - b.x))::bigint as distance from cells c join book{n} b using (part, j) group by r, part, entry
+), near{n} as (
+    select r, part, arg_min(entry, (distance, entry)) as entry, min(distance) as distance from apart{n} group by r, part
+)"""
+        if n < rounds:
+            steps += f""", mean{n} as (
+    select part, entry, j, {floor_mean} as x from cells join near{n} using (r, part) group by part, entry, j
+), book{n + 1} as (
+    select part, entry, j, coalesce(m.x, b.x) as x from book{n} b left join mean{n} m using (part, entry, j)
+)"""
+    return f"""{steps}, coded as (
+    select r, string_agg(lower(printf('%02x', entry::int)), '' order by part) as code, sum(distance)::bigint as error from near{rounds} group by r
+), digest as (
+    select sha256(string_agg(x::varchar, ',' order by part, entry, j)) as codebooks_sha256 from book{rounds}
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from rows join coded using (r), digest
+"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripfold.llm import html_extract, lz_fingerprint, minhash_dedup, mixing, ordered, packing, quality_cnn, quality_rules, sharding, token_counts, token_files
+from tripfold.llm import html_extract, lz_fingerprint, minhash_dedup, mixing, ordered, packing, position_index, quality_cnn, quality_rules, sharding, token_counts, token_files, vector_codes, whitening
 from tripfold.llm.workers import share_path
 from tripfold.sources.paths import scratch_root
 
@@ -82,3 +82,18 @@ def op10_token_files(spark, sf_dir):
     folder = f"{scratch_root(spark)}/ids"
     files = ordered.kept(token_files.write_token_files(table(spark, sf_dir, "documents"), folder, path, end_id=0))
     return token_files.read_token_files(spark, folder, files)
+
+
+@query
+def op11_decontamination(spark, sf_dir):
+    return position_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.quantize(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
