@@ -88,7 +88,7 @@ def test_compaction_changes_nothing(spark, tmp_path):
     assert rows(store.kpis()) == before
     store.compact(10)
     assert rows(store.kpis()) == before
-    assert len(store._live_paths("p")) == 2
+    assert len(store._live_paths("partials", "base", "p")) == 2
     (tmp_path / "base/pipeline_id=p/v=10/_SUCCESS").unlink()  # falls back to the older base
     assert rows(store.kpis()) == before
 

@@ -16,7 +16,7 @@ from tripfold.operators.trips import (
 )
 from tripfold.sources.kpi_store import KpiStore
 from tripfold.sources.readers import read_bodies, read_envelopes
-from tripfold.streaming import jobs
+from tripfold.streaming import jobs, states
 from tripfold.streaming.jobs import (
     CHANGE_FEED,
     DOCUMENTED,
@@ -102,7 +102,7 @@ class Crash(Exception):
     pass
 
 
-@pytest.mark.parametrize("step", ["landed", "state_in", "state", "carry", "completed", "append", "publish", "compact"])
+@pytest.mark.parametrize("step", ["landed", "counters", "rejected", "state_in", "state", "carry", "completed", "append", "publish", "compact", "_retire"])
 def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
     """Stops the second batch right after each of its writes; the restart counts nothing twice."""
     events = random_log(12, trips=12, most=5)
@@ -123,10 +123,12 @@ def test_crash_and_restart(spark, tmp_path, monkeypatch, step):
 
         monkeypatch.setattr(owner, name, wrapped)
 
-    if step in ("append", "publish", "compact"):
+    if step in ("append", "publish", "compact", "_retire"):
         crash_after(KpiStore, step)
     elif step == "state":  # inside the state query, before it commits
-        crash_after(jobs, "save_wanted")
+        crash_after(states, "save_wanted")
+    elif step == "state_in":
+        crash_after(states, "rename")
     elif step == "carry":
         crash_after(TripJob, "_carry")
     else:

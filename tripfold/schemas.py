@@ -100,6 +100,11 @@ PARTIAL_SCHEMA = _struct(
     max_fare=MONEY,
     min_fare=MONEY,
 )
+# A partial row in the store. Where `as_of` is set, the extremes are those of the pipeline's whole
+# day up to that batch, and earlier rows' extremes no longer count.
+STORED_SCHEMA = StructType([*PARTIAL_SCHEMA.fields, *_struct(batch=LONG, as_of=LONG).fields])
+# How often a fare counts on a day; a taken-back one counts negative until it is merged.
+FARES_SCHEMA = _struct(pickup_date=DATE, fare=MONEY, n=LONG)
 KPI_SCHEMA = _struct(
     pickup_date=DATE,
     total_fare=DOUBLE,

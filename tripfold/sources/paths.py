@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -45,6 +46,46 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder to where nothing is yet; one step on file systems that rename at once."""
+    fs, p = _fs_path(spark, target)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(source), p):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file; False, and nothing changed, if there is one already."""
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p.getParent())
+    try:
+        stream = fs.create(p, False)
+    except Py4JJavaError as error:
+        if fs.exists(p):
+            return False
+        raise error
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """Text of a small file."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile() and s.getPath().getName()[0] not in "._")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):

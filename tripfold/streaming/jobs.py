@@ -3,9 +3,11 @@
 Every micro-batch runs the batch operators; only the state of trips from earlier
 batches is streaming state. Under `root`, with P the pipeline:
 
-    runs/P/N-R-B           number N of the pipeline is batch B of run R
+    runs/P/N               which batch of which run is number N of the pipeline
     landed/P/batch=N       routed events, one pass over the source
-    state_in/P/batch=N     input of the state query (below)
+    rejected/P/batch=N     of these, the ones with a reason or a warning
+    counters/P/batch=N     one row: records, success, failed, skipped, warnings
+    state_in/P/batch=N     input of the state query (see TripStates)
     carry/P/batch=N        state, before batch N, of the trips that batch N touches
     completed/P/batch=N    completed trips (or changes), the forwarded messages
     kpi/...                see KpiStore
@@ -17,7 +19,8 @@ so nothing ever reuses or skips another run's folder.
 
 All folders are shared storage, each is written whole for its batch, and a
 replayed batch rewrites or reuses them: a crash at any point counts no trip
-twice. Retention of old folders is left to the storage.
+twice. `landed`, `state_in`, `carry` and old run files are removed once nothing can ask for
+them again; `completed`, `rejected` and `counters` are results, whose retention is the storage's.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripfold.operators.corrections import current_trips, fare_changes
 from tripfold.operators.envelope import decode_envelopes
 from tripfold.operators.events import good_events, quarantine, route_events
 from tripfold.operators.kpi import dated, partials
-from tripfold.operators.metrics import counters
+from tripfold.operators.metrics import batch_counters, counters
 from tripfold.operators.staging import cast_staging
 from tripfold.operators.trips import (
     change_feed,
@@ -40,13 +44,16 @@ from tripfold.operators.trips import (
     modified,
     trip_history,
 )
+from tripfold.schemas import END_FIELDS, START_FIELDS
 from tripfold.sources.kpi_store import KpiStore
 from tripfold.sources.paths import child_names, is_complete, make_dir, numbered, remove
+from tripfold.streaming.batch_log import BatchLog
+from tripfold.streaming.states import WRITES, TripStates
 
 DOCUMENTED = "documented"  # a trip counts once, at its first completion
 CHANGE_FEED = "change_feed"  # every change to an existing trip counts
-KEEP_ALL = "36500d"  # no file is too old to be read
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CORRECTED = "corrected"  # a trip counts as it stands now; later writes move it
+MODES = (DOCUMENTED, CHANGE_FEED, CORRECTED)
 
 
 def write_once(df: DataFrame, path: str) -> None:
@@ -55,38 +62,6 @@ def write_once(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def save_wanted(state: DataFrame, batch_id: int, target: str) -> None:
-    """Keeps the state of the trips that the batch asked for."""
-    known = "start_write is not null or end_write is not null"
-    wanted = state.where(F.col("wanted_by") == batch_id).where(known)
-    wanted.drop("wanted_by").write.mode("overwrite").parquet(target)
-
-
-class BatchLog:
-    """Numbers the batches of a pipeline. Markers are folders, created in one step."""
-
-    def __init__(self, spark: SparkSession, root: str, pipeline_id: str):
-        self.spark = spark
-        self.runs = f"{root}/runs/pipeline_id={pipeline_id}"
-        self.store = KpiStore(spark, f"{root}/kpi", pipeline_id)
-
-    def number(self, run: str, batch_id: int) -> int:
-        """The number of a run's batch: the one it had before, or the next.
-
-        Raises while a batch of another run waits to be finished, because its
-        events are part of the state but not yet of the KPIs.
-        """
-        taken = sorted(n.split("-", 1) for n in child_names(self.spark, self.runs))
-        own = [int(n) for n, batch in taken if batch == f"{run}-{batch_id}"]
-        if own:
-            return own[0]
-        if taken and not is_complete(self.spark, self.store.batch_path(int(taken[-1][0]))):
-            raise ValueError(f"batch {taken[-1][1]} has not finished: run it again first")
-        number = int(taken[-1][0]) + 1 if taken else 0
-        make_dir(self.spark, f"{self.runs}/{number:09d}-{run}-{batch_id}")
-        return number
-
-
 def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
     """The run that a checkpoint belongs to; a new checkpoint starts a new run."""
     names = [n for n in child_names(spark, checkpoint) if n.startswith("run=")]
@@ -112,7 +87,7 @@ class TripJob:
         compact_every: int = 50,
         publish: bool = True,
     ):
-        if mode not in (DOCUMENTED, CHANGE_FEED):
+        if mode not in MODES:
             raise ValueError(f"unknown mode {mode!r}")
         self.root = root.rstrip("/")
         self.pipeline_id = pipeline_id
@@ -120,8 +95,11 @@ class TripJob:
         self.compact_every = compact_every
         self.publish = publish  # keep the table partitioned by pickup day up to date
 
+    def folder(self, table: str) -> str:
+        return f"{self.root}/{table}/pipeline_id={self.pipeline_id}"
+
     def path(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/pipeline_id={self.pipeline_id}/batch={batch_id}"
+        return f"{self.folder(table)}/batch={batch_id}"
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/pipeline_id={self.pipeline_id}/{query}"
@@ -129,20 +107,50 @@ class TripJob:
     def store(self, spark: SparkSession) -> KpiStore:
         return KpiStore(spark, f"{self.root}/kpi", self.pipeline_id)
 
+    def log(self, spark: SparkSession) -> BatchLog:
+        return BatchLog(spark, self.root, self.pipeline_id, self.store(spark).is_written)
+
+    def states(self, spark: SparkSession) -> TripStates:
+        return TripStates.of(spark, self.root, self.pipeline_id, self.checkpoint("state"))
+
     def process(self, routed: DataFrame, batch_id: int) -> None:
         spark = routed.sparkSession
+        store = self.store(spark)
+        if store.is_written(batch_id) and not is_complete(spark, store.batch_path(batch_id)):
+            return  # long done: its rows are part of a base
         self._write_once(routed, "landed", batch_id)
+        landed = spark.read.parquet(self.path("landed", batch_id))
+        self._write_once(batch_counters(landed), "counters", batch_id)
+        self._write_once(landed.where("reason is not null or warning is not null"), "rejected", batch_id)
         events = self.events(spark, batch_id)
-        history = trip_history(events, carry=self._carry(spark, events, batch_id))
-        output = first_completion(history) if self.mode == DOCUMENTED else modified(change_feed(history))
-        self._write_once(output, "completed", batch_id)
-
-        store = self.store(spark)
-        store.append(partials(dated(spark.read.parquet(self.path("completed", batch_id)))), batch_id)
+        if not is_complete(spark, self.path("completed", batch_id)):
+            self._write_once(self._output(events, self._carry(spark, events, batch_id)), "completed", batch_id)
+
+        done = spark.read.parquet(self.path("completed", batch_id))
+        if self.mode == CORRECTED:
+            store.append_changes(fare_changes(done), batch_id)
+        else:
+            store.append(partials(dated(done)), batch_id)
         if self.publish:
             store.publish([batch_id])
+        self._retire(spark, batch_id)
+
+    def _output(self, events: DataFrame, carry: DataFrame | None) -> DataFrame:
+        if self.mode == CORRECTED:
+            return current_trips(events, carry)
+        history = trip_history(events, carry=carry)
+        return first_completion(history) if self.mode == DOCUMENTED else modified(change_feed(history))
+
+    def _retire(self, spark: SparkSession, batch_id: int) -> None:
+        """Batch `batch_id` has been counted: earlier ones are committed and never replayed."""
         if batch_id and batch_id % self.compact_every == 0:
-            store.compact(batch_id - 1)  # earlier batches are committed and never replayed
+            self.store(spark).compact(batch_id - 1)
+            self.log(spark).fold()
+        self.states(spark).retire(batch_id - 1)
+        for name in child_names(spark, self.folder("landed")):
+            number = int(name.removeprefix("batch="))
+            if number < batch_id - 1:  # the one before is the state query's next input, should this batch be repeated
+                remove(spark, self.path("landed", number))
 
     def events(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return good_events(spark.read.parquet(self.path("landed", batch_id)))
@@ -151,60 +159,60 @@ class TripJob:
         write_once(df, self.path(table, batch_id))
 
     def _carry(self, spark: SparkSession, events: DataFrame, batch_id: int) -> DataFrame | None:
-        """State before this batch of the trips it touches, from the state query.
-
-        The query is a native streaming aggregate: it keeps the newest writes of
-        every trip. Its input for batch N is the events of batch N-1, which become
-        part of the state, and a marker for every trip in batch N. In update mode
-        the marked trips come out with the state of the batches before N. Spark
-        combines both before the shuffle, so a hot trip costs one row per task.
-        """
+        """State before this batch of the trips it touches."""
         if not batch_id:
             return None
-        markers = events.select("trip_id", F.lit(batch_id).cast("bigint").alias("wanted_by"))
-        writes = event_writes(self.events(spark, batch_id - 1)).drop("kind", "sequence")
-        rows = writes.unionByName(markers, allowMissingColumns=True)
-        self._write_once(rows, "state_in", batch_id)
-
-        target = self.path("carry", batch_id)
-
-        def keep_wanted(state: DataFrame, _: int) -> None:
-            save_wanted(state, batch_id, target)
-
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-        state = (
-            spark.readStream.schema(rows.schema)
-            .option("recursiveFileLookup", True)
-            .option("maxFileAge", KEEP_ALL)
-            .parquet(f"{self.root}/state_in/pipeline_id={self.pipeline_id}")
-            .groupBy("trip_id")
-            .agg(*[F.max(c).alias(c) for c in ("start_write", "end_write", "wanted_by")])
-        )
-        query = (
-            state.writeStream.outputMode("update")
-            .foreachBatch(keep_wanted)
-            .option("checkpointLocation", self.checkpoint("state"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        return spark.read.parquet(target)
+        finished = None
+        if self.mode == DOCUMENTED:  # a trip that was forwarded never comes again
+            finished = spark.read.parquet(self.path("completed", batch_id - 1))
+        return self.states(spark).before(batch_id, self.events(spark, batch_id - 1), finished, events)
+
+    # --- results -----------------------------------------------------------------
 
     def completed(self, spark: SparkSession) -> DataFrame:
         """Forwarded trips of all batches."""
         return spark.read.parquet(*self._paths(spark, "completed"))
 
+    def counters(self, spark: SparkSession) -> DataFrame:
+        """One row per batch: batch, records, success, failed, skipped, warnings. A repeated batch has one row."""
+        rows = spark.read.option("basePath", self.folder("counters")).parquet(*self._paths(spark, "counters"))
+        return rows.withColumn("batch", F.col("batch").cast("bigint"))
+
+    def open_trips(self, spark: SparkSession) -> DataFrame:
+        """trip_id and all fields of the trips that wait for their start or their end, after the last finished batch.
+
+        Read from the state store of the stopped (or idle) stream and the events of the last batch, which the state
+        gets with the next one. No event is read again but those.
+        """
+        last = max(numbered(spark, self.folder("landed"), "batch"), default=-1)
+        rows = event_writes(self.events(spark, last)).select("trip_id", *WRITES) if last >= 0 else None
+        if rows is None:
+            raise ValueError("the pipeline has no batch yet")
+        if last:
+            state = self.states(spark).stored()
+            finished = F.coalesce(F.col("start_write.finished"), F.lit(False)) | F.coalesce(F.col("end_write.finished"), F.lit(False))
+            known = state.select("trip_id", finished.alias("finished"), *[F.when(F.col(w).isNotNull(), F.struct(f"{w}.sequence", f"{w}.image")).alias(w) for w in WRITES])
+            rows = rows.withColumn("finished", F.lit(False)).unionByName(known)
+        else:
+            rows = rows.withColumn("finished", F.lit(False))
+        folded = rows.groupBy("trip_id").agg(*[F.max(w).alias(w) for w in WRITES], F.bool_or("finished").alias("finished"))
+        waiting = folded.where("not finished and (start_write is null or end_write is null)")
+        return waiting.select(
+            "trip_id",
+            *[F.col(f"start_write.image.{f}").alias(f) for f in START_FIELDS],
+            *[F.col(f"end_write.image.{f}").alias(f) for f in END_FIELDS],
+        )
+
     def quarantine(self, spark: SparkSession) -> DataFrame:
         """Rejected events and warnings, and forwarded trips without a pickup day."""
-        landed = spark.read.parquet(*self._paths(spark, "landed"))
+        rejected = spark.read.parquet(*self._paths(spark, "rejected"))
         dateless = self.completed(spark).where("pickup_datetime is null")
-        return quarantine(landed, "ingest").unionByName(
+        return quarantine(rejected, "ingest").unionByName(
             quarantine(dateless.withColumn("reason", F.lit("bad_pickup_datetime")), "kpi", "trip_id")
         )
 
     def _paths(self, spark: SparkSession, table: str) -> list[str]:
-        folder = f"{self.root}/{table}/pipeline_id={self.pipeline_id}"
-        return [f"{folder}/batch={n}" for n in numbered(spark, folder, "batch")]
+        return [self.path(table, n) for n in numbered(spark, self.folder(table), "batch")]
 
 
 def routed(envelopes: DataFrame) -> DataFrame:
@@ -220,37 +228,63 @@ def run_batch(envelopes: DataFrame, job: TripJob, run_id: str | None = None) ->
     it with `run_id` in both calls: it then counts once.
     """
     spark = envelopes.sparkSession
-    number = BatchLog(spark, job.root, job.pipeline_id).number(run_id or uuid.uuid4().hex, 0)
-    job.process(routed(envelopes), number)
+    number = job.log(spark).number(run_id or uuid.uuid4().hex, 0)
+    try:
+        job.process(routed(envelopes), number)
+    finally:
+        job.states(spark).stop()
     return job.store(spark).kpis()
 
 
-def start_stream(envelopes: DataFrame, job: TripJob, **trigger) -> StreamingQuery:
+class TripStream:
+    """A running stream: its query, and the state query that ends with it."""
+
+    def __init__(self, query: StreamingQuery, states: TripStates):
+        self.query, self.states = query, states
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:
+        try:
+            return self.query.awaitTermination(timeout) if timeout else self.query.awaitTermination()
+        finally:
+            if not self.query.isActive:
+                self.states.stop()
+
+    def stop(self) -> None:
+        self.query.stop()
+        self.states.stop()
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)
+
+
+def start_stream(envelopes: DataFrame, job: TripJob, **trigger) -> TripStream:
     """Folds a stream of envelopes into the KPI table.
 
     A trip's events must reach the batches in sequence order for the stream to
     equal one batch over all events; within a batch any order will do. An older
-    write that comes in a later batch never replaces a newer one.
+    write that comes in a later batch never replaces a newer one. In mode `corrected` the order of arrival
+    does not matter.
 
     `trigger` is that of `DataStreamWriter.trigger`: `availableNow=True` (the
     default) runs once over what is there, `processingTime="10 minutes"` goes on.
-    Bound the batch size with the source's own option, e.g. `maxFilesPerTrigger`.
-    Counters of every batch are in the query progress under `batch`.
+    Bound the batch size with the source's own option, e.g. `maxFilesPerTrigger`, and let Spark
+    move files away once they are consumed with `cleanSource`.
+    Counters of every batch are in `job.counters`, and in the query progress under `batch`.
     """
     spark = envelopes.sparkSession
-    make_dir(spark, f"{job.root}/state_in/pipeline_id={job.pipeline_id}")
     rows = routed(envelopes).observe("batch", *counters(has_warning=True))
     run = checkpoint_run(spark, job.checkpoint("ingest"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        job.process(batch, BatchLog(batch.sparkSession, job.root, job.pipeline_id).number(run, batch_id))
+        job.process(batch, job.log(batch.sparkSession).number(run, batch_id))
 
-    return (
+    query = (
         rows.writeStream.foreachBatch(process)
         .option("checkpointLocation", f"{job.checkpoint('ingest')}/query")
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+    return TripStream(query, job.states(spark))
 
 
 def start_message_stream(
@@ -268,14 +302,16 @@ def start_message_stream(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        number = BatchLog(session, root, pipeline_id).number(run, batch_id)
+        store = KpiStore(session, f"{root}/kpi", pipeline_id)
+        log = BatchLog(session, root, pipeline_id, store.is_written)
+        number = log.number(run, batch_id)
         path = f"{root}/messages/pipeline_id={pipeline_id}/batch={number}"
         write_once(batch, path)
-        store = KpiStore(session, f"{root}/kpi", pipeline_id)
         store.append(partials(session.read.parquet(path).where("reason is null")), number)
         store.publish([number])
         if number and number % compact_every == 0:
             store.compact(number - 1)
+            log.fold()
 
     make_dir(spark, root)
     return (
