@@ -96,9 +96,15 @@ def sequence_order(text: Column) -> Column:
     )
 
 
-def loses_digits(text: Column, dtype: DataType) -> Column:
-    """Whether `to_number` rounds the text's number."""
-    return F.coalesce(text.try_cast("decimal(38,16)") != to_number(text, dtype), F.lit(False))
+def loses_digits(text: Column, value: Column, dtype: DataType) -> Column:
+    """Whether `value`, the number of the type that was made of the text, is rounded.
+
+    Only a text with an exponent, or with more digits behind the point than the type has, is looked at closely.
+    """
+    scale = 0 if isinstance(dtype, IntegerType) else dtype.scale
+    point = F.instr(text, ".")
+    many = (point > 0) & (F.length(text) - point > scale) | text.rlike("[eE]")
+    return F.when(many, F.coalesce(text.try_cast("decimal(38,16)") != value, F.lit(False))).otherwise(False)
 
 
 def typed(text: Column, dtype: DataType) -> Column:
@@ -129,15 +135,15 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.array(F.struct(*df.columns))).alias("row")).select("row.*")
 
 
-def field_warning(text: Column, name: str, dtype: DataType) -> Column | None:
-    """What is lost when a field is typed: the whole value, digits, or nothing (NULL)."""
+def field_warning(text: Column, value: Column, name: str, dtype: DataType) -> Column | None:
+    """What is lost when a field's text is typed as `value`: the whole value, digits, or nothing (NULL)."""
     if isinstance(dtype, StringType):
         return None
     short = "fare" if name == "fare_amount" else name
-    unreadable = F.when(text.isNotNull() & typed(text, dtype).isNull(), f"bad_{short}")
+    unreadable = F.when(text.isNotNull() & value.isNull(), f"bad_{short}")
     if isinstance(dtype, TimestampNTZType):
         return unreadable
-    return F.coalesce(unreadable, F.when(loses_digits(text, dtype), f"rounded_{short}"))
+    return F.coalesce(unreadable, F.when(loses_digits(text, value, dtype), f"rounded_{short}"))
 
 
 def joined_warnings(warnings: list[Column | None]) -> Column:

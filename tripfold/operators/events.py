@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 
 from tripfold.functions.scalars import computed_once, field_warning, is_truthy, joined_warnings, typed, variant_text
 from tripfold.operators.envelope import TYPED_FIELDS
-from tripfold.schemas import END_PAYLOAD, START_PAYLOAD
+from tripfold.schemas import END_PAYLOAD, END_TEXTS, START_PAYLOAD, START_TEXTS
 
 
-def route_events(decoded: DataFrame) -> DataFrame:
+def route_events(decoded: DataFrame, keep_texts: bool = False) -> DataFrame:
     """Types the payload, adds `kind`, and extends `reason` and `warning`.
 
     A truthy pickup time makes a start, else a truthy dropoff time makes an end.
     Only the fields of the routed kind are filled. Rows with a `reason` are out,
     among them events whose own time is unreadable; a `warning` names the other
-    fields that are unreadable (and count as missing) or lose digits.
+    fields that are unreadable (and count as missing) or lose digits. With `keep_texts`, the
+    times' wire texts stay beside them (`START_TEXTS`, `END_TEXTS`).
     """
     doc = F.col("doc")
     flagged = decoded.withColumns(
@@ -27,7 +28,7 @@ def route_events(decoded: DataFrame) -> DataFrame:
         }
     ).withColumn("kind", F.when(F.col("_has_pickup"), "start").when(F.col("_has_dropoff"), "end"))
 
-    warnings = []
+    warnings, texts = [], {}
     columns = {"trip_id": F.when(F.col("_has_id"), variant_text(doc["trip_id"]))}
     for kind, payload in (("start", START_PAYLOAD), ("end", END_PAYLOAD)):
         for field in payload:
@@ -35,7 +36,10 @@ def route_events(decoded: DataFrame) -> DataFrame:
             if field.name in TYPED_FIELDS:
                 text = variant_text(text)
             columns[field.name] = F.when(F.col("kind") == kind, typed(text, field.dataType))
-            warning = field_warning(text, field.name, field.dataType)
+            if keep_texts and f"{field.name}_text" in (*START_TEXTS, *END_TEXTS):
+                texts[f"{field.name}_text"] = F.when(F.col("kind") == kind, text)
+            # over the typed column, which is computed once in the projection below
+            warning = field_warning(text, F.col(field.name), field.name, field.dataType)
             if warning is not None:
                 warnings.append(F.when(F.col("kind") == kind, warning))
 
@@ -51,8 +55,8 @@ def route_events(decoded: DataFrame) -> DataFrame:
         .when(no_dropoff, "bad_dropoff_datetime")
     )
     return computed_once(
-        flagged.withColumns({**columns, "_warnings": joined_warnings(warnings)})
-        .withColumn("reason", reason)
+        flagged.withColumns({**columns, **texts})
+        .withColumns({"reason": reason, "_warnings": joined_warnings(warnings)})
         .withColumn("warning", F.when(F.col("reason").isNull(), F.col("_warnings")))
         .withColumn("kind", F.when(F.col("reason").isNull(), F.col("kind")))
         .drop("doc", "_has_id", "_has_pickup", "_has_dropoff", "_warnings")
@@ -60,8 +64,9 @@ def route_events(decoded: DataFrame) -> DataFrame:
 
 
 def good_events(routed: DataFrame) -> DataFrame:
+    texts = [c for c in (*START_TEXTS, *END_TEXTS) if c in routed.columns]
     return routed.where("reason is null").select(
-        "trip_id", "kind", "sequence", *START_PAYLOAD.names, *END_PAYLOAD.names
+        "trip_id", "kind", "sequence", *START_PAYLOAD.names, *END_PAYLOAD.names, *texts
     )
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FLOOR_CONF = "tripfold.hotKey.minRows"
@@ -38,6 +38,11 @@ class HotKeys:
         )
 
 
+def hot_floor(spark: SparkSession) -> int:
+    """Rows of the smallest key to split."""
+    return int(spark.conf.get(FLOOR_CONF, str(FLOOR_ROWS)))
+
+
 def find_hot_keys(df: DataFrame, key: str, order: str) -> HotKeys:
     """Hot keys of `df` with chunk bounds along `order`.
 
@@ -49,7 +54,7 @@ def find_hot_keys(df: DataFrame, key: str, order: str) -> HotKeys:
     """
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    floor_rows = int(spark.conf.get(FLOOR_CONF, str(FLOOR_ROWS)))
+    floor_rows = hot_floor(spark)
     tracked = min(1_000_000, max(1024, 16 * tasks))
     most = max(1, tasks // SHARE)
     row = (

@@ -114,7 +114,7 @@ def trip_history(
     `carry` holds the state of trips from earlier batches (`trip_id`,
     `start_write`, `end_write`). Trips too large for one task are split into
     ranges of their sequence that run side by side; every range starts from the
-    combined writes of the ranges before it.
+    combined writes of the ranges before it. Exact repeats of an event give one row.
     """
     if hot is None:
         hot = find_hot_keys(events, "trip_id", "sequence")
@@ -133,13 +133,15 @@ def trip_history(
     before = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
     previous = {c: F.max(c).over(before) for c in ("start_write", "end_write")}
+    event = F.struct("kind", "sequence", "start_write", "end_write")
+    repeated = F.coalesce(F.lag(event).over(Window.partitionBy(*key).orderBy(*order)) == event, F.lit(False))
     if hot:
         rows = rows.distinct()  # exact repeats change nothing, and could fill a chunk
         rows = rows.join(F.broadcast(_state_before_chunk(rows)), ["trip_id", "chunk"], "left")
         previous = {c: F.greatest(p, F.col(f"chunk_{c}")) for c, p in previous.items()}
     return (
-        rows.withColumns({f"prev_{c}": p for c, p in previous.items()})
-        .where("kind <> 'carry'")
+        rows.withColumns({**{f"prev_{c}": p for c, p in previous.items()}, "repeated": repeated})
+        .where("kind <> 'carry' and not repeated")
         .select(
             "trip_id",
             "kind",

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripfold.functions.scalars import wire_datetime
 from tripfold.operators import kpi, metrics, sampling, staging, trips
 from tripfold.operators.envelope import decode_envelopes, encode_envelopes
 from tripfold.operators.events import good_events, quarantine
@@ -17,15 +18,14 @@ from tripfold.plans.tables import (
     order_events,
     order_starts,
     presented,
-    seconds,
     table,
     user_events,
     user_log,
 )
-from tripfold.schemas import END_FIELDS, STAGING_FIELDS, START_FIELDS
+from tripfold.schemas import END_FIELDS, END_TEXTS, STAGING_FIELDS, START_FIELDS, START_TEXTS
 from tripfold.sources import readers
 from tripfold.sources.kpi_store import KpiStore
-from tripfold.sources.paths import scratch_root
+from tripfold.sources.paths import make_dir, rename, scratch_root
 from tripfold.sources.writers import write_bodies, write_envelopes
 from tripfold.streaming.jobs import TripJob, run_batch, start_message_stream, start_stream
 
@@ -175,7 +175,7 @@ def mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.format_string(
         '{"trip_id": "u%d", "pickup_datetime": "%s"}',
         F.col("user_id"),
-        seconds("ts"),
+        wire_datetime(F.col("ts")),
     )
     cut_short = F.expr("substring(props, 1, length(props) - 1)")
     text = (
@@ -214,7 +214,7 @@ def quarantine_reasons(spark, sf_dir):
 @query
 def route_events(spark, sf_dir):
     """Events whose ids are JSON numbers (0 is no id) and whose times may be empty."""
-    at = seconds("ts")
+    at = wire_datetime(F.col("ts"))
     rows = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("sequence"),
         F.base64(
@@ -283,7 +283,7 @@ def message_bodies(spark, sf_dir):
 
 @query
 def csv_scan(spark, sf_dir):
-    """CSV with the columns in another order, integers as `1.0` and unreadable lines."""
+    """CSV files of one folder with their columns in different orders, integers as `1.0` and unreadable lines."""
     root = scratch_root(spark)
     order_starts(spark, sf_dir).drop("sequence").write.csv(f"{root}/starts", header=True)
     ends = line_ends(spark, sf_dir).drop("sequence")
@@ -294,7 +294,9 @@ def csv_scan(spark, sf_dir):
             "tip_amount": F.expr("case when rate_code = 6 then 'abc' else cast(tip_amount as string) end"),
         }
     )
-    ends.select(*[c for c in ends.columns if c != "trip_id"], "trip_id").write.csv(f"{root}/ends", header=True)
+    even = F.col("rate_code") % 2 == 0
+    ends.where(~even).select(*[c for c in ends.columns if c != "trip_id"], "trip_id").write.csv(f"{root}/ends", header=True)
+    ends.where(even).drop("passenger_count").withColumn("other", F.lit("x,y")).write.mode("append").csv(f"{root}/ends", header=True)
     starts = readers.read_starts_csv(spark.read, f"{root}/starts")
     ends = readers.read_ends_csv(spark.read, f"{root}/ends")
     rows = starts.select("trip_id", F.lit("start").alias("kind"), "pickup_datetime", "estimated_fare_amount", "reason", "warning")
@@ -369,13 +371,22 @@ def repeated_sequences(spark, sf_dir):
 
 @query
 def change_feed_coded(spark, sf_dir):
-    """Every third write repeats the one before but for the passenger count, and is no change."""
+    """Every third write is repeated but for the passenger count, and every fifth with its time spelled in another way.
+
+    The first is no change, the second is one, though the time is the same.
+    """
     events = user_events(spark, sf_dir)
-    again = events.where("sequence % 3 = 0").withColumns(
-        {"sequence": F.expr("sequence * 10 + 5"), "passenger_count": F.expr("case when kind = 'end' then 4 end")}
+    wire = events.withColumns({c: wire_datetime(F.col(c)) for c, t in events.dtypes if t == "timestamp_ntz"})
+    again = wire.where("sequence % 3 = 0").withColumns(
+        {"sequence": F.expr("sequence * 10 + 3"), "passenger_count": F.expr("case when kind = 'end' then 4 end")}
+    )
+    respelled = wire.where("sequence % 5 = 0").withColumns(
+        {"sequence": F.expr("sequence * 10 + 5"), **{c: F.translate(c, " ", "T") for c in ("pickup_datetime", "dropoff_datetime")}}
     )
-    events = events.withColumn("sequence", F.expr("sequence * 10")).unionByName(again)
-    changes = trips.change_feed(trips.trip_history(events))
+    wire = wire.withColumn("sequence", F.expr("sequence * 10")).unionByName(again).unionByName(respelled)
+    events = good_events(route(decode_envelopes(encode_envelopes(wire)), keep_texts=True))
+    fields = [*START_FIELDS, *START_TEXTS], [*END_FIELDS, *END_TEXTS]
+    changes = trips.change_feed(trips.trip_history(events, *fields), *fields)
     return changes.groupBy("trip_id").agg(F.count("*").alias("changes"), F.max("sequence").alias("last_sequence"))
 
 
@@ -405,6 +416,12 @@ def matched_sample(spark, sf_dir):
 
 @query
 def interleave(spark, sf_dir):
+    events = user_events(spark, sf_dir).withColumn("event", F.col("sequence").cast("string"))
+    return sampling.interleaved(events, tie="event", seed=42).select("trip_id", "kind", "event", "sequence")
+
+
+@query
+def interleave_keys(spark, sf_dir):
     events = user_events(spark, sf_dir).withColumn("event", F.col("sequence").cast("string"))
     return sampling.shuffled(events, tie="event", seed=42).select("trip_id", "kind", "event", "sequence")
 
@@ -419,26 +436,56 @@ def _slices(df: DataFrame, order: str, n: int) -> list[DataFrame]:
     return [df.where(at == i) for i in range(n)]
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TripJob, SparkSession]:
-    """Lands the users' events in three deliveries and folds each as it comes."""
+def _run_stream(spark: SparkSession, log: DataFrame, mode: str) -> TripJob:
+    """Lands the events in three deliveries; one running stream folds each as it comes."""
     root = scratch_root(spark)
     job = TripJob(f"{root}/job", "users", mode)
-    for part in _slices(user_log(spark, sf_dir), "sequence", 3):
-        write_envelopes(part, f"{root}/log")
-        start_stream(readers.read_envelopes(spark.readStream, f"{root}/log"), job).awaitTermination()
-    return job, spark
+    make_dir(spark, f"{root}/log")
+    source = readers.retiring(spark.readStream, f"{root}/consumed").option("recursiveFileLookup", True)
+    stream = start_stream(readers.read_envelopes(source, f"{root}/log"), job, processingTime="100 milliseconds")
+    try:
+        for n, part in enumerate(_slices(log, "sequence", 3)):
+            write_envelopes(part, f"{root}/staged/{n}")
+            rename(spark, f"{root}/staged/{n}", f"{root}/log/{n}")  # in one step: one batch
+            stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return job
 
 
 @query
 def stream_kpi(spark, sf_dir):
-    job, spark = _run_stream(spark, sf_dir, "documented")
-    return job.store(spark).kpis()
+    return _run_stream(spark, user_log(spark, sf_dir), "documented").store(spark).kpis()
 
 
 @query
 def stream_kpi_change_feed(spark, sf_dir):
-    job, spark = _run_stream(spark, sf_dir, "change_feed")
-    return job.store(spark).kpis()
+    return _run_stream(spark, user_log(spark, sf_dir), "change_feed").store(spark).kpis()
+
+
+@query
+def kpi_corrections_stream(spark, sf_dir):
+    """Trips that later events move to other days and fares, published."""
+    return _run_stream(spark, user_log(spark, sf_dir), "corrected").store(spark).published()
+
+
+@query
+def open_trips_stream(spark, sf_dir):
+    """Open trips of a stopped stream, from its state store. A user's events make up many trips."""
+    log = user_log(spark, sf_dir).withColumn("trip_id", F.expr("concat(trip_id, '/', cast(sequence % 50 as string))"))
+    waiting = _run_stream(spark, log, "documented").open_trips(spark)
+    return waiting.select("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "fare_amount")
+
+
+@query
+def stream_counters(spark, sf_dir):
+    """Counters of four batches of envelopes, mostly broken, over two restarts of the stream."""
+    root = scratch_root(spark)
+    job = TripJob(f"{root}/job", "users", publish=False)
+    for part in _slices(mixed_envelopes(spark, sf_dir), "sequence", 4):
+        part.write.mode("append").json(f"{root}/log")
+        start_stream(readers.read_envelopes(spark.readStream, f"{root}/log"), job).awaitTermination()
+    return job.counters(spark)
 
 
 @query
@@ -448,7 +495,7 @@ def kpi_two_pipelines(spark, sf_dir):
     for part in (0, 1):
         job = TripJob(f"{root}/job", f"p{part}")
         run_batch(encode_envelopes(events.where(F.pmod(F.col("trip_id").cast("bigint"), F.lit(2)) == part)), job)
-    return job.store(spark).kpis()
+    return job.store(spark).published()
 
 
 @query

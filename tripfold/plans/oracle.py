@@ -96,7 +96,7 @@ USERS = f"""
 log as (
   select cast(user_id as varchar) as trip_id, event_id, event_type,
          case when event_type = 'purchase' then 'end' else 'start' end as kind,
-         date_trunc('second', ts) as moment, strftime(ts, '{SECONDS}') as at_text,
+         ts as moment, cast(ts as varchar) as at_text,
          cast("value" as decimal(18,2)) as amount
   from events where event_type in ('signup', 'view', 'purchase')),
 seen as (
@@ -289,8 +289,28 @@ ORACLE = {
         qualify row_number() over (partition by trip_id order by fare_amount desc,
                 case when tip_amount > 100 then tip_amount end desc nulls last) = 1""",
     "change_feed_coded": f"""
-        with {USERS}
-        select trip_id, count(*) as changes, 10 * max(event_id) as last_sequence from log group by trip_id""",
+        with {USERS}, changes as (
+          select trip_id, 10 * event_id as sequence from log
+          union all select trip_id, 10 * event_id + 5 from log where event_id % 5 = 0)
+        select trip_id, count(*) as changes, max(sequence) as last_sequence from changes group by trip_id""",
+    "open_trips_stream": f"""
+        with {USERS}, short as (
+          select *, trip_id || '/' || cast(event_id % 50 as varchar) as trip from log),
+        ends as (
+          select trip, max(event_id) filter (where kind = 'start') as start_id,
+                 max(event_id) filter (where kind = 'end') as end_id from short group by trip)
+        select h.trip as trip_id, s.event_type as vendor_id, s.at_text as pickup_datetime,
+               e.at_text as dropoff_datetime, cast(e.amount as double) as fare_amount
+        from ends h left join short s on s.event_id = h.start_id left join short e on e.event_id = h.end_id
+        where h.start_id is null or h.end_id is null""",
+    "stream_counters": """
+        with bounds as (select min(event_id) as low, max(event_id) as high from events),
+        parts as (
+          select least(3, cast(floor((event_id - low) * 4 / (high - low + 1)) as bigint)) as batch, event_type
+          from events, bounds)
+        select batch, count(*) as records, count(*) filter (where event_type = 'signup') as success,
+               count(*) filter (where event_type <> 'signup') as failed, 0::bigint as skipped, 0::bigint as warnings
+        from parts group by batch""",
     "hot_trip": f"""
         with {TRIPS}, hot as (
           select *, case when cast(trip_id as bigint) % 3 = 0 then 'hot' else trip_id end as trip from ends)
@@ -317,13 +337,20 @@ ORACLE = {
         from starts semi join chosen using (trip_id)
         union all
         select trip_id, 'end', null, dropoff_datetime, fare_amount from ends semi join chosen using (trip_id)""",
-    "interleave": f"""
+    "interleave_keys": f"""
         with {USERS}
         select trip_id, kind, cast(event_id as varchar) as event,
                cast('0x' || substr(md5(concat_ws('|', '42', trip_id, kind, cast(event_id as varchar))), 1, 15)
                     as bigint) as sequence
         from log""",
+    "interleave": f"""
+        with {USERS}
+        select trip_id, kind, cast(event_id as varchar) as event,
+               row_number() over (order by substr(md5(concat_ws('|', '42', trip_id, kind, cast(event_id as varchar))), 1, 15),
+                                  trip_id, kind, cast(event_id as varchar)) as sequence
+        from log""",
 }
 ORACLE["kpi_batch_then_stream"] = ORACLE["stream_kpi"]
 ORACLE["kpi_two_pipelines"] = ORACLE["stream_kpi"]
+ORACLE["kpi_corrections_stream"] = USER_CURRENT
 ORACLE = {name: dedent(sql).strip() for name, sql in ORACLE.items()}

@@ -63,11 +63,6 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select(*EVENT_COLUMNS)
 
 
-def seconds(at: str) -> Column:
-    """Times of this table in whole seconds, as text."""
-    return F.substring(wire_datetime(F.col(at)), 1, 19)
-
-
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of users over time."""
     return user_log(spark, sf_dir).where("kind is not null")
@@ -77,7 +72,7 @@ def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All user events; clicks and errors have neither time, and so no kind."""
     rows = table(spark, sf_dir, "events")
     is_start, is_end = F.expr("event_type in ('signup', 'view')"), F.expr("event_type = 'purchase'")
-    at = seconds("ts").cast("timestamp_ntz")
+    at = F.col("ts").cast("timestamp_ntz")
     values = {
         "vendor_id": F.col("event_type"),
         "pickup_datetime": at,

@@ -72,6 +72,9 @@ STAGING_FIELDS = (
 
 START_FIELDS = START_PAYLOAD.names
 END_FIELDS = END_PAYLOAD.names
+# Wire texts of the times, for a change feed that sees a time written in another way as a change.
+START_TEXTS = [f"{f.name}_text" for f in START_PAYLOAD if f.dataType == DATETIME]
+END_TEXTS = [f"{f.name}_text" for f in END_PAYLOAD if f.dataType == DATETIME]
 
 _ID = _struct(trip_id=STRING)
 START_SCHEMA = StructType(_ID.fields + START_PAYLOAD.fields)

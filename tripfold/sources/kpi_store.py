@@ -16,8 +16,6 @@ only there for pipelines that take fares back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -203,10 +201,8 @@ class KpiStore:
                 return
             touched = {r.pickup_date for r in self._read(folders).select("pickup_date").distinct().collect()}  # a row per day
             stored = stored.where(F.col("pickup_date").isin(list(touched)))
-        staged = f"{self.root}/publishing/{uuid.uuid4().hex}"
-        finalize(merged(stored).where("count_trips <> 0")).write.parquet(staged)
-        rows = self.spark.read.schema(KPI_SCHEMA).parquet(staged)
-        present = {r.pickup_date for r in rows.select("pickup_date").collect()}
+        found = finalize(merged(stored).where("count_trips <> 0")).select(*KPI_SCHEMA.names).collect()  # a row per day
+        present = {r.pickup_date for r in found}
         if touched is None:
             names = child_names(self.spark, f"{self.root}/published")
             stale = {n for n in names if n.startswith("pickup_date=")} - {f"pickup_date={d}" for d in present}
@@ -217,13 +213,13 @@ class KpiStore:
         # ranges in an explicit number are not merged into one task: folders are written side by side
         tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            rows.repartitionByRange(tasks, "pickup_date")
+            self.spark.createDataFrame(found, KPI_SCHEMA)
+            .repartitionByRange(tasks, "pickup_date")
             .write.option("partitionOverwriteMode", "dynamic")
             .partitionBy("pickup_date")
             .mode("overwrite")
             .parquet(f"{self.root}/published")
         )
-        remove(self.spark, staged)
 
     def published(self) -> DataFrame:
         table = self.spark.read.schema(KPI_SCHEMA).parquet(f"{self.root}/published")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -54,12 +55,12 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
-def create_file(spark: SparkSession, path: str, text: str) -> bool:
-    """Writes a small file; False, and nothing changed, if there is one already."""
+def create_file(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Writes a small file; False, and nothing changed, if there is one already that is not to be overwritten."""
     fs, p = _fs_path(spark, path)
     fs.mkdirs(p.getParent())
     try:
-        stream = fs.create(p, False)
+        stream = fs.create(p, overwrite)
     except Py4JJavaError as error:
         if fs.exists(p):
             return False
@@ -79,6 +80,35 @@ def read_file(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_lines(spark: SparkSession, path: str) -> dict[str, str]:
+    """First line of every file under `path` that is not empty or hidden; compressed files are unpacked as far as that.
+
+    The names and first lines pass through the driver, many files at a time, and nothing else of the files.
+    """
+    fs, p = _fs_path(spark, path)
+    jvm = spark._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf())
+    found = []
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString()[len(fs.makeQualified(p).toString()) :]
+        if status.getLen() and not any(part[:1] in ("_", ".") for part in name.split("/") if part):
+            found.append(status.getPath())
+
+    def line(file) -> str:
+        stream, codec = fs.open(file), codecs.getCodec(file)
+        stream = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return dict(zip([f.toString() for f in found], pool.map(line, found), strict=True))
+
+
 def file_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):

@@ -6,7 +6,7 @@ batches is streaming state. Under `root`, with P the pipeline:
     runs/P/N               which batch of which run is number N of the pipeline
     landed/P/batch=N       routed events, one pass over the source
     rejected/P/batch=N     of these, the ones with a reason or a warning
-    counters/P/batch=N     one row: records, success, failed, skipped, warnings
+    counters/P/N.json      one row: batch, records, success, failed, skipped, warnings
     state_in/P/batch=N     input of the state query (see TripStates)
     carry/P/batch=N        state, before batch N, of the trips that batch N touches
     completed/P/batch=N    completed trips (or changes), the forwarded messages
@@ -25,6 +25,7 @@ them again; `completed`, `rejected` and `counters` are results, whose retention
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,8 @@ from tripfold.operators.corrections import current_trips, fare_changes
 from tripfold.operators.envelope import decode_envelopes
 from tripfold.operators.events import good_events, quarantine, route_events
 from tripfold.operators.kpi import dated, partials
-from tripfold.operators.metrics import batch_counters, counters
+from tripfold.operators.metrics import batch_counters, counters, observed
+from tripfold.operators.skew import HotKeys, hot_floor
 from tripfold.operators.staging import cast_staging
 from tripfold.operators.trips import (
     change_feed,
@@ -44,9 +46,9 @@ from tripfold.operators.trips import (
     modified,
     trip_history,
 )
-from tripfold.schemas import END_FIELDS, START_FIELDS
+from tripfold.schemas import END_FIELDS, END_TEXTS, START_FIELDS, START_TEXTS
 from tripfold.sources.kpi_store import KpiStore
-from tripfold.sources.paths import child_names, is_complete, make_dir, numbered, remove
+from tripfold.sources.paths import child_names, create_file, is_complete, make_dir, numbered, remove
 from tripfold.streaming.batch_log import BatchLog
 from tripfold.streaming.states import WRITES, TripStates
 
@@ -111,20 +113,28 @@ class TripJob:
         return BatchLog(spark, self.root, self.pipeline_id, self.store(spark).is_written)
 
     def states(self, spark: SparkSession) -> TripStates:
-        return TripStates.of(spark, self.root, self.pipeline_id, self.checkpoint("state"))
+        return TripStates.of(spark, self.root, self.pipeline_id, self.checkpoint("state"), *self.fields())
+
+    def fields(self) -> tuple[list[str], list[str]]:
+        """The fields of starts and ends that the state holds."""
+        if self.mode == CHANGE_FEED:  # a time that is written in another way is a change
+            return [*START_FIELDS, *START_TEXTS], [*END_FIELDS, *END_TEXTS]
+        return START_FIELDS, END_FIELDS
 
     def process(self, routed: DataFrame, batch_id: int) -> None:
         spark = routed.sparkSession
         store = self.store(spark)
         if store.is_written(batch_id) and not is_complete(spark, store.batch_path(batch_id)):
             return  # long done: its rows are part of a base
-        self._write_once(routed, "landed", batch_id)
-        landed = spark.read.parquet(self.path("landed", batch_id))
-        self._write_once(batch_counters(landed), "counters", batch_id)
-        self._write_once(landed.where("reason is not null or warning is not null"), "rejected", batch_id)
+        found = self._land(routed, batch_id)
+        if found["failed"] + found["skipped"] + found["warnings"]:
+            landed = spark.read.parquet(self.path("landed", batch_id))
+            self._write_once(landed.where("reason is not null or warning is not null"), "rejected", batch_id)
         events = self.events(spark, batch_id)
         if not is_complete(spark, self.path("completed", batch_id)):
-            self._write_once(self._output(events, self._carry(spark, events, batch_id)), "completed", batch_id)
+            carry = self._carry(spark, events, batch_id)
+            hot = None if found["records"] >= hot_floor(spark) else HotKeys()  # too few rows for any trip to be split
+            self._write_once(self._output(events, carry, hot), "completed", batch_id)
 
         done = spark.read.parquet(self.path("completed", batch_id))
         if self.mode == CORRECTED:
@@ -135,11 +145,26 @@ class TripJob:
             store.publish([batch_id])
         self._retire(spark, batch_id)
 
-    def _output(self, events: DataFrame, carry: DataFrame | None) -> DataFrame:
+    def _land(self, routed: DataFrame, batch_id: int) -> dict[str, int]:
+        """Writes the batch's events, and its counters, which are counted in the same pass."""
+        spark, path = routed.sparkSession, f"{self.folder('counters')}/{batch_id:09d}.json"
+        landed = self.path("landed", batch_id)
+        if is_complete(spark, landed):
+            found = batch_counters(spark.read.parquet(landed)).first().asDict()
+        else:
+            rows, observation = observed(routed, f"landed-{batch_id}")
+            rows.write.mode("overwrite").parquet(landed)
+            found = observation.get
+        create_file(spark, path, json.dumps({"batch": batch_id, **found}), overwrite=True)
+        return found
+
+    def _output(self, events: DataFrame, carry: DataFrame | None, hot: HotKeys | None) -> DataFrame:
         if self.mode == CORRECTED:
             return current_trips(events, carry)
-        history = trip_history(events, carry=carry)
-        return first_completion(history) if self.mode == DOCUMENTED else modified(change_feed(history))
+        history = trip_history(events, *self.fields(), carry=carry, hot=hot)
+        if self.mode == DOCUMENTED:
+            return first_completion(history)
+        return modified(change_feed(history, *self.fields())).drop(*START_TEXTS, *END_TEXTS)
 
     def _retire(self, spark: SparkSession, batch_id: int) -> None:
         """Batch `batch_id` has been counted: earlier ones are committed and never replayed."""
@@ -175,8 +200,7 @@ class TripJob:
 
     def counters(self, spark: SparkSession) -> DataFrame:
         """One row per batch: batch, records, success, failed, skipped, warnings. A repeated batch has one row."""
-        rows = spark.read.option("basePath", self.folder("counters")).parquet(*self._paths(spark, "counters"))
-        return rows.withColumn("batch", F.col("batch").cast("bigint"))
+        return spark.read.schema("batch long, records long, success long, failed long, skipped long, warnings long").json(self.folder("counters"))
 
     def open_trips(self, spark: SparkSession) -> DataFrame:
         """trip_id and all fields of the trips that wait for their start or their end, after the last finished batch.
@@ -205,19 +229,18 @@ class TripJob:
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         """Rejected events and warnings, and forwarded trips without a pickup day."""
-        rejected = spark.read.parquet(*self._paths(spark, "rejected"))
+        paths = self._paths(spark, "rejected")
         dateless = self.completed(spark).where("pickup_datetime is null")
-        return quarantine(rejected, "ingest").unionByName(
-            quarantine(dateless.withColumn("reason", F.lit("bad_pickup_datetime")), "kpi", "trip_id")
-        )
+        dateless = quarantine(dateless.withColumn("reason", F.lit("bad_pickup_datetime")), "kpi", "trip_id")
+        return quarantine(spark.read.parquet(*paths), "ingest").unionByName(dateless) if paths else dateless
 
     def _paths(self, spark: SparkSession, table: str) -> list[str]:
         return [self.path(table, n) for n in numbered(spark, self.folder(table), "batch")]
 
 
-def routed(envelopes: DataFrame) -> DataFrame:
+def routed(envelopes: DataFrame, job: TripJob) -> DataFrame:
     """Decoded and routed events; the text of good rows is not kept."""
-    rows = route_events(decode_envelopes(envelopes))
+    rows = route_events(decode_envelopes(envelopes), keep_texts=job.mode == CHANGE_FEED)
     return rows.withColumn("data", F.when(F.expr("reason is not null or warning is not null"), F.col("data")))
 
 
@@ -230,7 +253,7 @@ def run_batch(envelopes: DataFrame, job: TripJob, run_id: str | None = None) ->
     spark = envelopes.sparkSession
     number = job.log(spark).number(run_id or uuid.uuid4().hex, 0)
     try:
-        job.process(routed(envelopes), number)
+        job.process(routed(envelopes, job), number)
     finally:
         job.states(spark).stop()
     return job.store(spark).kpis()
@@ -272,7 +295,7 @@ def start_stream(envelopes: DataFrame, job: TripJob, **trigger) -> TripStream:
     Counters of every batch are in `job.counters`, and in the query progress under `batch`.
     """
     spark = envelopes.sparkSession
-    rows = routed(envelopes).observe("batch", *counters(has_warning=True))
+    rows = routed(envelopes, job).observe("batch", *counters(has_warning=True))
     run = checkpoint_run(spark, job.checkpoint("ingest"))
 
     def process(batch: DataFrame, batch_id: int) -> None:

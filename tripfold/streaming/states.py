@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tripfold.operators.trips import event_writes
 from tripfold.sources.paths import child_names, is_complete, make_dir, remove, rename
@@ -47,8 +47,9 @@ def save_wanted(states: TripStates, state: DataFrame, part: int) -> None:
 
 
 class TripStates:
-    def __init__(self, spark: SparkSession, root: str, pipeline_id: str, checkpoint: str):
+    def __init__(self, spark: SparkSession, root: str, pipeline_id: str, checkpoint: str, start_fields: list[str], end_fields: list[str]):
         self.spark = spark
+        self.fields = (start_fields, end_fields)
         self.inputs = f"{root}/state_in/pipeline_id={pipeline_id}"
         self.staged = f"{root}/state_staged/pipeline_id={pipeline_id}"
         self.carries = f"{root}/carry/pipeline_id={pipeline_id}"
@@ -57,9 +58,9 @@ class TripStates:
         self.query: StreamingQuery | None = None
 
     @classmethod
-    def of(cls, spark: SparkSession, root: str, pipeline_id: str, checkpoint: str) -> TripStates:
+    def of(cls, spark: SparkSession, root: str, pipeline_id: str, checkpoint: str, start_fields: list[str], end_fields: list[str]) -> TripStates:
         """The pipeline's states; the running ones where there are some."""
-        return _running.setdefault(checkpoint, cls(spark, root, pipeline_id, checkpoint))
+        return _running.setdefault(checkpoint, cls(spark, root, pipeline_id, checkpoint, start_fields, end_fields))
 
     def carry_path(self, number: int) -> str:
         return f"{self.carries}/batch={number}"
@@ -100,7 +101,7 @@ class TripStates:
         that fact is still needed; their writes come back without sequence and image.
         """
         self.number = number
-        rows = event_writes(earlier).select("trip_id", *[state_write(w, False) for w in WRITES])
+        rows = event_writes(earlier, *self.fields).select("trip_id", *[state_write(w, False) for w in WRITES])
         if finished is not None:
             flags = finished.select("trip_id", *[state_write(w, True) for w in WRITES])
             rows = rows.unionByName(flags.select("trip_id", *[F.col(w).cast(rows.schema[w].dataType).alias(w) for w in WRITES]))
@@ -135,8 +136,11 @@ class TripStates:
         Writes of finished trips are there without sequence and image.
         """
         rows = self.spark.read.format("statestore").load(self.checkpoint)
-        names = rows.select("value.*").columns  # the buffers of the aggregates, in their order
-        return rows.select("key.trip_id", *[F.col(f"value.`{n}`").alias(w) for n, w in zip(names, WRITES, strict=False)])
+        # the aggregates' buffers all bear the name `max`: renamed as a whole, in their order
+        names = (*WRITES, "wanted_by")
+        renamed = StructType([StructField(n, f.dataType) for n, f in zip(names, rows.schema["value"].dataType, strict=True)])
+        rows = rows.select("key.trip_id", F.col("value").cast(renamed).alias("value"))
+        return rows.select("trip_id", *[F.col(f"value.{w}").alias(w) for w in WRITES])
 
 
 def plain_write(write: str) -> Column:
