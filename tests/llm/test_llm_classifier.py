@@ -38,14 +38,42 @@ def test_convolution_covers_the_whole_text(net):
     data = np.frombuffer(text.ljust(q.padded_size(len(text)), b"\0") + bytes(q.WIDTH), np.uint8)
     pooled = []
     for begin in range(0, len(data) - q.WIDTH - q.HALF, q.HALF):
-        places = range(begin, begin + q.CHUNK, q.STEP)
-        conv = [sum(net.filters[k][data[p + k]] for k in range(q.WIDTH)) for p in places if p < len(data) - 2 * q.WIDTH + q.STEP]
+        places = range(begin, begin + q.CHUNK)
+        conv = [sum(net.filters[k][data[p + k]] for k in range(q.WIDTH)) for p in places if p < len(data) - 2 * q.WIDTH + 1]
         pooled.append(np.maximum(np.max(conv, axis=0) + net.bias, 0))
     pooled = np.array(pooled)
     x = np.concatenate([pooled.mean(axis=0), pooled.max(axis=0), pooled.min(axis=0)])
     assert np.allclose(q.score_texts(net, net.pair_tables(), [text])[0], q.logistic(x @ net.weights + net.offset), atol=1e-5)
 
 
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(5)
+    net = q.Network(rng.normal(0, 0.3, (q.WIDTH, 256, q.FILTERS)), rng.normal(0, 0.1, q.FILTERS), rng.normal(0, 0.5, 3 * q.FILTERS), 0.1)
+    texts, wanted, weights = [prose(i, 20 + 150 * i).encode() for i in range(4)], np.array([1, 0, 1, 0]), np.array([1.0, 2.0, 0.5, 1.0])
+
+    def loss():
+        data, counts = q.lay_out(texts)
+        pooled, chunks = q.pool_chunks(q.best_places(net.filters, data, counts)[0].astype(float), counts, net.bias)
+        p = q.logistic(q.features(pooled, chunks) @ net.weights + net.offset)
+        return float(-(weights * np.where(wanted == 1, np.log(p), np.log(1 - p))).mean())
+
+    by_filters, by_bias, by_weights, by_offset = q.gradients(net, texts, wanted, weights)
+    step = 1e-3
+    for values, found in ((net.filters, by_filters), (net.bias, by_bias), (net.weights, by_weights)):
+        for at in [np.unravel_index(i, found.shape) for i in np.argsort(-np.abs(found).ravel())[:6]]:
+            was = values[at]
+            values[at] = was + step
+            up = loss()
+            values[at] = was - step
+            down = loss()
+            values[at] = was
+            assert abs((up - down) / (2 * step) - found[at]) < 0.03 * abs(found[at]) + 1e-5
+    net.offset += step
+    up = loss()
+    net.offset -= 2 * step
+    assert abs((up - loss()) / (2 * step) - by_offset[0]) < 1e-3
+
+
 def test_documents(spark, net):
     docs = table(spark)
     found = q.score_documents(docs, net).collect()

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 from llm_fixtures import rows, table
 
 from tripfold.llm import mixing
@@ -13,6 +14,10 @@ def key(seed, copy, doc_id):
     return int(hashlib.md5(f"{seed}|{copy}|{'' if doc_id is None else doc_id}".encode()).hexdigest()[:15], 16)
 
 
+def tie(text):
+    return xxhash.xxh64_intdigest((text or "").encode(), seed=42) >> 4
+
+
 def brute(data, mix):
     n = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, *_ in data]
     tokens = Counter()
@@ -48,9 +53,10 @@ def brute(data, mix):
             continue
         quota = math.floor(math.floor(total * mix.budget) * ((have / total) ** (k / grid) / norm))
         passes, rest = divmod(quota, have)
-        mine = sorted((key(mix.seed, passes, r[0]), r[0], x) for r, x in zip(data, n, strict=True) if r[3] == source)
-        for place, (own, doc_id, _) in enumerate(mine):
-            running = sum(x for other, _, x in mine if other <= own)
+        mine = [(key(mix.seed, passes, r[0]), tie(r[1]), r[0], x) for r, x in zip(data, n, strict=True) if r[3] == source]
+        running = 0
+        for _, _, doc_id, x in sorted(mine, key=lambda m: m[:2]):  # row by row, whatever their ids
+            running += x
             out[doc_id, source] += passes + (running <= rest)
     return +out, k
 

@@ -7,9 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tripfold.llm.ordered import bucket_of
+from tripfold.llm.ordered import IN_ORDER, bucket_of
 from tripfold.llm.wordcodec import codec, load_tokenizer
 from tripfold.llm.workers import slices
 
@@ -19,21 +18,20 @@ def id_bits(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
-def encode_documents(docs: DataFrame, path: str, end_id: int, spaces_matter: bool, bounds: list[int]) -> DataFrame:
-    """doc_id, bucket and ids (little-endian, 16 bits each if the vocabulary allows, else 32), the end id included."""
+def encode_documents(rows: DataFrame, path: str, end_id: int, spaces_matter: bool, bounds: list[tuple]) -> DataFrame:
+    """doc_id, hash, salt, bucket and ids (little-endian, 16 bits each if the vocabulary allows, else 32) of `placed` rows, the end id included."""
     width = 16 if id_bits(load_tokenizer(path).get_vocab_size()) <= 16 else 32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path, spaces_matter)
         end = np.array([end_id], f"<u{width // 8}").tobytes()
         for batch in slices(batches):
-            found = words.encode(batch.column(2).to_pylist())
+            found = words.encode(batch.column(4).to_pylist())
             ids = [x.astype(f"<u{width // 8}").tobytes() + end for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], ["doc_id", "bucket", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary())], [*IN_ORDER, "bucket", "ids"])
 
-    key = F.col("doc_id").cast("long")
-    texts = docs.select(key.alias("doc_id"), bucket_of(key, bounds).alias("bucket"), F.coalesce("text", F.lit("")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, bucket int, ids binary")
+    texts = rows.select(*IN_ORDER, bucket_of(bounds).alias("bucket"), "text")
+    return texts.mapInArrow(run, "doc_id long, hash long, salt long, bucket int, ids binary")
 
 
 def as_ids(data: bytes, vocabulary: int) -> np.ndarray:

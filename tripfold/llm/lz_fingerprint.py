@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripfold.llm.ordered import bucket_of, by_bucket, key_bounds, partitions
+from tripfold.llm.ordered import bucket_of, by_bucket, partitions, placed, row_bounds
 from tripfold.llm.workers import slices
 
 SIGNATURE = 64
@@ -117,25 +117,25 @@ def fingerprint(text: str) -> np.ndarray:
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
-    """doc_id, text and extra, one partition per doc_id range, in descending doc_id order.
+    """doc_id, text and extra, one partition per range of rows, in descending doc_id order.
 
     Behind its last row a partition has the first row of the range below as an extra
     one; the lowest has that of the highest.
     """
-    key = F.col("doc_id").cast("long")
-    rows = docs.select(key.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    bounds = key_bounds(rows, "doc_id", partitions(docs))
-    rows = rows.withColumn("bucket", bucket_of(F.col("doc_id"), bounds))
-    tops = dict(rows.groupBy("bucket").agg(F.max("doc_id")).collect())  # one row per range
+    rows = placed(docs)
+    bounds = row_bounds(rows, partitions(docs))
+    rows = rows.withColumn("bucket", bucket_of(bounds))
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "hash")
+    tops = {r.bucket: tuple(r.top) for r in rows.groupBy("bucket").agg(F.max(place).alias("top")).collect()}  # one narrow row per range
     used = sorted(tops)
     above = dict(zip(used, [*used[1:], *used[:1]], strict=True))
-    buckets = range(len(bounds) + 1)
-    top = F.get(F.lit([tops.get(b) for b in buckets] if used else [0]).cast("array<long>"), F.col("bucket"))
-    goes = F.get(F.lit([above.get(b, b) for b in buckets]), F.col("bucket"))
-    own, more = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("extra")), F.struct(goes.alias("bucket"), F.lit(True).alias("extra"))
-    places = F.when(F.col("doc_id").eqNullSafe(top), F.array(own, more)).otherwise(F.array(own))
-    rows = rows.select("doc_id", "text", F.inline(places))
-    return by_bucket(rows, "bucket", bounds).sortWithinPartitions("extra", F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text").select("doc_id", "text", "extra")
+    spark = docs.sparkSession
+    ends = spark.createDataFrame([(b, d, h, above[b]) for b, (_, d, h) in tops.items()], "bucket int, top long, top_hash long, above int")
+    same = (rows.bucket == ends.bucket) & rows.doc_id.eqNullSafe(ends.top) & (rows.hash == ends.top_hash)
+    # of equal rows at the top of a range, one is enough
+    firsts = rows.join(F.broadcast(ends), same).select("doc_id", "text", "hash", "salt", F.col("above").alias("bucket")).dropDuplicates(["bucket"])
+    both = rows.withColumn("extra", F.lit(False)).unionByName(firsts.withColumn("extra", F.lit(True)))
+    return by_bucket(both, "bucket", bounds).sortWithinPartitions("extra", F.desc_nulls_last("doc_id"), F.desc("hash"), F.desc("salt")).select("doc_id", "text", "extra")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     one id by a hash of their text), for the last one the first. Null text counts as empty. An empty text has
     the fingerprint of no phrases, alike only to itself. An empty table gives no
     rows; a single row is its own next. Other columns are ignored. Texts are shuffled
-    once, into ranges of doc_id; a task holds one batch of them.
+    once, into ranges of that order, which may cut among rows of one id; a task holds one batch of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
                         },
                         own,
                     )
-                if extra:  # closes the range; further extra rows share its doc_id
+                if extra:  # closes the range
                     if current:
                         finish(fingerprint(text))
                     current = waiting = None

@@ -24,7 +24,6 @@ WORD = r"[^\x20\x09-\x0D]+"  # tokens are words: the measure that needs no vocab
 STEPS = 20  # bisection steps; the exponent is a multiple of 2 ** -STEPS
 BLOCK_ROWS = 4096  # mean rows of a block of a permutation
 KEY_RANGE = 1 << 60  # permutation keys lie below
-WHOLE_ROWS = 4  # up to so many equal rows of one doc_id count as one document
 BROADCAST_SOURCES = 100_000  # above so many sources the plan is joined by shuffle
 
 
@@ -148,8 +147,7 @@ def quotas(docs: DataFrame, mix: Mix) -> tuple[DataFrame, bool, DataFrame]:
     """The source plan with cut_key, cut_tie, take: where the part pass ends.
 
     It takes the rows below cut_key; of those at cut_key the ones with a text hash below cut_tie;
-    and of those at both, which are equal, `take` rows: as many as fit, but none of at most
-    WHOLE_ROWS that have an id. Also whether the plan is small enough
+    and of those at both, which are equal, `take` rows: as many as fit. Also whether the plan is small enough
     to broadcast (at most BROADCAST_SOURCES sources), and the narrow table of the rows: texts are
     read once for it.
     """
@@ -164,11 +162,9 @@ def quotas(docs: DataFrame, mix: Mix) -> tuple[DataFrame, bool, DataFrame]:
     ends = kept(_cut(keyed, "key", small).withColumnRenamed("key", "cut_key"))
     at_cut = ends.select("mix_source", "cut_key", F.col("left").alias("room"), F.ceil(F.col("n_rows") / BLOCK_ROWS).alias("blocks"))
     at_cut = _join_plan(keyed.drop("room", "blocks"), at_cut, small).where("key = cut_key")
-    ties = _cut(at_cut, "tie", small).select("mix_source", F.col("tie").alias("cut_tie"), F.expr("left div (n div n_rows)").alias("fits"), "n_rows")
-    ends = plan.join(ends.select("mix_source", "cut_key").join(ties.withColumnRenamed("n_rows", "n_equal"), "mix_source"), "mix_source", "left")
-    no_id = F.col("cut_key") == permutation_key(mix.seed, F.lit(None), F.col("passes"))
-    take = F.when(no_id | (F.col("n_equal") > WHOLE_ROWS), F.col("fits")).otherwise(0)
-    return kept(ends.withColumn("take", take).drop("fits", "n_equal")), small, rows
+    ties = _cut(at_cut, "tie", small).select("mix_source", F.col("tie").alias("cut_tie"), F.expr("left div (n div n_rows)").alias("fits"))
+    ends = plan.join(ends.select("mix_source", "cut_key").join(ties, "mix_source"), "mix_source", "left")
+    return kept(ends.withColumnRenamed("fits", "take")), small, rows
 
 
 def _ranked(rows: DataFrame, *group: str) -> DataFrame:
@@ -210,8 +206,7 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     The blocks of the mixture, each in the order of mix_key, form the training
     stream: any run of blocks holds the sources in their weights. A source's passes
     differ by at most one from document to document; its tokens miss the quota by less
-    than one document, whether ids are missing or repeated or not; up to WHOLE_ROWS equal rows of one
-    doc_id count as one. Rows that share a doc_id share its
+    than one document, whether ids are missing or repeated or not. Rows that share a doc_id share its
     mix_key and are spread over the blocks of their pass by hashes of their texts and numbers. Null texts and texts
     without words cost nothing and follow their keys; sources that have only such texts have no weight and no rows. A
     null source is a source. An empty table gives no rows; other columns are ignored.
@@ -229,6 +224,7 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The documents of the mixture with all their columns, a row for each pass.
 
+    Null, empty and very long texts, and sources without words, are treated as in `mixture`; an empty table gives no rows.
     Where a quota ends among rows equal in source, doc_id and text, it takes as many of them as fit, whichever.
     """
     plan, small, _ = quotas(docs, mix)

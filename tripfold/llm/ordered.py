@@ -2,51 +2,76 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripfold.sources.paths import scratch_root
 
 
+SAMPLED = 64  # rows looked at for each bucket
+IN_ORDER = ("doc_id", "hash", "salt")
+
+
 def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def key_bounds(df: DataFrame, key: str, buckets: int, least_bytes: int = 0) -> list[int]:
-    """At most `buckets` - 1 ascending, distinct keys that cut the rows into shares of about one size.
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text (empty for null), and with it `hash` and `salt`, the further keys of the order of rows.
+
+    Rows order by doc_id (null first), then by a hash of their text; of equal rows, any order will do, and the
+    salt settles one. So rows of one id, or without one, are an order like any other, and can be cut anywhere.
+    """
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("hash"), F.xxhash64(F.monotonically_increasing_id()).alias("salt")
+    )
+
+
+def row_bounds(rows: DataFrame, buckets: int, least_bytes: int = 0) -> list[tuple]:
+    """At most `buckets` - 1 ascending places in the order of the `placed` rows that cut them into shares of about one size.
 
-    With `least_bytes`, shares hold at least so many bytes of text on average. One scan of
-    the key (and the texts' lengths); the driver gets one number per bucket.
+    The size is bytes of text; with `least_bytes`, shares hold at least so many on average. One scan; the driver gets
+    SAMPLED narrow rows for each bucket, chosen by their salt. They only steer the cut: results are the same for any bounds.
     """
     if buckets < 2:
         return []
-    shares = [i / buckets for i in range(1, buckets)]
-    size = F.sum(F.octet_length("text")) if least_bytes else F.lit(0)
-    row = df.agg(F.percentile_approx(key, shares, max(10_000, 20 * buckets)).alias("cuts"), size.alias("size")).first()
-    cuts = row.cuts or []
+    size, sizes = F.octet_length("text").cast("long"), Observation(f"bounds-{uuid.uuid4().hex}")
+    counted = rows.select("doc_id", "hash", "salt", size.alias("size")).observe(sizes, F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    sample = counted.orderBy(F.xxhash64("salt"), "hash").limit(SAMPLED * buckets).collect()
     if least_bytes:
-        fewer = max(1, min(buckets, (row.size or 0) // least_bytes))
-        cuts = [cuts[i * buckets // fewer - 1] for i in range(1, fewer)] if cuts else []
-    return sorted(set(cuts))
-
-
-def bucket_of(key: Column, bounds: list[int]) -> Column:
-    """Number of bounds below the key: 0 holds the smallest keys and null."""
+        buckets = int(max(1, min(buckets, (sizes.get["bytes"] or 0) // least_bytes)))
+    keys = sorted((r.doc_id is not None, r.doc_id or 0, r.hash, r.salt, r.size + 16) for r in sample)
+    whole, done, bounds = sum(k[-1] for k in keys), 0, []
+    for key in keys:
+        if len(bounds) + 1 < buckets and done * buckets >= whole * (len(bounds) + 1):
+            bounds.append(key[:-1])
+        done += key[-1]
+    return sorted(set(bounds))
+
+
+def bucket_of(bounds: list[tuple]) -> Column:
+    """Number of bounds up to the place of a `placed` row, by binary search."""
     if not bounds:
         return F.lit(0)
-    below = F.size(F.filter(F.lit(bounds), lambda b: b < key))
-    return F.when(key.isNull(), 0).otherwise(below)
+    place = "struct<known: boolean, doc_id: bigint, hash: bigint, salt: bigint>"
+    own = F.struct(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.col("hash"), F.col("salt")).cast(place)
+    known = F.arrays_zip(*[F.lit(list(c)) for c in zip(*bounds, strict=True)]).cast(f"array<{place}>")
 
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        up = F.get(known, middle) <= own
+        go_on = at["low"] < at["high"]
+        return F.struct(F.when(go_on & up, middle + 1).otherwise(at["low"]).alias("low"), F.when(go_on & ~up, middle).otherwise(at["high"]).alias("high"))
 
-def bucket_of_key(key: int | None, bounds: list[int]) -> int:
-    """`bucket_of` for one key outside Spark."""
-    return 0 if key is None else bisect_left(bounds, key)
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, halve, lambda at: at["low"])
 
 
-def by_bucket(df: DataFrame, bucket: str, bounds: list[int]) -> DataFrame:
+def by_bucket(df: DataFrame, bucket: str, bounds: list[tuple]) -> DataFrame:
     """One partition for each bucket."""
     return df.repartitionById(len(bounds) + 1, F.col(bucket).cast("int"))
 

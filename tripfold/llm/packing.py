@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripfold.llm.encoded import as_ids, encode_documents
-from tripfold.llm.ordered import by_bucket, kept, key_bounds, offsets, partitions
+from tripfold.llm.ordered import IN_ORDER, by_bucket, kept, offsets, partitions, placed, row_bounds
 from tripfold.llm.wordcodec import load_tokenizer
 from tripfold.llm.workers import slices
 
@@ -152,15 +152,17 @@ def pack_documents(docs: DataFrame, path: str, limit: int, end_id: int) -> DataF
     One row per piece: doc_id, start (its document's ids before it), length,
     ids_crc32 (of the ids as little-endian uint32), doc_tokens, sequence_id (gapless),
     offset. Documents keep their doc_id order (null ids first, rows of one id by
-    their ids' bytes), each id lies in exactly one piece. Null text is empty: a piece with
+    a hash of their text), each id lies in exactly one piece. Null text is empty: a piece with
     the end id. An empty table gives no rows; other columns are ignored.
 
-    Only ids are shuffled, once, into one partition per range of doc_id; a range ends its last
+    Only ids are shuffled, once, into one partition per range of that order, which may cut among rows of one
+    id; a very long text is read in parts of BLOCK_TOKENS ids. A range ends its last
     sequence early, which costs at most one sequence's padding per range.
     """
     if limit < INNER_GAP:
         raise ValueError(f"sequences need room for {INNER_GAP} ids")
-    bounds = key_bounds(docs, "doc_id", partitions(docs), RANGE_BYTES)
+    rows = placed(docs)
+    bounds = row_bounds(rows, partitions(docs), RANGE_BYTES)
     vocabulary = load_tokenizer(path).get_vocab_size()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +178,8 @@ def pack_documents(docs: DataFrame, path: str, limit: int, end_id: int) -> DataF
             yield table(rows)
         yield table(list(packer.flush()))
 
-    encoded = encode_documents(docs, path, end_id, False, bounds)
-    ordered = by_bucket(encoded, "bucket", bounds).sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids")
+    encoded = encode_documents(rows, path, end_id, False, bounds)
+    ordered = by_bucket(encoded, "bucket", bounds).sortWithinPartitions(*IN_ORDER).select("doc_id", "bucket", "ids")
     pieces = kept(ordered.mapInArrow(run, SCHEMA))
     sizes = pieces.groupBy("bucket").agg((F.max("window") + 1).alias("windows"))
     first = offsets(sizes, "bucket", "windows", "before").select("bucket", "before")

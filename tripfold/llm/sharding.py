@@ -21,6 +21,7 @@ from tripfold.llm.ordered import kept
 
 CELLS = 4096  # the ring in equal parts, each with its few virtual nodes, for a lookup by join
 CELL_BITS = 52  # bits of a hash below its cell
+PART_ROWS = 1_000_000  # rows of an arc ranked in one task, about
 
 
 def ring(shards: int, virtual_nodes: int) -> list[tuple[int, int]]:
@@ -101,8 +102,8 @@ def assign_shards(docs: DataFrame, shards: int, virtual_nodes: int = 128, slack:
     share a doc_id share an arc, however many: what does not fit overflows. An
     empty table gives no rows.
 
-    Texts are read once and not moved. An arc's rows are ranked in parts, by the
-    input partition they came from, so that a hot arc is not one task. The driver
+    Texts are read once and not moved, however long. An arc's rows are ranked in parts of about PART_ROWS,
+    so that a hot arc is not one task; the table of the parts is joined, never broadcast. The driver
     gets one count per arc, and the broadcast tables have a row per arc, run or cell.
     """
     spark = docs.sparkSession
@@ -113,22 +114,24 @@ def assign_shards(docs: DataFrame, shards: int, virtual_nodes: int = 128, slack:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.spark_partition_id().alias("part"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("salt"),
     ).withColumn("place", F.xxhash64("doc_id"))
     cells = F.broadcast(_cells(spark, places))
     inside = F.size(F.filter("nodes", lambda n: n < F.col("place")))
     arc = ((F.col("before") + inside) % len(nodes)).alias("arc")
-    rows = kept(rows.withColumn("cell", _cell(F.col("place"))).join(cells, "cell").select("doc_id", "size", "text_crc32", "part", "place", arc))
+    rows = kept(rows.withColumn("cell", _cell(F.col("place"))).join(cells, "cell").select("doc_id", "size", "text_crc32", "salt", "place", arc))
 
-    counts = kept(rows.groupBy("arc", "part").agg(F.count("*").alias("n")))
-    totals = {r.arc: r.n for r in counts.groupBy("arc").agg(F.sum("n").alias("n")).collect()}
+    totals = {r.arc: r.n for r in rows.groupBy("arc").agg(F.count("*").alias("n")).collect()}
     runs = walk(totals, owners, capacities(sum(totals.values()), shards, slack))
     table = spark.createDataFrame([(r.arc, r.begin, r.end, r.shard, r.slot, owners[r.arc]) for r in runs], "arc int, begin long, end long, shard int, first long, home_shard int")
 
+    parts = F.get(F.lit([-(-totals.get(a, 1) // PART_ROWS) for a in range(len(nodes))]), F.col("arc"))
+    rows = rows.withColumn("part", F.pmod("salt", parts.cast("long")))
+    counts = rows.groupBy("arc", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("arc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     within = Window.partitionBy("arc", "part").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(within) - 1).join(firsts, ["arc", "part"])
+    ranked = rows.withColumn("rank", F.row_number().over(within) - 1).join(firsts.hint("shuffle_merge"), ["arc", "part"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("skip"))
     found = ranked.join(F.broadcast(table), "arc").where("rank >= begin and rank < end")
     return found.select(

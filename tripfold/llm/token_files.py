@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripfold.llm.encoded import as_ids, encode_documents, id_bits
-from tripfold.llm.ordered import by_bucket, key_bounds, offsets, partitions
+from tripfold.llm.ordered import IN_ORDER, by_bucket, offsets, partitions, placed, row_bounds
 from tripfold.llm.wordcodec import load_tokenizer
 from tripfold.llm.workers import slices
 from tripfold.sources.paths import make_dir
@@ -115,14 +115,15 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> D
     """Encodes all texts and writes them in ascending doc_id order; returns one row per file.
 
     File names ascend with doc_id (null ids first; rows of one id are ordered by
-    their ids' bytes). Null text is empty and so holds the end id alone. An empty
+    a hash of their text). Null text is empty and so holds the end id alone. An empty
     table writes no file. Texts stay where they are: only ids, two bytes each, are
-    shuffled, once, into one partition per range of doc_id.
+    shuffled, once, into one partition per range of that order, which may cut among rows of one id.
     """
     spark = docs.sparkSession
     vocabulary = load_tokenizer(path).get_vocab_size()
     bits = id_bits(vocabulary)
-    bounds = key_bounds(docs, "doc_id", partitions(docs))
+    rows = placed(docs)
+    bounds = row_bounds(rows, partitions(docs))
     make_dir(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +150,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int) -> D
         if keys:
             yield close(bucket)
 
-    encoded = encode_documents(docs, path, end_id, True, bounds)
-    ordered = by_bucket(encoded, "bucket", bounds).sortWithinPartitions(F.asc_nulls_first("doc_id"), "ids")
+    encoded = encode_documents(rows, path, end_id, True, bounds)
+    ordered = by_bucket(encoded, "bucket", bounds).sortWithinPartitions(*IN_ORDER).select("doc_id", "bucket", "ids")
     return ordered.mapInArrow(run, MANIFEST)
 
 
