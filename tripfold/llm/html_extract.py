@@ -3,8 +3,11 @@
 Every paragraph earns points for its length and its commas and passes them to its
 ancestors, less with each level; an element's points are discounted by the share of
 its text that lies in links. The best container is kept, with those siblings that
-look like more of the article. Menus, notices, forms and the like are cut out of
-the tree beforehand, by element and by the words of their class, id and role.
+look like more of the article. Where several containers are about as strong, the
+element under which they meet is the best; an <article> around it is preferred if it has no fewer points. Menus,
+forms and the like are cut out of the tree beforehand by their element. Names (words of class, id and
+role) cut out notices, comments and adverts too, but not an element that also bears the name or tag of an article
+and holds most of the points, and not all that a page has.
 """
 
 from __future__ import annotations
@@ -51,25 +54,32 @@ TAG = re.compile("<[a-zA-Z/!]")
 MIN_PARAGRAPH = 25  # characters; shorter text earns no points
 COMMA = re.compile("[,،、，]")
 SIBLING_SHARE = 0.2  # of the best score
+STRONG_SHARE = 0.4  # of the most points that a container gets from paragraphs of its own
+MOST = 0.5  # of the points of a page
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PLAIN = frozenset("p blockquote pre ul ol table".split()) | HEADINGS
 FEW_LINKS, MANY_LINKS = 0.25, 0.75  # link density of text, of a list of links
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
-def is_noise(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def is_cut(tag: str, found: dict[str, str | None], in_article: bool) -> bool:
+    """Whether an element is no part of an article, whatever its name and points."""
     if tag in DROPPED and not (tag == "header" and in_article):
         return True
-    found = dict(attrs)
-    if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in (found.get("style") or "").replace(" ", ""):
-        return True
+    return "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in (found.get("style") or "").replace(" ", "")
+
+
+def names_of(tag: str, found: dict[str, str | None]) -> tuple[bool, bool]:
+    """Whether the name of an element speaks of noise, and whether name or tag speak of an article."""
     if tag in ROOTS:
-        return False
+        return False, False
     words = set()
     for name in " ".join(found.get(k) or "" for k in ("class", "id", "role")).split():
         parts = [w.lower() for w in WORD.findall(name)]
         if parts and parts[0] not in ABOUT_LAYOUT:
             words.update(parts)
-    noise = words & NOISE
-    return bool(noise) and not (noise <= WEAK and words & CONTENT)
+    noise, article = words & NOISE, bool(words & CONTENT) or tag in ("article", "main")
+    return bool(noise) and not (noise <= WEAK and words & CONTENT), article
 
 
 class Tree(HTMLParser):
@@ -77,7 +87,8 @@ class Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tags, self.parents, self.noise = [""], [-1], [False]
+        self.tags, self.parents, self.cut = [""], [-1], [False]
+        self.noisy, self.articles = [False], [False]  # what an element's name says
         self.open, self.opened = [0], Counter()
         self.items: list[tuple[int, str | None]] = []
 
@@ -90,7 +101,11 @@ class Tree(HTMLParser):
         node = len(self.tags)
         self.tags.append(tag)
         self.parents.append(self.open[-1])
-        self.noise.append(is_noise(tag, attrs, self.opened["article"] > 0))
+        found = dict(attrs)
+        self.cut.append(is_cut(tag, found, self.opened["article"] > 0))
+        noisy, article = names_of(tag, found)
+        self.noisy.append(noisy)
+        self.articles.append(article)
         if tag == "br":
             self.items.append((self.open[-1], " "))
         elif tag not in INLINE:
@@ -125,75 +140,167 @@ class Tree(HTMLParser):
                 return
 
 
+class Scored:
+    """Points and link density of a page's elements, but for those that are gone."""
+
+    def __init__(self, tree: Tree, gone: list[bool]):
+        tags, parents, n = tree.tags, tree.parents, len(tree.tags)
+        self.tree, self.gone = tree, gone
+        linked = [False] * n
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[parents[i]]
+            linked[i] = tags[i] == "a" or linked[parents[i]]
+        length, links, commas, own, anchors = [0] * n, [0] * n, [0] * n, [0] * n, [0] * n  # own: text outside of inner blocks
+        block = list(range(n))
+        for i in range(1, n):
+            if tags[i] in INLINE:
+                block[i] = block[parents[i]]
+        for node, text in tree.items:
+            if text is not None and not gone[node]:
+                size = len(" ".join(text.split()))
+                length[node] += size
+                links[node] += size if linked[node] else 0
+                commas[block[node]] += len(COMMA.findall(text))
+                own[block[node]] += size
+        for i in range(n - 1, 0, -1):
+            if not gone[i]:
+                anchors[i] += tags[i] == "a"
+                length[parents[i]] += length[i]
+                links[parents[i]] += links[i]
+                anchors[parents[i]] += anchors[i]
+        density = [b / a if a else 0.0 for a, b in zip(length, links, strict=True)]
+        for i in range(1, n):  # lists of links inside the article are menus without a name
+            gone[i] = gone[i] or gone[parents[i]] or (tags[i] in ("ul", "ol", "div", "table", "p") and anchors[i] >= 3 and density[i] > MANY_LINKS)
+        self.length, self.density = length, density
+
+        score, direct, inside = [0.0] * n, [0.0] * n, [0.0] * n
+        for i in range(1, n):
+            if not gone[i] and tags[i] in PARAGRAPHS and own[i] >= MIN_PARAGRAPH:
+                points = 1 + commas[i] + min(own[i] / 100, 3)
+                inside[i] += points
+                up, level = i if tags[i] in CONTAINERS else parents[i], 1
+                direct[up] += points
+                while up > 0 and level <= 5:
+                    score[up] += points / (1, 2, 6, 9, 12)[level - 1]
+                    up, level = parents[up], level + 1
+        for i in range(n - 1, 0, -1):
+            inside[parents[i]] += inside[i]
+        self.score = [s * (1 - d) for s, d in zip(score, density, strict=True)]
+        self.direct = [s * (1 - d) for s, d in zip(direct, density, strict=True)]  # from paragraphs of its own
+        self.inside = inside  # from all paragraphs below, undiscounted
+
+    def meeting(self, nodes: list[int]) -> int:
+        """The lowest element that holds all the nodes."""
+        parents = self.tree.parents
+        up = nodes[0]
+        above = []
+        while up >= 0:
+            above.append(up)
+            up = parents[up]
+        places = {node: k for k, node in enumerate(above)}
+        deepest = 0
+        for node in nodes[1:]:
+            while node not in places:
+                node = parents[node]
+            deepest = max(deepest, places[node])
+        return above[deepest]
+
+    def best(self) -> tuple[list[int], bool]:
+        """The elements that hold the article, and whether they say so themselves."""
+        tags, parents, n = self.tree.tags, self.tree.parents, len(self.tree.tags)
+        top = max((i for i in range(1, n) if not self.gone[i]), key=lambda i: (self.score[i], -i), default=0)
+        if not top or not self.score[top]:  # no paragraph anywhere
+            named = [i for i in range(n) if tags[i] in ("article", "main") and not self.gone[i] and self.length[i]]
+            return [named[0] if named else next((i for i in range(n) if tags[i] == "body"), 0)], bool(named)
+        most = max(self.direct)
+        strong = [i for i in range(1, n) if self.direct[i] and self.direct[i] >= STRONG_SHARE * most]
+        holder = self.meeting([*strong, top])
+        article, up = 0, holder
+        while up > 0:
+            if tags[up] == "article" and self.inside[up] * (1 - self.density[up]) >= self.score[top]:
+                article = up
+            up = parents[up]
+        if article:
+            return [article], True
+        if tags[holder] in ROOTS and len(strong) > 1:  # they meet nowhere: each for itself, whole articles as such
+            return sorted({self._container(i) for i in strong}), False
+        return [self._container(holder)], False
+
+    def _container(self, i: int) -> int:
+        """The element, or the outermost article around it."""
+        tags, parents = self.tree.tags, self.tree.parents
+        while tags[i] in ("p", "td", "li", "blockquote", "pre"):
+            i = parents[i]
+        article, up = 0, i
+        while up > 0:
+            article = up if tags[up] == "article" else article
+            up = parents[up]
+        return article or i
+
+    def kept(self) -> list[bool]:
+        tags, parents, n = self.tree.tags, self.tree.parents, len(self.tree.tags)
+        best, says_so = self.best()
+        keep = [False] * n
+        wanted = max(1.0, SIBLING_SHARE * max(self.score))
+        for one in best:
+            keep[one] = True
+            if tags[one] in ROOTS:
+                continue
+            for i in range(1, n):
+                if parents[i] == parents[one] and not self.gone[i]:
+                    plain = not says_so and tags[i] in PLAIN
+                    keep[i] = keep[i] or self.score[i] >= wanted or (plain and 0 < self.length[i] and self.density[i] < FEW_LINKS)
+        for i in range(1, n):
+            keep[i] = keep[i] or keep[parents[i]]
+        self._drop_asides(keep, best)
+        return keep
+
+    def _drop_asides(self, keep: list[bool], best: list[int]) -> None:
+        """Bare text of a container without points, where the article's paragraphs are elements of their own."""
+        tags, parents, n = self.tree.tags, self.tree.parents, len(self.tree.tags)
+        bare = sum(self.inside[i] for i in range(1, n) if keep[i] and tags[i] in CONTAINERS and not self._has_blocks(i))
+        if 2 * bare >= sum(self.inside[i] for i in best):
+            return
+        dropped = set()
+        for i in range(1, n):
+            aside = keep[i] and i not in best and tags[i] in ("div", "section") and not self.inside[i] and not self._has_blocks(i)
+            if aside or parents[i] in dropped:
+                dropped.add(i)
+                keep[i] = False
+
+    def _has_blocks(self, i: int) -> bool:
+        return i in self._with_blocks
+
+    @property
+    def _with_blocks(self) -> set[int]:
+        if not hasattr(self, "_parents_of_blocks"):
+            tags, parents = self.tree.tags, self.tree.parents
+            self._parents_of_blocks = {parents[i] for i in range(1, len(tags)) if tags[i] not in INLINE}
+        return self._parents_of_blocks
+
+
+def cut_by_name(tree: Tree) -> list[bool]:
+    """What is gone by its element or its name, given the points that the names compete for."""
+    n, parents = len(tree.tags), tree.parents
+    sure = [c or (noisy and not article) for c, noisy, article in zip(tree.cut, tree.noisy, tree.articles, strict=True)]
+    first = Scored(tree, list(sure))
+    gone = list(sure)
+    for i in range(1, n):
+        gone[i] = gone[i] or gone[parents[i]] or (tree.noisy[i] and first.inside[i] < MOST * first.inside[0])
+    return gone
+
+
 def main_text(html: str) -> str:
     """The article's blocks, each with single spaces, joined by two line feeds; empty if the page has no text."""
     tree = Tree()
     cut = TAG.search(html, html.rfind(">") + 1)  # a page may end inside a tag
     tree.feed(html[: cut.start()] if cut else html)
     tree.close()
-    tags, parents, n = tree.tags, tree.parents, len(tree.tags)
-    gone, linked = tree.noise, [False] * n
-    for i in range(1, n):
-        gone[i] = gone[i] or gone[parents[i]]
-        linked[i] = tags[i] == "a" or linked[parents[i]]
-
-    length, links, commas, own = [0] * n, [0] * n, [0] * n, [0] * n  # own: text outside of inner blocks
-    block = list(range(n))
-    for i in range(1, n):
-        if tags[i] in INLINE:
-            block[i] = block[parents[i]]
-    anchors = [0] * n
-    for node, text in tree.items:
-        if text is not None and not gone[node]:
-            size = len(" ".join(text.split()))
-            length[node] += size
-            links[node] += size if linked[node] else 0
-            commas[block[node]] += len(COMMA.findall(text))
-            own[block[node]] += size
-    for i in range(n - 1, 0, -1):
-        if gone[i]:
-            continue
-        anchors[i] += tags[i] == "a"
-        length[parents[i]] += length[i]
-        links[parents[i]] += links[i]
-        anchors[parents[i]] += anchors[i]
-    density = [b / a if a else 0.0 for a, b in zip(length, links, strict=True)]
-    for i in range(1, n):  # lists of links inside the article are menus without a name
-        gone[i] = gone[i] or gone[parents[i]] or (tags[i] in ("ul", "ol", "div", "table", "p") and anchors[i] >= 3 and density[i] > MANY_LINKS)
-
-    score = [0.0] * n
-    for i in range(1, n):
-        if not gone[i] and tags[i] in PARAGRAPHS and own[i] >= MIN_PARAGRAPH:
-            points = 1 + commas[i] + min(own[i] / 100, 3)
-            up, level = i if tags[i] in CONTAINERS else parents[i], 1
-            while up > 0 and level <= 5:
-                score[up] += points / (1, 2, 6, 9, 12)[level - 1]
-                up, level = parents[up], level + 1
-    score = [s * (1 - d) for s, d in zip(score, density, strict=True)]
-
-    best = max((i for i in range(n) if not gone[i]), key=lambda i: (score[i], -i), default=0)
-    up, article = best, 0
-    while up > 0:  # an element that says it is the article is it
-        if tags[up] in ("article", "main"):
-            article = up
-        up = parents[up]
-    if not score[best]:
-        named = [i for i in range(n) if tags[i] in ("article", "main") and not gone[i] and length[i]]
-        article = named[0] if named else 0
-        best = next((i for i in range(n) if tags[i] == "body"), 0)
-    best = article or best
-    if tags[best] in ("p", "td", "li", "blockquote", "pre"):
-        best = parents[best]
-    keep = [False] * n
-    keep[best] = True
-    if tags[best] not in ROOTS:
-        wanted = max(1.0, SIBLING_SHARE * score[best])
-        for i in range(1, n):
-            if parents[i] == parents[best] and not gone[i]:
-                plain = not article and tags[i] in ("p", "h1", "h2", "h3", "blockquote", "pre", "ul", "ol", "table")
-                keep[i] = keep[i] or score[i] >= wanted or (plain and 0 < length[i] and density[i] < FEW_LINKS)
-    for i in range(1, n):
-        keep[i] = keep[i] or keep[parents[i]]
+    named = any(tree.noisy)
+    page = Scored(tree, cut_by_name(tree) if named else list(tree.cut))
+    if named and not any(page.length):  # names alone do not empty a page
+        page = Scored(tree, list(tree.cut))
+    keep, gone = page.kept(), page.gone
 
     blocks, words = [], []
     for node, text in tree.items:
@@ -211,7 +318,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Null html counts as empty; pages without text give the empty text. Broken markup
     is read as far as it goes: unclosed elements end with the page. Rows stay as they
-    are, repeated and null ids and urls too; other columns are ignored. No shuffle.
+    are, repeated and null ids and urls too; an empty table gives no rows; other columns are ignored. Very long pages are read
+    whole; work is linear in their length, but for the depth of unclosed elements. No shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
