@@ -47,7 +47,8 @@ def event_writes(
     )
 
 
-def _image(start_fields, end_fields, start="start_write", end="end_write") -> list[Column]:
+def images(start_fields: Sequence[str], end_fields: Sequence[str], start: str = "start_write", end: str = "end_write") -> list[Column]:
+    """The payload columns of two writes."""
     groups = ((start, start_fields), (end, end_fields))
     return [F.col(f"{g}.image.{f}").alias(f) for g, fields in groups for f in fields]
 
@@ -82,7 +83,7 @@ def assemble_trips(
     folded = writes.agg(*[F.max(c).alias(c) for c in ("start_write", "end_write")])
     return folded.select(
         "trip_id",
-        *_image(start_fields, end_fields),
+        *images(start_fields, end_fields),
         F.col("start_write").isNotNull().alias("has_start"),
         F.col("end_write").isNotNull().alias("has_end"),
     )
@@ -179,7 +180,7 @@ def first_completion(
     complete = "start_write is not null and end_write is not null"
     was_open = "(prev_start_write is null or prev_end_write is null)"
     return history.where(f"{complete} and {was_open}").select(
-        "trip_id", "sequence", *_image(start_fields, end_fields)
+        "trip_id", "sequence", *images(start_fields, end_fields)
     )
 
 
@@ -204,7 +205,7 @@ def change_feed(
     return (
         history.withColumn("event_name", F.when(is_new, "INSERT").when(changed, "MODIFY"))
         .where("event_name is not null")
-        .select("trip_id", "sequence", "event_name", *_image(start_fields, end_fields))
+        .select("trip_id", "sequence", "event_name", *images(start_fields, end_fields))
     )
 
 

@@ -351,6 +351,7 @@ ORACLE = {
         from log""",
 }
 ORACLE["kpi_batch_then_stream"] = ORACLE["stream_kpi"]
+ORACLE["assemble_trips_table"] = ORACLE["assemble_trips"]
 ORACLE["kpi_two_pipelines"] = ORACLE["stream_kpi"]
 ORACLE["kpi_corrections_stream"] = USER_CURRENT
 ORACLE = {name: dedent(sql).strip() for name, sql in ORACLE.items()}
