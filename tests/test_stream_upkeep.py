@@ -1,0 +1,137 @@
+"""What a long-running job leaves behind, lists and answers."""
+
+import random
+from pathlib import Path
+
+import pytest
+from helpers import end, event_log, numbered, start
+from test_stream import Crash, deliver, expected_kpis, rows, run, wired
+from test_trips import random_log
+
+from tripfold.operators.kpi import dated, partials
+from tripfold.operators.trips import assemble_trips, open_trips
+from tripfold.sources.kpi_store import KpiStore
+from tripfold.sources.readers import read_envelopes, retiring
+from tripfold.streaming import jobs
+from tripfold.streaming.jobs import CHANGE_FEED, CORRECTED, DOCUMENTED, TripJob, run_batch, start_stream
+
+
+def test_many_batches_leave_few_files(spark, tmp_path):
+    """60 batches of one file each with a restart in between: inputs, states and markers are retired."""
+    events = random_log(41, trips=60, most=3)
+    job = TripJob(str(tmp_path / "job"), "p", compact_every=10, publish=False)
+    per_batch = -(-len(events) // 60)
+    parts = [events[i * per_batch : (i + 1) * per_batch] for i in range(60)]
+
+    def count(folder):
+        return sum(1 for p in Path(f"{tmp_path}/job/{folder}").rglob("*") if p.is_file() and not p.name.startswith("."))
+
+    files = {}
+    for half in (0, 1):
+        for n in range(half * 30, half * 30 + 30):
+            deliver(spark, tmp_path, n, wired(parts[n]))
+        source = retiring(spark.readStream.option("maxFilesPerTrigger", 1), str(tmp_path / "consumed"))
+        start_stream(read_envelopes(source, str(tmp_path / "log")), job).awaitTermination()
+        files[half] = {f: count(f) for f in ("landed", "state_in", "state_staged", "carry", "runs", "kpi", "checkpoints")}
+    assert rows(job.store(spark).kpis()) == expected_kpis(spark, events, DOCUMENTED)
+    assert job.counters(spark).count() == 60 and job.counters(spark).agg({"records": "sum"}).first()[0] == len(events)
+    for folder, most in (("landed", 20), ("state_in", 20), ("state_staged", 0), ("carry", 20), ("runs", 45), ("kpi", 250)):
+        assert files[1][folder] <= most, files
+    assert files[1]["checkpoints"] <= 1.5 * files[0]["checkpoints"] + 60, files
+    assert len(list((tmp_path / "log").glob("*.json"))) <= 1 and len(list((tmp_path / "consumed").rglob("*.json"))) >= 59
+
+
+@pytest.mark.parametrize("mode", [DOCUMENTED, CORRECTED])
+def test_open_trips_of_a_stopped_stream(spark, tmp_path, mode):
+    events = random_log(42, trips=30, most=3)
+    job = TripJob(str(tmp_path / "job"), "p", mode, publish=False)
+    third = len(events) // 3
+    for n in range(3):
+        deliver(spark, tmp_path, n, wired(events[n * third : (n + 1) * third if n < 2 else None]))
+    run(spark, tmp_path, job, files=1)
+    found = job.open_trips(spark)
+    wanted = open_trips(assemble_trips(event_log(spark, events)))
+    assert rows(found) == rows(wanted.select(*found.columns)) and found.count() > 0
+
+
+def test_open_trips_of_the_first_batch(spark, tmp_path):
+    job = TripJob(str(tmp_path), "p")
+    with pytest.raises(ValueError, match="no batch"):
+        job.open_trips(spark)
+    run_batch(spark.createDataFrame(wired(numbered([start("a", "05-25 13:19"), start("b", "05-25 13:19"), end("b", "05-25 13:40", 1)])), "data string, sequence bigint"), job)
+    assert [r.trip_id for r in job.open_trips(spark).collect()] == ["a"]
+
+
+def test_counters_of_a_repeated_batch(spark, tmp_path, monkeypatch):
+    job = TripJob(str(tmp_path / "job"), "p", publish=False)
+    deliver(spark, tmp_path, 0, [("%%%", 7), *wired(numbered([start("a", "05-25 13:19"), end("a", "05-25 13:40", 1)]))])
+    original = jobs.create_file
+
+    def crash(session, path, *args, **kwargs):
+        if "/counters/" in path:
+            raise Crash(path)
+        return original(session, path, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "create_file", crash)
+    with pytest.raises(Exception, match="Crash"):
+        run(spark, tmp_path, job)
+    monkeypatch.undo()
+    run(spark, tmp_path, job)
+    deliver(spark, tmp_path, 1, [("%%%", 9)])
+    run(spark, tmp_path, job)
+    assert sorted(map(tuple, job.counters(spark).collect())) == [(0, 3, 2, 1, 0, 0), (1, 1, 0, 1, 0, 0)]
+    assert job.quarantine(spark).count() == 2
+
+
+def test_respelled_times_are_changes_in_a_stream(spark, tmp_path):
+    job = TripJob(str(tmp_path), "p", CHANGE_FEED)
+
+    def batch(event, n, spell=str):
+        text = wired([{**event, "sequence": n}])[0][0]
+        import base64
+
+        data = base64.b64encode(spell(base64.b64decode(text).decode()).encode()).decode()
+        return run_batch(spark.createDataFrame([(data, n)], "data string, sequence bigint"), job).first()
+
+    batch(start("a", "05-25 13:19"), 0)
+    assert batch(end("a", "05-25 13:40", 2), 1)["count_trips"] == 1
+    assert batch(end("a", "05-25 13:40", 2), 2)["count_trips"] == 1  # the same again
+    assert batch(end("a", "05-25 13:40", 2), 3, lambda t: t.replace("05-25 13", "05-25T13"))["count_trips"] == 2
+
+
+def fares(spark, *days):
+    data = [(f"2024-05-{d} 10:00:00", "1.00") for d in days]
+    trips = spark.createDataFrame(data, "p string, f string").selectExpr("cast(p as timestamp_ntz) as pickup_datetime", "cast(f as decimal(18,2)) as fare_amount")
+    return partials(dated(trips))
+
+
+@pytest.mark.parametrize("step", ["_all_paths", "_stored", "_publish"])
+def test_pipelines_that_publish_at_the_same_time(spark, tmp_path, monkeypatch, step):
+    """Before each step of one pipeline's publishing, another appends and publishes, once on the same day and once on a new one."""
+    one, other = KpiStore(spark, str(tmp_path), "one"), KpiStore(spark, str(tmp_path), "other")
+    one.append(fares(spark, 24, 25), 0)
+    original = getattr(KpiStore, step)
+    seen = []
+
+    def interrupted(store, *args):
+        if store.pipeline_id == "one" and len(seen) < 2:
+            seen.append(store)
+            other.append(fares(spark, 25, 26 + len(seen)), len(seen) - 1)
+            other.publish([len(seen) - 1])
+        return original(store, *args)
+
+    monkeypatch.setattr(KpiStore, step, interrupted)
+    one.publish([0])
+    monkeypatch.undo()
+    assert seen and rows(one.published()) == rows(one.kpis())
+
+
+def test_order_of_arrival_does_not_matter_when_corrected(spark, tmp_path):
+    events = random_log(43, trips=10, most=4)
+    random.Random(1).shuffle(events)
+    job = TripJob(str(tmp_path), "p", CORRECTED)
+    for part in (events[::2], events[1::2]):
+        kpis = run_batch(spark.createDataFrame(wired(part), "data string, sequence bigint"), job)
+    from test_corrections import expected
+
+    assert rows(kpis) == expected(spark, events)
