@@ -256,3 +256,23 @@ def test_csv_source(spark, tmp_path):
     other.write_text("vendor_id,id\n1,2\n")
     with pytest.raises(ValueError):
         read_starts_csv(spark.read, str(other))
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    import gzip
+
+    from tripfold.sources.readers import read_ends_csv
+
+    folder = tmp_path / "ends"
+    folder.mkdir()
+    (folder / "a.csv").write_text("trip_id,dropoff_datetime,fare_amount\na,2024-05-25 13:40:00,1.5\n")
+    (folder / "b.csv").write_text('﻿fare_amount,"other, thing",dropoff_datetime,trip_id\n2.5,"x,y",2024-05-25 13:41:00,b\na line cut short\n')
+    (folder / "c.csv.gz").write_bytes(gzip.compress(b"dropoff_datetime,trip_id\n2024-05-25 13:42:00,c\n"))
+    (folder / "d.csv").write_text("")
+    (folder / "_hidden.csv").write_text("nothing\n")
+    found = {r.trip_id: (str(r.dropoff_datetime)[-8:], r.fare_amount and float(r.fare_amount), r.reason) for r in read_ends_csv(spark.read, str(folder)).collect()}
+    assert found["a"] == ("13:40:00", 1.5, None) and found["b"] == ("13:41:00", 2.5, None) and found["c"] == ("13:42:00", None, None)
+    assert len(found) == 4 and [f[2] for k, f in found.items() if k not in ("a", "b", "c")] == ["missing_trip_id"]
+    (folder / "e.csv").write_text("no,id\n1,2\n")
+    with pytest.raises(ValueError, match="trip_id"):
+        read_ends_csv(spark.read, str(folder))

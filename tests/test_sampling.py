@@ -1,6 +1,6 @@
 from helpers import end, event_log, numbered, start
 
-from tripfold.operators.sampling import matched_sample, shuffled
+from tripfold.operators.sampling import interleaved, matched_sample, shuffled
 
 
 def log(spark, trips=30):
@@ -33,3 +33,14 @@ def test_shuffle_changes_only_the_order(spark):
     order = [r["id"] for r in mixed.orderBy("sequence").collect()]
     assert order != sorted(order, key=int)
     assert order == [r["id"] for r in shuffled(events, tie="id", seed=5).orderBy("sequence").collect()]
+
+
+def test_interleaved_numbers_have_no_gaps(spark):
+    events = log(spark).selectExpr("*", "cast(sequence as string) as id")
+    found = interleaved(events, tie="id", seed=5).collect()
+    order = [r["id"] for r in shuffled(events, tie="id", seed=5).orderBy("sequence").collect()]
+    assert [r["sequence"] for r in sorted(found, key=lambda r: r["sequence"])] == list(range(1, len(order) + 1))
+    assert [r["id"] for r in sorted(found, key=lambda r: r["sequence"])] == order
+    again = events.union(events)  # rows that cannot be told apart
+    assert sorted(r["sequence"] for r in interleaved(again, tie="id").collect()) == list(range(1, 2 * len(order) + 1))
+    assert interleaved(events.limit(0), tie="id").count() == 0

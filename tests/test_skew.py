@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tripfold.operators.skew import find_hot_keys, with_chunk
+from tripfold.operators.skew import FLOOR_CONF, find_hot_keys, with_chunk
 from tripfold.operators.trips import trip_history
 
 
@@ -75,9 +75,14 @@ def test_one_order_is_one_chunk(spark, hot_floor):
     assert with_chunk(df, "k", "s", hot).select("chunk").distinct().count() == 1
 
 
-def test_exact_repeats_of_a_hot_trip_are_combined(spark, hot_floor):
-    from helpers import event_log, numbered, start
+@pytest.mark.parametrize("floor", ["1", "1000000"])
+def test_exact_repeats_give_one_row_whether_split_or_not(spark, floor):
+    from helpers import end, event_log, numbered, start
 
-    events = numbered([start("a", "05-25 13:19")]) * 500
-    history = trip_history(event_log(spark, events))
-    assert history.count() == 1
+    events = numbered([start("a", "05-25 13:19"), end("a", "05-25 13:40", 2), start("a", "05-25 13:19")])
+    spark.conf.set(FLOOR_CONF, floor)
+    try:
+        history = trip_history(event_log(spark, events * 300))
+        assert sorted(r.sequence for r in history.collect()) == [0, 1, 2]
+    finally:
+        spark.conf.unset(FLOOR_CONF)
