@@ -48,7 +48,7 @@ def test_words_whose_hashes_are_built_to_agree(path, spaces, letters):
 
 @pytest.mark.parametrize("path, spaces", [(BYTES, True), (WORDS, False)])
 def test_words_of_one_hash_are_told_apart_by_their_bytes(monkeypatch, path, spaces):
-    monkeypatch.setattr(wordcodec, "byte_values", lambda codes, place: np.zeros(len(codes), np.uint64))
+    monkeypatch.setattr(wordcodec.Chunks, "hashes", lambda self: np.zeros(len(self.sizes), np.uint64))
     texts = ["some words here", "other words", "there", "words some", "here"]
     words = wordcodec.WordCodec(path, spaces)
     assert [x.tolist() for x in words.encode(texts)] == [whole(path, t) for t in texts]

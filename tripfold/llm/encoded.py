@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripfold.llm.ordered import IN_ORDER, bucket_of
+from tripfold.llm.ordered import IN_ORDER, bucket_of_place
 from tripfold.llm.wordcodec import codec, load_tokenizer
 from tripfold.llm.workers import slices
 
@@ -26,12 +26,12 @@ def encode_documents(rows: DataFrame, path: str, end_id: int, spaces_matter: boo
         words = codec(path, spaces_matter)
         end = np.array([end_id], f"<u{width // 8}").tobytes()
         for batch in slices(batches):
-            found = words.encode(batch.column(4).to_pylist())
+            found = words.encode(batch.column(3).to_pylist())
             ids = [x.astype(f"<u{width // 8}").tobytes() + end for x in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(ids, pa.binary())], [*IN_ORDER, "bucket", "ids"])
+            buckets = [bucket_of_place(bounds, *place) for place in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(buckets, pa.int32()), pa.array(ids, pa.binary())], [*IN_ORDER, "bucket", "ids"])
 
-    texts = rows.select(*IN_ORDER, bucket_of(bounds).alias("bucket"), "text")
-    return texts.mapInArrow(run, "doc_id long, hash long, salt long, bucket int, ids binary")
+    return rows.select(*IN_ORDER, "text").mapInArrow(run, "doc_id long, hash long, salt long, bucket int, ids binary")
 
 
 def as_ids(data: bytes, vocabulary: int) -> np.ndarray:

@@ -18,8 +18,6 @@ _rng = np.random.default_rng(5)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _PLACES = _rng.integers(1, 2**63, SHINGLE).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-PLACES = 64  # bytes of a word with a row of their own in the table; those behind are hashed one by one
-_BYTES = np.random.default_rng(17).integers(0, 2**64, (PLACES, 256), np.uint64).ravel()
 _FACTORS = _rng.integers(1, 2**63, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True  # fixed values: what parts words
@@ -31,30 +29,44 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def byte_values(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of every byte with its place in its word; a word's hash is the sum, mixed.
-
-    The values of different places have no rule in common (unlike powers of one base, with which
-    whole words can cancel out), so two words agree only by chance.
-    """
-    values = _BYTES[np.minimum(place, PLACES - 1) * 256 + codes]
-    far = np.flatnonzero(place >= PLACES)
-    if len(far):
-        values[far] = mix(codes[far].astype(np.uint64) * _SPREAD + mix(place[far].astype(np.uint64) * _STEP))
-    return values
+class Chunks:
+    """The words data[begins:ends], each in chunks of eight bytes, the last one filled with zeros."""
+
+    def __init__(self, data: bytes, begins: np.ndarray, ends: np.ndarray):
+        self.sizes = ends - begins
+        self.counts = (self.sizes + 7) >> 3
+        stops = np.cumsum(self.counts)
+        self.starts = stops - self.counts
+        self.place = np.arange(int(stops[-1]) if len(stops) else 0) - np.repeat(self.starts, self.counts)
+        at = np.repeat(begins, self.counts) + 8 * self.place
+        words = np.frombuffer(data + bytes(16 - len(data) % 8), "<u8")
+        low, shift = words[at >> 3], ((at & 7) << 3).astype(np.uint64)
+        high = words[(at >> 3) + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        last = stops - 1
+        self.values = (low >> shift) | high
+        over = (8 * self.counts - self.sizes).astype(np.uint64) << np.uint64(3)  # bits of the last chunk behind the word
+        self.values[last] = self.values[last] << over >> over
+
+    def hashes(self) -> np.ndarray:
+        """Every chunk is mixed with its place before they are added up, so words agree only by chance."""
+        if not len(self.sizes):
+            return np.zeros(0, np.uint64)
+        mixed = mix(self.values + self.place.astype(np.uint64) * _STEP)
+        return mix(np.add.reduceat(mixed, self.starts) + self.sizes.astype(np.uint64) * _SPREAD)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The chunks of some of the words, one word after the other."""
+        counts = self.counts[words]
+        steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.values[np.repeat(self.starts[words], counts) + steps]
 
 
 def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of every word."""
-    codes = np.frombuffer(data, np.uint8)
-    blank = _BLANK[codes]
-    starts = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
-    if not len(starts):
-        return np.zeros(0, np.uint64), starts
-    codes = codes[starts[0] :]
-    inside = np.arange(len(codes)) - np.repeat(starts - starts[0], np.diff(starts, append=len(blank)))
-    values = np.where(blank[starts[0] :], 0, byte_values(codes, inside))
-    return mix(np.add.reduceat(values, starts - starts[0])), starts
+    blank = _BLANK[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(blank, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    return Chunks(data, starts, ends).hashes(), starts
 
 
 def word_hashes(texts: list[bytes]) -> Iterator[np.ndarray]:

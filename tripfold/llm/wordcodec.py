@@ -11,15 +11,16 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-from tripfold.llm.shingles import byte_values, mix
+from tripfold.llm.shingles import Chunks
 
-KNOWN_WORDS = 600_000  # bounds a worker's memory (about 80 bytes a word); speed only
+KNOWN_WORDS = 1_500_000  # bounds a worker's memory (about 55 bytes a word); speed only
 RECENT_WORDS = 50_000  # words learned before they are merged into the large table
-GROUP_BYTES = 2 << 20  # text looked up at a time
+GROUP_BYTES = 1 << 20  # text looked up at a time
 WORDS_A_CALL = 2_000  # words go to the tokenizer together, parted by a word whose id no other word can hold
 
 #: A word of Latin letters, perhaps with a stop behind.
@@ -72,7 +73,7 @@ class Table:
     """Sorted word hashes, and the number of each word."""
 
     def __init__(self):
-        self.hashes, self.words = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hashes, self.words = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes, and which of them are there."""
@@ -109,8 +110,8 @@ class WordCodec:
     def forget(self) -> None:
         self.known, self.recent = Table(), Table()
         self.ids, self.n_ids = np.zeros(1 << 18, np.uint32), 0
-        self.bytes, self.n_bytes = np.zeros(1 << 18, np.uint8), 0
-        self.table, self.n_words = np.zeros((4, 1 << 14), np.int64), 0  # of a word: its ids' start and number, its bytes' start and number
+        self.chunks, self.n_chunks = np.zeros(1 << 16, np.uint64), 0
+        self.table, self.n_words = np.zeros((4, 1 << 14), np.int32), 0  # of a word: its ids' start and number, its chunks' start, its bytes
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -168,45 +169,45 @@ class WordCodec:
                 out.append(ids[a + (not self.spaces_matter or word[0] != "\n") : b])
         return out
 
-    def _store(self, hashes: np.ndarray, words: list[bytes], learned: list[list[int]]) -> None:
-        n = len(words)
-        sizes, lengths = np.array([len(x) for x in learned], np.int64), np.array([len(w) for w in words], np.int64)
+    def _store(self, hashes: np.ndarray, words: Chunks, new: np.ndarray, learned: list[list[int]]) -> None:
+        n = len(new)
+        sizes, counts = np.array([len(x) for x in learned], np.int64), words.counts[new]
         flat = np.fromiter((i for x in learned for i in x), np.uint32, int(sizes.sum()))
-        data = np.frombuffer(b"".join(words), np.uint8)
+        chunks = words.of(new)
         self.ids = with_room(self.ids, self.n_ids, len(flat))
-        self.bytes = with_room(self.bytes, self.n_bytes, len(data))
+        self.chunks = with_room(self.chunks, self.n_chunks, len(chunks))
         self.table = with_room(self.table, self.n_words, n)
         self.ids[self.n_ids : self.n_ids + len(flat)] = flat
-        self.bytes[self.n_bytes : self.n_bytes + len(data)] = data
-        self.table[:, self.n_words : self.n_words + n] = self.n_ids + np.cumsum(sizes) - sizes, sizes, self.n_bytes + np.cumsum(lengths) - lengths, lengths
-        self.recent.add(hashes, self.n_words + np.arange(n))
-        self.n_ids, self.n_bytes, self.n_words = self.n_ids + len(flat), self.n_bytes + len(data), self.n_words + n
+        self.chunks[self.n_chunks : self.n_chunks + len(chunks)] = chunks
+        self.table[:, self.n_words : self.n_words + n] = self.n_ids + np.cumsum(sizes) - sizes, sizes, self.n_chunks + np.cumsum(counts) - counts, words.sizes[new]
+        self.recent.add(hashes, np.arange(self.n_words, self.n_words + n, dtype=np.int32))
+        self.n_ids, self.n_chunks, self.n_words = self.n_ids + len(flat), self.n_chunks + len(chunks), self.n_words + n
         if len(self.recent.hashes) > RECENT_WORDS:
             self.known.add(self.recent.hashes, self.recent.words)
             self.recent = Table()
 
     # --- texts ----------------------------------------------------------------
 
-    def _places(self, hashes: np.ndarray, data: bytes, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """Start and number of the ids of distinct words, which lie at begins..ends of the data; none if a known word differs."""
+    def _places(self, hashes: np.ndarray, words: Chunks, first: np.ndarray, texts: Callable[[np.ndarray], list[str]]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Start and number of the ids of distinct words, which are number `first` of the words; none if a known word differs."""
         if len(self.known.hashes) + len(self.recent.hashes) + len(hashes) > KNOWN_WORDS:
             self.forget()
         missing = ~(self.known.find(hashes)[1] | self.recent.find(hashes)[1])
         if missing.any():
-            words = [data[a:b] for a, b in zip(begins[missing].tolist(), ends[missing].tolist(), strict=True)]
-            self._store(hashes[missing], words, self._learn([w.decode() for w in words]))
+            new = first[missing]
+            self._store(hashes[missing], words, new, self._learn(texts(new)))
         at, there = self.known.find(hashes)
         word = np.zeros(len(hashes), np.int64)
         word[there] = self.known.words[at[there]]
         at, here = self.recent.find(hashes)
         here &= ~there
         word[here] = self.recent.words[at[here]]
-        starts, sizes, texts, lengths = self.table[:, word]
-        if (lengths != ends - begins).any():
+        starts, sizes, at, lengths = self.table[:, word].astype(np.int64)
+        if (lengths != words.sizes[first]).any():
             return None
-        steps = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        codes = np.frombuffer(data, np.uint8)
-        if (codes[np.repeat(begins, lengths) + steps] != self.bytes[np.repeat(texts, lengths) + steps]).any():
+        counts = words.counts[first]
+        steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        if (words.of(first) != self.chunks[np.repeat(at, counts) + steps]).any():
             return None
         return starts, sizes
 
@@ -227,23 +228,20 @@ class WordCodec:
             rest = iter(self._group(keep) if keep else [])
             return [next(rest) if p else None for p in plain]
 
-        begins = np.flatnonzero(parts)[:-1] + 1  # of every word, behind its blank
-        ends = np.append(begins[1:] - 1, len(data) - 1)
-        inner = np.arange(len(data)) - np.repeat(np.concatenate([[0], begins]), np.diff(np.concatenate([[0], begins, [len(data)]])))
-        hashes = np.add.reduceat(np.where(parts, 0, byte_values(codes, inner)), begins)
-        if self.spaces_matter:
-            hashes += (codes[begins - 1] == FEED).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-        hashes = mix(hashes)
-
+        edges = np.flatnonzero(parts)
+        begins, ends = edges[:-1] + 1, edges[1:]  # of every word, behind its blank
+        lead = int(self.spaces_matter)  # the blank is part of the word
+        words = Chunks(data, begins - lead, ends)
+        hashes = words.hashes()
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        lead = int(self.spaces_matter)
-        firsts = begins[first] - lead
-        # every byte of a word against that of the first word with its hash
-        twin = np.repeat(firsts[which] - begins + lead, ends - begins)
-        own = ~parts
-        differs = codes[own] != codes[np.flatnonzero(own) + twin]
-        clash = differs.any() or (ends - begins != (ends - begins)[first][which]).any()
-        found = None if clash else self._places(distinct, data, firsts, ends[first])
+        # every chunk of a word against that of the first word with its hash
+        twin = np.repeat(words.starts[first][which] - words.starts, words.counts)
+        clash = (words.sizes != words.sizes[first][which]).any() or (words.values != words.values[np.arange(len(twin)) + twin]).any()
+
+        def texts_of(some: np.ndarray) -> list[str]:
+            return [data[a:b].decode() for a, b in zip((begins[some] - lead).tolist(), ends[some].tolist(), strict=True)]
+
+        found = None if clash else self._places(distinct, words, first, texts_of)
         if found is None:  # two words of one hash: the tokenizer decides
             return [None] * len(texts)
         starts, sizes = found

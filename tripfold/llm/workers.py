@@ -11,8 +11,16 @@ from pyspark.sql import SparkSession
 ROOT = str(Path(__file__).resolve().parent.parent.parent)
 
 
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"  # rows are whole texts
+
+
 def share_path(spark: SparkSession) -> None:
-    """For sessions whose workers start elsewhere. Where the package is installed, this changes nothing."""
+    """For sessions whose workers start elsewhere. Where the package is installed, no path changes.
+
+    Where the session leaves the size of Arrow batches at its default, they get smaller.
+    """
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, BATCH_ROWS)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
