@@ -1,4 +1,3 @@
-from bisect import bisect_right
 from collections import Counter
 
 import pytest
@@ -13,8 +12,10 @@ def test_buckets_follow_the_order(spark, buckets):
     bounds = ordered.row_bounds(docs, buckets)
     assert 0 < len(bounds) < buckets and bounds == sorted(set(bounds))
     found = ordered.kept(docs.withColumn("bucket", ordered.bucket_of(bounds))).collect()
+    order = sorted(found, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.hash, r.salt))
+    assert [r.bucket for r in order] == sorted(r.bucket for r in order)
     for r in found:
-        assert r.bucket == bisect_right(bounds, (r.doc_id is not None, r.doc_id or 0, r.hash, r.salt))
+        assert r.bucket == ordered.bucket_of_place(bounds, r.doc_id, r.hash, r.salt)
 
 
 def test_a_third_without_an_id_or_under_one_id_is_spread(spark):

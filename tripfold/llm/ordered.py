@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -57,20 +58,28 @@ def bucket_of(bounds: list[tuple]) -> Column:
     """Number of bounds up to the place of a `placed` row, by binary search."""
     if not bounds:
         return F.lit(0)
-    place = "struct<known: boolean, doc_id: bigint, hash: bigint, salt: bigint>"
-    own = F.struct(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0)), F.col("hash"), F.col("salt")).cast(place)
-    known = F.arrays_zip(*[F.lit(list(c)) for c in zip(*bounds, strict=True)]).cast(f"array<{place}>")
+    # flat arrays of longs are folded to constants; arrays of structs were built anew for every look
+    known = [F.lit([int(x) for x in c]).cast("array<bigint>") for c in zip(*bounds, strict=True)]
+    own = [F.col("doc_id").isNotNull().cast("long"), F.coalesce("doc_id", F.lit(0)), F.col("hash"), F.col("salt")]
 
     def halve(at: Column, _: Column) -> Column:
         middle = F.shiftright(at["low"] + at["high"], 1)
-        up = F.get(known, middle) <= own
-        go_on = at["low"] < at["high"]
-        return F.struct(F.when(go_on & up, middle + 1).otherwise(at["low"]).alias("low"), F.when(go_on & ~up, middle).otherwise(at["high"]).alias("high"))
+        up = F.lit(True)  # whether the bound in the middle lies at or below the row
+        for values, mine in reversed(list(zip(known, own, strict=True))):
+            value = F.get(values, middle)
+            up = (value < mine) | ((value == mine) & up)
+        moved = F.when(up, F.struct((middle + 1).alias("low"), at["high"].alias("high"))).otherwise(F.struct(at["low"].alias("low"), middle.alias("high")))
+        return F.when(at["low"] < at["high"], moved).otherwise(at)
 
     start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, halve, lambda at: at["low"])
 
 
+def bucket_of_place(bounds: list[tuple], doc_id: int | None, text_hash: int, salt: int) -> int:
+    """`bucket_of` for one row outside Spark's expressions."""
+    return bisect_right(bounds, (doc_id is not None, doc_id or 0, text_hash, salt))
+
+
 def by_bucket(df: DataFrame, bucket: str, bounds: list[tuple]) -> DataFrame:
     """One partition for each bucket."""
     return df.repartitionById(len(bounds) + 1, F.col(bucket).cast("int"))
