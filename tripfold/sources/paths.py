@@ -10,6 +10,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_scratch: dict[str, list[str]] = {}  # folders of each application
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -20,10 +21,24 @@ def scratch_root(spark: SparkSession) -> str:
     """
     shared = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if shared:
-        return f"{shared.rstrip('/')}/tripfold-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tripfold-")
-    raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+        folder = f"{shared.rstrip('/')}/tripfold-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="tripfold-")
+    else:
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Removes every scratch folder that this application has made; returns their number.
+
+    DataFrames that read them are of no use afterwards: call it when their results have been written.
+    """
+    folders = _scratch.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        remove(spark, folder)
+    return len(folders)
 
 
 def _fs_path(spark: SparkSession, path: str):
