@@ -175,15 +175,24 @@ def _positions(row: dict, books: np.ndarray) -> Iterator[tuple[Blocks, np.ndarra
 def chunks(rows: DataFrame, parts: int) -> DataFrame:
     """The table of chunks. `rows` has vec_id, label (text) and vector, all of one length."""
 
+    def laid_out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        some = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        wide, flat = _lay_out(vt.scaled(some, "vector", SCALE, MOST), parts)
+        ids, labels = ([some.column(c).to_pylist()] for c in ("vec_id", "label"))
+        columns = [pa.array(ids, pa.list_(pa.int64())), pa.array(labels, pa.list_(pa.string())), pa.array([wide])]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array([x], pa.binary()) for x in flat)], ["vec_ids", "labels", "wide", "points", "place", "low", "high", "sums"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            size = -(-batch.num_rows // max(1, -(-batch.num_rows // CHUNK))) or 1  # as few chunks as can be, of about one size
-            for at in range(0, batch.num_rows, size):
-                some = batch.slice(at, size)
-                wide, flat = _lay_out(vt.scaled(some, "vector", SCALE, MOST), parts)
-                ids, labels = ([some.column(c).to_pylist()] for c in ("vec_id", "label"))
-                columns = [pa.array(ids, pa.list_(pa.int64())), pa.array(labels, pa.list_(pa.string())), pa.array([wide])]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array([x], pa.binary()) for x in flat)], ["vec_ids", "labels", "wide", "points", "place", "low", "high", "sums"])
+            for at in range(0, batch.num_rows, CHUNK):
+                some = batch.slice(at, CHUNK)
+                if held and sum(b.num_rows for b in held) + some.num_rows > CHUNK:
+                    yield laid_out(held)
+                    held = []
+                held.append(some)
+        if held:
+            yield laid_out(held)
 
     return rows.select("vec_id", "label", "vector").mapInArrow(run, CHUNKS)
 
