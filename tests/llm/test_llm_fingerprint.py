@@ -33,6 +33,36 @@ def test_hash_tells_phrases_apart():
     assert len(set(lz.phrase_hashes(text, parsed.ends).tolist())) == len(parsed.ends) == len(set(phrases(text)))
 
 
+def brute_signature(text):
+    """Phrase by phrase and permutation by permutation, in whole numbers of any size."""
+    powers, factors, shifts = (x.tolist() for x in lz._constants())
+    cut = 1 << 64
+    hashes = set()
+    for phrase in phrases(text):
+        h = sum((ord(c) + 1) * powers[i] for i, c in enumerate(phrase)) % cut
+        h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) % cut
+        hashes.add(h ^ (h >> 32))
+    if not hashes:
+        return [(1 << lz.PLACE_BITS) - 1] * lz.SIGNATURE
+    least = [min((h * f + s) % cut for h in hashes) for f, s in zip(factors, shifts, strict=True)]
+    return [(x * 0x9E3779B97F4A7C15 % cut) >> (64 - lz.PLACE_BITS) for x in least]
+
+
+def test_signatures_equal_brute_force():
+    for text in [t or "" for _, t, *_ in rows()][:45]:
+        assert lz.fingerprint(text).tolist() == brute_signature(text)
+
+
+def test_likeness_estimates_shared_phrases():
+    """The share of equal places against the Jaccard similarity of the phrase sets."""
+    texts = [prose(i, 400) for i in range(8)]
+    for a, b in zip(texts, texts[1:]):
+        for other in (b, lz.edited(a, b), a + b):
+            one, two = set(phrases(a)), set(phrases(other))
+            exact = len(one & two) / len(one | two)
+            assert abs(lz.likeness(lz.fingerprint(a), lz.fingerprint(other)) - exact) < 5 * (exact * (1 - exact) / lz.SIGNATURE) ** 0.5 + 0.02
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_documents(spark, partitions):
     data = [r for r in rows() if r[0] is not None]
