@@ -83,6 +83,8 @@ def test_documents(spark, net):
         assert r.predicted == int(r.score >= 0.7)
     kept = q.keep_good(docs, net)
     assert kept.schema == docs.schema and kept.count() == sum(r.predicted for r in found)
+    clash = docs.withColumnsRenamed({"node": "scored text", "key": "text ___________"})
+    assert q.keep_good(clash, net).schema == clash.schema and q.keep_good(clash, net).count() == kept.count()
     assert {r.score for r in q.score_documents(docs, None).collect()} == {0.5}
     assert q.score_documents(docs.limit(0), net).count() == 0
 

@@ -236,7 +236,8 @@ def score_documents(docs: DataFrame, net: Network | None) -> DataFrame:
 
     Null text counts as empty, and an empty text is one chunk of zeros. Without a
     network (labels of one kind only, or none) all scores are 0.5. Rows stay as they are,
-    repeated and null ids too; other columns are ignored. No shuffle.
+    repeated and null ids too; an empty table gives no rows; other columns are ignored. Very long texts are
+    convolved in parts and scored as a whole. No shuffle.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(_scorer(net), SCHEMA).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

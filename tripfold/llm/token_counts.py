@@ -108,7 +108,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every text.
 
     Null text counts as empty: 0 bytes, 0 tokens. Rows stay as they are, repeated and
-    null ids too; other columns are ignored. One pass, no shuffle. What a worker keeps is bounded by
+    null ids too; an empty table gives no rows; other columns are ignored. Very long texts are counted whole. One pass, no shuffle. What a worker keeps is bounded by
     CACHED_WORDS; the model file and the proven list are bounded by the vocabulary.
     """
     shortcut = tuple(whole_tokens(path).items())
