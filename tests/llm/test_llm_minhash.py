@@ -38,10 +38,11 @@ def brute(data):
     return sorted(((r[0], len(sets[i]), least.get(find(i))) for i, r in enumerate(data)), key=str)
 
 
-@pytest.mark.parametrize("rounds", [0, 2])
-def test_components(spark, monkeypatch, rounds):
-    """Without leader rounds, the pairwise pass alone must find every link."""
+@pytest.mark.parametrize("rounds, rows_a_task", [(0, 500), (2, 500), (0, 3), (2, 3)])
+def test_components(spark, monkeypatch, rounds, rows_a_task):
+    """Without leader rounds, the pairwise pass alone must find every link; also where bands are split over tasks."""
     monkeypatch.setattr(minhash_dedup, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(minhash_dedup, "BAND_ROWS", rows_a_task)
     rng = random.Random(4)
     chain = prose(5, 200).split(" ")
     drift = []

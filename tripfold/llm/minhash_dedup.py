@@ -31,6 +31,7 @@ from tripfold.llm.workers import slices
 PERCENT = 75  # fixed value: similarity of a link
 MOST_UNLIKE = sh.unlike_bits(0.48)  # sketches further apart than this speak against a link; more than five deviations off
 LEADER_ROUNDS = 2
+BAND_ROWS = 500  # classes of a band that one task compares with all of it
 WORD = r"[^\x20\x09-\x0D]"  # any character of a word
 WORDS = sh.SKETCH_BITS // 64
 SKETCHES = "doc_id long, text_key long, n_shingles long, node binary, bands array<long>, sketch array<long>"
@@ -215,11 +216,15 @@ def _all_others(members: DataFrame, flat: DataFrame, sets: DataFrame) -> DataFra
     # a class that is the lead has all of it inside, and nothing outside
     rows = rows.withColumn("x_outside", F.greatest(F.col("x_shared") - F.col("inside"), F.lit(0))).withColumnRenamed("bits", "x_bits")
     names = [c for c in rows.columns if c.startswith("x")]
-    rows = kept(rows.select("band", "node", "component", "main", *names))
-    a = rows.where("component <> main").select("band", F.col("node").alias("a"), F.col("component").alias("a_component"), *(F.col(c).alias("a" + c[1:]) for c in names))
-    b = rows.select(F.col("band").alias("b_band"), F.col("node").alias("b"), F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" + c[1:]) for c in names))
+    # a large band is compared in several tasks: each has some of the a, and all b
+    salts = F.ceil(F.col("n") / F.lit(BAND_ROWS)).cast("long")
+    rows = kept(rows.select("band", "node", "component", "main", salts.alias("salts"), *names))
+    some = F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("b_salt")
+    a = rows.where("component <> main").select("band", some, F.col("node").alias("a"), F.col("component").alias("a_component"), *(F.col(c).alias("a" + c[1:]) for c in names))
+    b = rows.select(F.col("band").alias("b_band"), every, F.col("node").alias("b"), F.col("component").alias("b_component"), "main", *(F.col(c).alias("b" + c[1:]) for c in names))
     once = (F.col("b_component") == F.col("main")) | (F.col("a") < F.col("b"))
-    test = (F.col("band") == F.col("b_band")) & (F.col("a_component") != F.col("b_component")) & once & _may_link("a", "b") & _bounded("a", "b")
+    test = (F.col("band") == F.col("b_band")) & (F.col("salt") == F.col("b_salt")) & (F.col("a_component") != F.col("b_component")) & once & _may_link("a", "b") & _bounded("a", "b")
     return a.join(b, test).select("a", "b").distinct()
 
 
