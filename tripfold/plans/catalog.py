@@ -47,9 +47,9 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
-def fares_of_trips(events: DataFrame) -> DataFrame:
+def fares_of_trips(events: DataFrame, unique_sequence: bool = False) -> DataFrame:
     """Completed trips in their current state, pickup time and fare only."""
-    return trips.completed_trips(trips.assemble_trips(events, PICKUP, FARE))
+    return trips.completed_trips(trips.assemble_trips(events, PICKUP, FARE, unique_sequence))
 
 
 # --- trips -----------------------------------------------------------------
@@ -164,7 +164,7 @@ def kpi_merge(spark, sf_dir):
 @query
 def kpi_published(spark, sf_dir):
     """KPIs of the users' trips as the table partitioned by pickup day."""
-    fares = fares_of_trips(user_events(spark, sf_dir))
+    fares = fares_of_trips(user_events(spark, sf_dir), unique_sequence=True)  # event ids: folded without a sort
     store = KpiStore(spark, f"{scratch_root(spark)}/kpi", "published")
     moved = fares.withColumn("pickup_datetime", F.expr("pickup_datetime - interval 4000 days"))
     store.append(kpi.partials(kpi.dated(moved)), 0)  # a first version of the batch, on other days
