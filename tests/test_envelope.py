@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tripfold.operators.envelope import decode_envelopes, encode_envelopes
 from tripfold.operators.events import good_events, quarantine, route_events
 from tripfold.operators.metrics import batch_counters, observed, reasons
+from tripfold.session import CODE_BYTES, CODE_CONF, CODE_DEFAULT
 
 
 def route(spark, datas):
@@ -276,3 +277,19 @@ def test_csv_files_with_different_headers(spark, tmp_path):
     (folder / "e.csv").write_text("no,id\n1,2\n")
     with pytest.raises(ValueError, match="trip_id"):
         read_ends_csv(spark.read, str(folder))
+
+
+def test_routing_is_compiled(spark):
+    """As one method the projection has more bytecode than HotSpot ever compiles, and was interpreted for each row."""
+    before = spark.conf.get(CODE_CONF)
+    try:
+        spark.conf.set(CODE_CONF, CODE_DEFAULT)
+        datas = [envelope('{"trip_id": "0", "pickup_datetime": "2024-05-25 13:19:00"}'), envelope('{"trip_id": 0, "pickup_datetime": 5}')]
+        routed = route(spark, datas)
+        assert spark.conf.get(CODE_CONF) == CODE_BYTES
+        assert [(r["reason"], r["trip_id"]) for r in routed.orderBy("sequence").collect()] == [(None, "0"), ("missing_trip_id", None)]
+        spark.conf.set(CODE_CONF, "20000")
+        route(spark, datas)
+        assert spark.conf.get(CODE_CONF) == "20000"  # a session's own limit stays
+    finally:
+        spark.conf.set(CODE_CONF, before)

@@ -50,9 +50,9 @@ def json_reason(text: Column, parsed: Column) -> Column:
     return F.when(parsed.isNull(), F.when(single & ~is_object, "not_object").otherwise("bad_json"))
 
 
-def is_truthy(field: Column) -> Column:
-    """Whether a JSON value counts as present: the string "0" does, the number 0 does not."""
-    text = variant_text(field)
+def is_truthy(field: Column, text: Column | None = None) -> Column:
+    """Whether a JSON value counts as present: the string "0" does, the number 0 does not. `text`: its `variant_text`, where a column has it."""
+    text = variant_text(field) if text is None else text
     clear = (text != "") & ~text.isin(FALSY_JSON)
     return text.isNotNull() & (clear | ~F.to_json(field).isin(FALSY_JSON))
 
@@ -103,7 +103,7 @@ def loses_digits(text: Column, value: Column, dtype: DataType) -> Column:
     """
     scale = 0 if isinstance(dtype, IntegerType) else dtype.scale
     point = F.instr(text, ".")
-    many = (point > 0) & (F.length(text) - point > scale) | text.rlike("[eE]")
+    many = (point > 0) & (F.length(text) - point > scale) | text.contains("e") | text.contains("E")
     return F.when(many, F.coalesce(text.try_cast("decimal(38,16)") != value, F.lit(False))).otherwise(False)
 
 

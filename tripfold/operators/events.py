@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripfold.functions.scalars import computed_once, field_warning, is_truthy, joined_warnings, typed, variant_text
 from tripfold.operators.envelope import TYPED_FIELDS
 from tripfold.schemas import END_PAYLOAD, END_TEXTS, START_PAYLOAD, START_TEXTS
+from tripfold.session import compile_in_parts
 
 
 def route_events(decoded: DataFrame, keep_texts: bool = False) -> DataFrame:
@@ -19,22 +20,24 @@ def route_events(decoded: DataFrame, keep_texts: bool = False) -> DataFrame:
     fields that are unreadable (and count as missing) or lose digits. With `keep_texts`, the
     times' wire texts stay beside them (`START_TEXTS`, `END_TEXTS`).
     """
+    compile_in_parts(decoded.sparkSession)
     doc = F.col("doc")
-    flagged = decoded.withColumns(
+    # the texts of the typed fields are columns of their own: each is mentioned often, and read once
+    flagged = decoded.withColumns({f"_{f}_text": variant_text(doc[f]) for f in TYPED_FIELDS}).withColumns(
         {
-            "_has_id": is_truthy(doc["trip_id"]),
-            "_has_pickup": is_truthy(doc["pickup_datetime"]),
-            "_has_dropoff": is_truthy(doc["dropoff_datetime"]),
+            "_has_id": is_truthy(doc["trip_id"], F.col("_trip_id_text")),
+            "_has_pickup": is_truthy(doc["pickup_datetime"], F.col("_pickup_datetime_text")),
+            "_has_dropoff": is_truthy(doc["dropoff_datetime"], F.col("_dropoff_datetime_text")),
         }
     ).withColumn("kind", F.when(F.col("_has_pickup"), "start").when(F.col("_has_dropoff"), "end"))
 
     warnings, texts = [], {}
-    columns = {"trip_id": F.when(F.col("_has_id"), variant_text(doc["trip_id"]))}
+    columns = {"trip_id": F.when(F.col("_has_id"), F.col("_trip_id_text"))}
     for kind, payload in (("start", START_PAYLOAD), ("end", END_PAYLOAD)):
         for field in payload:
             text = doc[field.name]
             if field.name in TYPED_FIELDS:
-                text = variant_text(text)
+                text = F.col(f"_{field.name}_text")
             columns[field.name] = F.when(F.col("kind") == kind, typed(text, field.dataType))
             if keep_texts and f"{field.name}_text" in (*START_TEXTS, *END_TEXTS):
                 texts[f"{field.name}_text"] = F.when(F.col("kind") == kind, text)
@@ -59,7 +62,7 @@ def route_events(decoded: DataFrame, keep_texts: bool = False) -> DataFrame:
         .withColumns({"reason": reason, "_warnings": joined_warnings(warnings)})
         .withColumn("warning", F.when(F.col("reason").isNull(), F.col("_warnings")))
         .withColumn("kind", F.when(F.col("reason").isNull(), F.col("kind")))
-        .drop("doc", "_has_id", "_has_pickup", "_has_dropoff", "_warnings")
+        .drop("doc", "_has_id", "_has_pickup", "_has_dropoff", "_warnings", *[f"_{f}_text" for f in TYPED_FIELDS])
     )
 
 

@@ -12,6 +12,19 @@ SETTINGS = {
 }
 
 
+CODE_CONF, CODE_DEFAULT, CODE_BYTES = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
+
+
+def compile_in_parts(spark: SparkSession) -> None:
+    """Has Spark split the code of very long projections into methods that the JVM compiles.
+
+    HotSpot never compiles a method of more than 8,000 bytes: as one method, such a projection is interpreted for
+    every row. A session that has set the limit keeps its own.
+    """
+    if spark.conf.get(CODE_CONF) == CODE_DEFAULT:
+        spark.conf.set(CODE_CONF, CODE_BYTES)
+
+
 def local_session(cores: int | str = "*", name: str = "tripfold", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
