@@ -86,3 +86,13 @@ def test_exact_repeats_give_one_row_whether_split_or_not(spark, floor):
         assert sorted(r.sequence for r in history.collect()) == [0, 1, 2]
     finally:
         spark.conf.unset(FLOOR_CONF)
+
+
+def test_only_rows_of_hot_trips_are_made_distinct(spark, hot_floor):
+    """Exact repeats of cold and of hot trips give one row each; the rows of cold trips are shuffled once."""
+    rows = [(t, "end", n, Decimal(n)) for t, most in (("hot", 400), ("a", 2), (None, 2)) for n in range(most) for _ in range(2)]
+    events = spark.createDataFrame(rows, "trip_id string, kind string, sequence bigint, fare_amount decimal(18,2)")
+    history = trip_history(events, [], ["fare_amount"])
+    assert {r["trip_id"]: r["n"] for r in history.groupBy("trip_id").agg(F.count("*").alias("n")).collect()} == {"hot": 400, "a": 2, None: 2}
+    plan = history._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan

@@ -137,7 +137,8 @@ def trip_history(
     event = F.struct("kind", "sequence", "start_write", "end_write")
     repeated = F.coalesce(F.lag(event).over(Window.partitionBy(*key).orderBy(*order)) == event, F.lit(False))
     if hot:
-        rows = rows.distinct()  # exact repeats change nothing, and could fill a chunk
+        # exact repeats change nothing, and could fill a chunk; those of other trips are dropped below, without a shuffle
+        rows = rows.where("not is_hot").unionByName(rows.where("is_hot").distinct())
         rows = rows.join(F.broadcast(_state_before_chunk(rows)), ["trip_id", "chunk"], "left")
         previous = {c: F.greatest(p, F.col(f"chunk_{c}")) for c, p in previous.items()}
     return (
