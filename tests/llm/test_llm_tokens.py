@@ -2,12 +2,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import ODD_TEXTS, cancelling_pair, prose, rows, table
 
-from tripfold.llm import ordered, token_counts, token_files, wordcodec
+from tripfold.llm import ordered, token_counts, token_files, wordcodec, workers
 
 BYTES, WORDS, PIECES = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 ALPHABET = "ab Zé.,'~|<>\n\t \x1c▁12日\x85　ß"
@@ -125,3 +126,14 @@ def test_files_of_awkward_tables(spark, tmp_path):
     found = token_files.read_token_files(spark, f"{tmp_path}/some", files).collect()
     assert len(found) == len(rows()) and found.count(None) == 0
     assert min((r.start, str(r.doc_id)) for r in found)[1] == "None"  # rows without an id come first
+
+
+def test_workers_stay_small(monkeypatch):
+    """Two workers share an executor: their word tables are bounded, also while they grow, and freed memory goes back."""
+    assert 2 * 55 * wordcodec.KNOWN_WORDS <= 100e6
+    released = []
+    monkeypatch.setattr(workers, "release_freed", lambda: released.append(True))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5))], ["x"])
+    assert [b.num_rows for b in workers.slices(iter([batch]), 2)] == [2, 2, 1] and released == [True]
+    monkeypatch.undo()
+    workers.release_freed()

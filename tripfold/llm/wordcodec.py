@@ -18,7 +18,7 @@ import numpy as np
 
 from tripfold.llm.shingles import Chunks
 
-KNOWN_WORDS = 1_500_000  # bounds a worker's memory (about 55 bytes a word); speed only
+KNOWN_WORDS = 800_000  # bounds a worker's memory (about 55 bytes a word, twice that while tables grow); speed only
 RECENT_WORDS = 50_000  # words learned before they are merged into the large table
 GROUP_BYTES = 1 << 20  # text looked up at a time
 WORDS_A_CALL = 2_000  # words go to the tokenizer together, parted by a word whose id no other word can hold

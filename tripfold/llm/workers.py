@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -27,7 +28,20 @@ def share_path(spark: SparkSession) -> None:
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """The batches in smaller ones, so that few texts at a time become Python objects."""
+    """The batches in smaller ones, so that few texts at a time become Python objects.
+
+    Behind the last one, what the task has freed goes back to the system: workers outlive their tasks, and an
+    executor's memory is that of all its workers.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    release_freed()
+
+
+def release_freed() -> None:
+    """Hands freed memory that Arrow and, where there is glibc, the C library still hold back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
