@@ -153,7 +153,7 @@ class TripJob:
             found = batch_counters(spark.read.parquet(landed)).first().asDict()
         else:
             rows, observation = observed(routed, f"landed-{batch_id}")
-            rows.write.mode("overwrite").parquet(landed)
+            write_once(rows, landed)
             found = observation.get
         create_file(spark, path, json.dumps({"batch": batch_id, **found}), overwrite=True)
         return found
