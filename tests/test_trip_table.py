@@ -1,7 +1,8 @@
 import random
 
 import pytest
-from helpers import event_log
+from helpers import event_log, numbered, start
+from pyspark.sql import DataFrameWriter
 from test_trips import random_log
 
 from tripfold.operators.trips import assemble_trips
@@ -78,3 +79,52 @@ def test_an_update_that_was_cut_off(spark, table, monkeypatch, step):
     monkeypatch.undo()
     table.update(event_log(spark, events[20:30]))
     assert rows(table.trips()) == rows(assemble_trips(event_log(spark, events)))
+
+
+def test_new_slots_are_written_once(spark, table, tmp_path, monkeypatch):
+    events = random_log(35, trips=40)
+    table.update(event_log(spark, events[:30]))
+    staged, original = {}, trip_table.create_file
+
+    def files(folder):
+        return {(p.parent.name, p.name): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+    def seen(session, path, text, *args):
+        staged.update(files(tmp_path / "staged"))
+        return original(session, path, text, *args)
+
+    monkeypatch.setattr(trip_table, "create_file", seen)
+    table.update(event_log(spark, events))
+    assert files(tmp_path / "trips") == staged and {slot for slot, _ in staged} == {f"slot={n}" for n in range(5)}
+    assert rows(table.trips()) == rows(assemble_trips(event_log(spark, events)))
+
+
+def test_old_rows_stay_in_their_buckets_with_more_shuffle_partitions(spark, table, monkeypatch):
+    events, plans, original = random_log(36, trips=40), [], DataFrameWriter.insertInto
+
+    def insert(self, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return original(self, *args, **kwargs)
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        table.update(event_log(spark, events[:30]))
+        monkeypatch.setattr(DataFrameWriter, "insertInto", insert)
+        table.update(event_log(spark, events))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and plans[0].count("Exchange hashpartitioning") == 1
+    assert rows(table.trips()) == rows(assemble_trips(event_log(spark, events)))
+
+
+def test_a_slot_that_only_the_last_event_names(spark, table):
+    many = numbered([start("a", "05-25 13:19", est=n) for n in range(700)] + [start(t, "05-25 13:19") for t in "bcdefghijklmn"])
+    log = event_log(spark, many[:701]).coalesce(1)
+    wanted = {r.slot for r in log.select(table._slot()).distinct().collect()}
+    assert set(table._touched(log)) == wanted
+    assert len(table._touched(event_log(spark, many))) == 5
+    for part in (many[:701], many):
+        table.update(event_log(spark, part))
+    assert rows(table.trips()) == rows(assemble_trips(event_log(spark, many)))
